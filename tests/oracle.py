@@ -1,0 +1,86 @@
+"""Compare registered queries with their SQL: python tests/oracle.py [sf] [name ...]"""
+
+from __future__ import annotations
+
+import pathlib
+import sys
+import time
+
+import duckdb
+
+ROOT = pathlib.Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+DATA = "/root/testdata/sf"
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(
+            f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+        )
+    return connection
+
+
+def _rows(names, rows):
+    """Rows as sorted tuples in column-name order."""
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    tuples = [tuple(row[i] for i in order) for row in rows]
+    return [names[i] for i in order], sorted(tuples, key=repr)
+
+
+def compare(spark, connection, query, sql: str, sf_dir: str) -> str | None:
+    """None where both sides agree, else what differs."""
+    result = query(spark, sf_dir)
+    got_names, got = _rows(result.columns, result.collect())
+    cursor = connection.execute(sql)
+    want_names, want = _rows([d[0] for d in cursor.description], cursor.fetchall())
+    if got_names != want_names:
+        return f"columns {got_names} != {want_names}"
+    if len(got) != len(want):
+        return f"rows {len(got)} != {len(want)}"
+    for a, b in zip(got, want):
+        if repr(a) != repr(b):
+            return f"{a} != {b}"
+    return None
+
+
+def main() -> int:
+    from __spark_entry__ import oracle_sql, queries
+    from trackmart.session import build_session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
+    names = sys.argv[2:]
+    spark = build_session(
+        "oracle", spark__master="local[8]", spark__sql__shuffle__partitions="8",
+        spark__ui__enabled="false", spark__driver__memory="12g",
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    sf_dir, oracles, failed = DATA + sf, oracle_sql(), []
+    connection = connect(sf_dir)
+    for name, query in queries().items():
+        if names and name not in names:
+            continue
+        start = time.time()
+        try:
+            if name in oracles:
+                problem = compare(spark, connection, query, oracles[name], sf_dir)
+            else:
+                problem = None if query(spark, sf_dir).count() else "no rows"
+        except Exception as error:  # report and go on with the next query
+            problem = f"{type(error).__name__}: {str(error)[:1500]}"
+        print(f"{'ok  ' if problem is None else 'FAIL'} {name} {time.time() - start:.1f}s "
+              f"{problem or ''}", flush=True)
+        if problem:
+            failed.append(name)
+    print(f"failed: {failed}")
+    return 1 if failed else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())
