@@ -15,32 +15,31 @@ def _remaining_order(df: DataFrame, used: Sequence[str]) -> list[Column]:
     return [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in used]
 
 
-def dedup_best(
-    df: DataFrame,
-    keys: Sequence[str],
-    best: Sequence[str],
-    tie_break: Sequence[str] | None = None,
-) -> DataFrame:
+def dedup_best(df: DataFrame, keys: Sequence[str], best: Sequence[str]) -> DataFrame:
     """The row with the highest ``best`` values per key, NULLs last.
 
-    Ties fall to the smallest ``tie_break`` values, by default of every other
-    column, so that a rerun keeps the same row. Spark keeps one row per key in
-    each map task before the shuffle, which also thins a hot key.
+    Ties fall to the largest values of the other columns, so that a rerun keeps
+    the same row. As an aggregate it keeps one row per key in each map task
+    before the shuffle, and Spark knows the keys are unique: a later left join
+    whose columns nobody reads is dropped from the plan.
     """
-    order = [F.col(c).desc_nulls_last() for c in best]
-    if tie_break is None:
-        order += _remaining_order(df, [*keys, *best])
-    else:
-        order += [F.col(c).asc_nulls_last() for c in tie_break]
-    ranked = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
+    others = [c for c in df.columns if c not in keys and c not in best]
+    row = F.struct(*[F.col(f"`{c}`") for c in [*best, *others]])
+    kept = df.groupBy(*keys).agg(F.max(row).alias("_row"))
+    return kept.select(*keys, "_row.*").select(df.columns)
 
 
 def dedup_any(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key: the smallest by ``order``, by default by all columns."""
-    return dedup_best(df, keys, [], order)
+    """The first row per key by ``order``, then by all other columns.
+
+    The rank limit keeps one row per key in each map task before the shuffle,
+    which also thins a hot key.
+    """
+    by = [F.col(c).asc_nulls_last() for c in order]
+    by += _remaining_order(df, [*keys, *order])
+    return top_k_per(df, keys, 1, by, "_rank").drop("_rank")
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:

@@ -14,7 +14,7 @@ from trackmart.plans import cleaning, star
 from trackmart.plans.master import build_master
 from trackmart.queries import roles
 from trackmart.queries.roles import rounded, with_roles
-from trackmart.session import scratch_path
+from trackmart.session import scratch_path, written
 from trackmart.sources import lake, manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,7 +156,7 @@ _PUBLISHED = ["agg_genre", "agg_year", "agg_hit_vs_nohit"]
 )
 def published_counts(spark, sf_dir):
     """Tables replaced as Parquet with views, then counted; one was never published."""
-    rows = master(spark, sf_dir)
+    rows = written(master(spark, sf_dir), "master")
     folder = scratch_path(spark, "published")
     star.publish_all({
         "agg_genre": aggregates.agg_genre(rows),

@@ -233,8 +233,8 @@ def _artist_dim(key: str) -> str:
         "SELECT lower(artist_name) AS join_artist, artist_id, artist_popularity, followers, "
         "genre_0, genre_1, genre_2 FROM (SELECT *, row_number() OVER (PARTITION BY "
         f"{key} ORDER BY artist_popularity DESC NULLS LAST, followers DESC NULLS LAST, "
-        "artist_name, artist_id, genre_0 NULLS LAST, genre_1 NULLS LAST, genre_2 NULLS LAST"
-        ") AS _rank FROM clean_artists) WHERE _rank = 1"
+        "artist_name DESC, artist_id DESC, genre_0 DESC NULLS LAST, genre_1 DESC NULLS LAST, "
+        "genre_2 DESC NULLS LAST) AS _rank FROM clean_artists) WHERE _rank = 1"
     )
 
 
@@ -253,8 +253,8 @@ CTES.update({
     "chart_dim_all": _CHART_SLIM,
     "chart_dim": (
         "SELECT * EXCLUDE (_rank) FROM (SELECT *, row_number() OVER (PARTITION BY join_track, "
-        "join_artist ORDER BY streams DESC NULLS LAST, in_spotify_playlists NULLS LAST, "
-        "in_spotify_charts NULLS LAST, artist_count NULLS LAST, is_chart_hit) AS _rank "
+        "join_artist ORDER BY streams DESC NULLS LAST, in_spotify_playlists DESC NULLS LAST, "
+        "in_spotify_charts DESC NULLS LAST, artist_count DESC NULLS LAST) AS _rank "
         "FROM chart_dim_all) WHERE _rank = 1"
     ),
 })
