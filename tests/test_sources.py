@@ -1,0 +1,100 @@
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from trackmart import schemas
+from trackmart.session import scratch_path, written
+from trackmart.sources import lake, manifest
+
+
+def test_quotes_commas_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text(
+        ',name,note\n0,"a, b","say ""hi"", x"\n1,"two\nlines",""\n2,,end\n', encoding="utf-8"
+    )
+    got = lake.read_csv(spark, str(path), multi_line=True)
+    assert got.columns == ["_c0", "name", "note"]
+    assert rows(got, "_c0") == [
+        ("0", "a, b", 'say "hi", x'), ("1", "two\nlines", None), ("2", None, "end")
+    ]
+
+
+def test_wrong_field_counts_are_skipped_on_request(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("a,b\n1,x\n2,y,z\n3\n4,w\n", encoding="utf-8")
+    got = lake.read_csv(spark, str(path), ["a", "b"], skip_malformed=True)
+    assert rows(got) == [("1", "x"), ("4", "w")]
+    assert got.count() == 2
+    with pytest.raises(ValueError):
+        lake.read_csv(spark, str(path), skip_malformed=True)
+
+
+def test_csv_export_keeps_order_and_spaces(spark, tmp_path):
+    path = str(tmp_path / "out")
+    lake.export_csv(spark.range(100).select(F.concat(F.lit(" "), "id").alias("x")).orderBy(
+        F.desc(F.trim("x").cast("int"))), path)
+    back = [r[0] for r in lake.read_csv(spark, path).collect()]
+    assert sorted(back) == sorted(f" {i}" for i in range(100))
+
+
+def test_broken_event_lines_are_dropped(spark, tmp_path):
+    path = tmp_path / "e.jsonl"
+    path.write_text(
+        '{"event_id":"1","genre":"pop","play_duration_ms":5}\n\nbad\n'
+        '{"event_id":"2","genre":null}\n   \n{"event_id":"3"}\n', encoding="utf-8"
+    )
+    got = lake.read_events(spark, str(path)).select("event_id", "genre", "play_duration_ms")
+    assert rows(got) == [("1", "pop", 5), ("2", None, None), ("3", None, None)]
+
+
+def test_messages_round_trip(spark):
+    event = spark.createDataFrame(
+        [("e", "now", "t", "n", "a", None, 1, 0.1, 0.2, 0.3, 4, 5)], schemas.EVENT
+    )
+    messages = lake.to_messages(event)
+    assert messages.columns == ["key", "value"] and messages.first()["key"] == "t"
+    broken = spark.createDataFrame([("k", "not json")], "key string, value string")
+    assert rows(lake.from_messages(messages.unionByName(broken))) == rows(event)
+
+
+def test_layers(spark, tmp_path):
+    paths = lake.LakePaths(str(tmp_path) + "/")
+    assert paths.raw("x").endswith("/raw/x") and "//raw" not in paths.raw("x")
+    lake.write_layer(spark.range(5), paths.curated("five"))
+    lake.write_layer(spark.range(3), paths.curated("five"))
+    assert spark.read.parquet(paths.curated("five")).count() == 3
+
+
+def test_publish_replaces_a_view(spark, tmp_path):
+    lake.publish(spark.range(5), "numbers", str(tmp_path / "n1"))
+    lake.publish(spark.range(2), "numbers", str(tmp_path / "n2"))
+    assert spark.table("numbers").count() == 2
+
+
+def test_manifest_status(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "big.csv").write_bytes(b"x" * 2000)
+    (tmp_path / "raw" / "exact.csv").write_bytes(b"x" * 100)
+    (tmp_path / "raw" / "small.csv").write_bytes(b"x" * 99)
+    expected = manifest.expected_files(spark, [
+        (f"{n}.csv", f"raw/{n}.csv", n, 100) for n in ["big", "exact", "small", "absent"]
+    ])
+    status = manifest.check_manifest(spark, expected, str(tmp_path))
+    got = {r["file"]: (r["status"], r["size"]) for r in status.collect()}
+    assert got == {
+        "big.csv": ("OK", "2.00 KB"), "exact.csv": ("OK", "100 B"),
+        "small.csv": (manifest.TOO_SMALL, "99 B"), "absent.csv": ("MISSING", "—"),
+    }
+    assert rows(manifest.manifest_verdict(status)) == [(False, 2)]
+    assert {r["file"] for r in manifest.action_items(status).collect()} == {
+        "small.csv", "absent.csv"
+    }
+    log = str(tmp_path / "log")
+    manifest.append_log(status, log)
+    manifest.append_log(status, log)
+    assert spark.read.parquet(log).count() == 8
+
+
+def test_written_rows_equal_the_frame(spark):
+    assert rows(written(spark.range(4), "four")) == [(0,), (1,), (2,), (3,)]
+    assert scratch_path(spark, "a") != scratch_path(spark, "a")

@@ -30,12 +30,13 @@ def expected_files(
 
 
 def size_text(size: Column) -> Column:
-    """Bytes in decimal units with two places."""
+    """Bytes in decimal units with two places; NULL for an unknown size."""
     def scaled(unit: int, name: str) -> Column:
         return F.format_string(f"%.2f {name}", size.cast("double") / F.lit(float(unit)))
 
     return (
-        F.when(size >= 1_000_000_000, scaled(1_000_000_000, "GB"))
+        F.when(size.isNull(), F.lit(None))
+        .when(size >= 1_000_000_000, scaled(1_000_000_000, "GB"))
         .when(size >= 1_000_000, scaled(1_000_000, "MB"))
         .when(size >= 1_000, scaled(1_000, "KB"))
         .otherwise(F.format_string("%d B", size))

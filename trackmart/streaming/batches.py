@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackmart.operators.dedup import number_rows, top_k, top_k_per
@@ -18,10 +18,12 @@ TOP = 5
 NAME_WIDTH = 50
 
 
-def assign_batches(events: DataFrame, order: Sequence[str], size: int = 100) -> DataFrame:
+def assign_batches(
+    events: DataFrame, order: Sequence[str], size: int = 100, tasks: int | None = None
+) -> DataFrame:
     """Arrival number and batch number: ``size`` events each, the last may be short."""
-    numbered = number_rows(events, order)
-    return numbered.withColumn("batch", F.floor((F.col("seq") - 1) / F.lit(size)) + 1)
+    numbered = number_rows(events, order, tasks=tasks)
+    return numbered.withColumn("batch", F.expr(f"(seq - 1) div {int(size)} + 1"))
 
 
 def track_plays(events: DataFrame) -> DataFrame:
@@ -41,7 +43,7 @@ def genre_plays(events: DataFrame) -> DataFrame:
     )
 
 
-def _most_played_first() -> list:
+def _most_played_first() -> list[Column]:
     return [F.desc("plays"), F.asc("first_seq")]
 
 
@@ -67,37 +69,33 @@ def batch_sizes(events: DataFrame) -> DataFrame:
 def batch_summary(events: DataFrame) -> DataFrame:
     """One row per batch: size, top track, top two genres; '' and 0 when absent.
 
-    Ranks, sizes and the join all use the batch number, so one shuffle of the
-    played tracks and one of the played genres (both summed up before they move)
-    carry the whole summary.
+    Each event counts once for its batch, its track and its genre. The three
+    counts come from one pass, are summed up before they move, and only the top
+    two names of each kind go on to the row of the batch.
     """
-    best_track = top_k_per(track_plays(events), ["batch"], 1, _most_played_first())
-    genres = genre_plays(events)
-    ranked = top_k_per(genres, ["batch"], 2, _most_played_first())
-
-    def at(rank: int, column: str):
-        return F.max(F.when(F.col("rank") == rank, F.col(column)))
-
-    genre_rows = ranked.groupBy("batch").agg(
-        F.coalesce(at(1, "genre"), F.lit("")).alias("top_genre_1"),
-        F.coalesce(at(1, "plays"), F.lit(0)).alias("top_genre_1_plays"),
-        F.coalesce(at(2, "genre"), F.lit("")).alias("top_genre_2"),
-        F.coalesce(at(2, "plays"), F.lit(0)).alias("top_genre_2_plays"),
-    )
-    sizes = genres.groupBy("batch").agg(F.sum("plays").alias("batch_size"))
-    track_rows = best_track.select(
-        "batch",
-        F.substring("track", 1, NAME_WIDTH).alias("top_track_1"),
-        F.col("plays").alias("top_track_1_plays"),
+    named = with_display_key(event_defaults(events))
+    counted = named.select("batch", "seq", F.explode(F.create_map(
+        F.lit("size"), F.lit(""), F.lit("track"), F.col("track"), F.lit("genre"), F.col("genre"),
+    )).alias("kind", "name"))
+    plays = counted.groupBy("batch", "kind", "name").agg(
+        F.count(F.lit(1)).alias("plays"), F.min("seq").alias("first_seq")
     )
-    joined = sizes.join(track_rows, "batch", "left").join(genre_rows, "batch", "left")
-    return joined.select(
-        F.col("batch").alias("batch_number"),
-        "batch_size",
-        F.coalesce("top_track_1", F.lit("")).alias("top_track_1"),
-        F.coalesce("top_track_1_plays", F.lit(0)).alias("top_track_1_plays"),
-        "top_genre_1", "top_genre_1_plays", "top_genre_2", "top_genre_2_plays",
+    top = top_k_per(plays, ["batch", "kind"], 2, _most_played_first())
+
+    def at(kind: str, rank: int, column: str, default) -> Column:
+        hit = (F.col("kind") == kind) & (F.col("rank") == rank)
+        return F.coalesce(F.max(F.when(hit, F.col(column))), F.lit(default))
+
+    rows = top.groupBy("batch").agg(
+        at("size", 1, "plays", 0).alias("batch_size"),
+        F.substring(at("track", 1, "name", ""), 1, NAME_WIDTH).alias("top_track_1"),
+        at("track", 1, "plays", 0).alias("top_track_1_plays"),
+        at("genre", 1, "name", "").alias("top_genre_1"),
+        at("genre", 1, "plays", 0).alias("top_genre_1_plays"),
+        at("genre", 2, "name", "").alias("top_genre_2"),
+        at("genre", 2, "plays", 0).alias("top_genre_2_plays"),
     )
+    return rows.withColumnRenamed("batch", "batch_number")
 
 
 def stream_totals(summary: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.window import Window
 
 from trackmart import schemas
 from trackmart.sources.lake import from_messages
@@ -67,11 +66,8 @@ def write_batch_summary(events: DataFrame, micro_batch: int, folder: str) -> Non
         events = events.withColumn("batch", F.lit(micro_batch + 1).cast("bigint"))
     if "seq" not in events.columns:
         events = events.withColumn("seq", F.struct("timestamp", "event_id"))
-    # Tracks and genres are summed up separately; the source is read once.
-    events = events.persist()
     summary = batch_summary(events).withColumn("timestamp", F.current_timestamp())
     summary.write.mode("overwrite").parquet(f"{folder}/micro_batch={micro_batch}")
-    events.unpersist()
 
 
 def start_batch_summary(events: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
@@ -107,6 +103,5 @@ def start_genre_totals(events: DataFrame, folder: str, checkpoint: str) -> Strea
 def latest_totals(spark: SparkSession, folder: str) -> DataFrame:
     """The running totals after the last micro-batch."""
     stored = spark.read.parquet(folder)
-    last = Window.partitionBy("genre").orderBy(F.desc("micro_batch"))
-    newest = stored.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1")
-    return newest.select("genre", "plays")
+    last = stored.agg(F.max("micro_batch")).scalar()
+    return stored.filter(F.col("micro_batch") == last).select("genre", "plays")
