@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from trackmart import schemas
+from trackmart.ml import popularity as P
 from trackmart.plans import cleaning, flow, star
 from trackmart.plans.master import build_master
 from trackmart.session import scratch_path
@@ -150,6 +151,24 @@ def test_spellings_repeat_tracks_in_the_faithful_run(spark, lake_root):
     assert spark.read.parquet(lake_root.processed("joined")).count() == 5
 
 
+def test_models_join_the_published_tables(spark, lake_root):
+    path = scratch_path(spark, "model-rows")
+    numbers = {c: (F.col("id") % (i + 3)).cast("double") for i, c in enumerate(
+        [*schemas.AUDIO_FEATURES, *schemas.CONTEXT_FEATURES])}
+    names = {c: F.concat(F.lit(c), F.col("id") % 5) for c in ["track_name", "artist_name", "genre"]}
+    spark.range(300).withColumns({
+        **numbers, **names, "track_id": F.col("id").cast("string"),
+        "popularity": (F.col("id") % 100).cast("int"),
+    }).drop("id").write.parquet(path)
+    tables, predictions = flow.train_models(
+        spark.read.parquet(path), P.ForestSettings(trees=2, depth=2))
+    assert tables["ml_metrics"].count() == 6
+    assert tables["ml_feature_importance"].count() == 36
+    assert predictions.columns == schemas.PREDICTION_COLUMNS
+    for name, check in flow.key_report(tables).items():
+        assert rows(check) == [(0, 0, 0)], name
+
+
 def test_typed_layers_take_the_year_filter_into_the_scan(spark):
     path = scratch_path(spark, "typed")
     cleaning.clean_tracks(raw_tracks(spark, {})).write.parquet(path)

@@ -41,10 +41,12 @@ def test_broken_event_lines_are_dropped(spark, tmp_path):
     path = tmp_path / "e.jsonl"
     path.write_text(
         '{"event_id":"1","genre":"pop","play_duration_ms":5}\n\nbad\n'
-        '{"event_id":"2","genre":null}\n   \n{"event_id":"3"}\n', encoding="utf-8"
+        '{"event_id":"2","genre":null}\n   \n{"event_id":"3","play_duration_ms":"x"}\n'
+        '{"event_id":"4"', encoding="utf-8"
     )
     got = lake.read_events(spark, str(path)).select("event_id", "genre", "play_duration_ms")
     assert rows(got) == [("1", "pop", 5), ("2", None, None), ("3", None, None)]
+    assert got.count() == 3 and got.select("event_id").count() == 3
 
 
 def test_messages_round_trip(spark):
@@ -71,6 +73,12 @@ def test_publish_replaces_a_view(spark, tmp_path):
     assert spark.table("numbers").count() == 2
 
 
+def test_publish_replaces_a_catalog_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS shop LOCATION '{tmp_path}'")
+    lake.publish(spark.range(5), "shop.numbers")
+    assert lake.publish(spark.range(2), "shop.numbers").count() == 2
+
+
 def test_manifest_status(spark, tmp_path):
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw" / "big.csv").write_bytes(b"x" * 2000)

@@ -63,19 +63,18 @@ def number_rows(
 ) -> DataFrame:
     """Consecutive numbers from 1 in the given order, without a single-task sort.
 
-    The rows are range-partitioned and sorted by the order columns, then by all
-    others, then by their place in the input, so that one order value or even
-    one row repeated over a third of the table splits over tasks. Each task
-    numbers its own rows; written once, the positions stay fixed, and only one
-    count per partition passes through the driver. ``tasks`` is the number of
-    partitions, by default that of the session's shuffles.
+    The rows are range-partitioned and sorted by the order columns, ties by their
+    place in the input, so that even one value held by a third of the table
+    splits over tasks. Each task numbers its own rows; written once, the positions
+    stay fixed, and only one count per partition passes through the driver.
+    ``tasks`` is the number of partitions, by default that of the session's
+    shuffles.
 
     ``df`` must read files by way of filters and projections, so that a retried
     task sees the same places; pass ``written(df, ...)`` where it does not.
     """
     spark = df.sparkSession
-    by = [F.col(c).asc_nulls_last() for c in order] + _remaining_order(df, order)
-    by.append(F.col("_place"))
+    by = [F.col(c).asc_nulls_last() for c in [*order, "_place"]]
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         df.withColumn("_place", F.monotonically_increasing_id())

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from trackmart import schemas
+from trackmart.ml import popularity as P
 from trackmart.operators import aggregates
 from trackmart.operators.quality import (
     check_fanout,
@@ -95,6 +96,27 @@ def key_report(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: check_keys(df, schemas.TABLE_KEYS[name]) for name, df in tables.items()}
 
 
+def train_models(
+    model_rows: DataFrame, settings: P.ForestSettings = P.ForestSettings()
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Both forests on stored model rows: their result tables, and the predictions
+    of the full model on the held-out rows."""
+    metrics, importance, predictions = {}, {}, None
+    for name, features in [(P.FULL, P.FULL_FEATURES), (P.AUDIO, P.AUDIO_FEATURES)]:
+        train, test = P.hash_split(model_rows, ["track_id"])
+        model = P.fit_popularity(P.prepare(train, features), features, settings=settings)
+        scored = P.score(model, P.prepare(test, features))
+        metrics[name] = P.regression_metrics(scored, "popularity", "predicted_popularity")
+        importance[name] = P.importance_table(model, model_rows)
+        if name == P.FULL:
+            predictions = P.prediction_table(scored)
+    tables = {
+        "ml_metrics": P.stack_models(metrics),
+        "ml_feature_importance": P.stack_models(importance),
+    }
+    return tables, predictions
+
+
 def run_flow(
     spark: SparkSession,
     paths: LakePaths,
@@ -103,8 +125,12 @@ def run_flow(
     unique_keys: bool = True,
     hot_share: float | None = 0.02,
     multi_line: bool = False,
+    forest: P.ForestSettings | None = None,
 ) -> RunReport:
-    """Raw to published in one session, each dataset written once as Parquet."""
+    """Raw to published in one session, each dataset written once as Parquet.
+
+    With ``forest`` settings both models are trained and their tables published.
+    """
     clean, counts = clean_all(spark, paths, files, multi_line)
     built = build_master(
         clean["tracks"], clean["artists"], clean["albums"], clean["charts"],
@@ -115,7 +141,11 @@ def run_flow(
     after_join = seen.get
     base_rows = counts["clean_tracks"][1]
     curated = curate(spark, master, paths)
-    tables = star.publish_all(published_tables(curated), publish_folder)
+    results = {}
+    if forest is not None:
+        results, predictions = train_models(curated["master_ml"], forest)
+        write_layer(predictions, paths.curated("ml_predictions"))
+    tables = star.publish_all(published_tables(curated, results), publish_folder)
     steps = step_metrics(spark, {**counts, "build_master": (base_rows, after_join["rows"])})
     return RunReport(
         steps, after_join["matched_artists"], after_join["chart_hits"],

@@ -157,6 +157,16 @@ def display_keys(spark, sf_dir):
     return named.select("event_id", "genre", "track")
 
 
+@query(
+    "SELECT event_id, track_name, artist_name FROM (SELECT * FROM plays ORDER BY \"timestamp\" "
+    "LIMIT 5000) WHERE track_name <> '' AND artist_name <> ''"
+)
+def first_named_plays(spark, sf_dir):
+    """The cap on the scan comes before the filter on names."""
+    kept = events.first_tracks(roles.plays(spark, sf_dir), ["timestamp"])
+    return kept.select("event_id", "track_name", "artist_name")
+
+
 # Batches -------------------------------------------------------------------
 
 @query(f"SELECT event_id, seq, batch FROM {_NUMBERED}")

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from trackmart import schemas
+from trackmart.functions.columns import lenient_cast
 
 QUOTING = {"escape": '"'}
 
@@ -59,9 +62,27 @@ def read_csv(
     return reader.csv(path)
 
 
-def read_events(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """JSON-lines events; blank and unreadable lines are dropped."""
-    return spark.read.schema(schemas.EVENT).option("mode", "DROPMALFORMED").json(path)
+def typed_as(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, leniently cast from text."""
+    return df.select(*[
+        lenient_cast(F.col(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields
+    ])
+
+
+def json_lines(
+    reader: DataFrameReader | DataStreamReader, path: str, schema: T.StructType = schemas.EVENT
+) -> DataFrame:
+    """JSON lines; blank and unreadable ones are dropped.
+
+    The fields are read as text and cast afterwards, so a field of the wrong type
+    is NULL and its line stays, whichever columns a query asks for.
+    """
+    text = reader.schema(schemas.text_schema(schema.names)).option("mode", "DROPMALFORMED")
+    return typed_as(text.json(path), schema)
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    return json_lines(spark.read, path)
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -100,13 +121,10 @@ def to_messages(events: DataFrame) -> DataFrame:
 
 def from_messages(messages: DataFrame) -> DataFrame:
     """Events from message values; unreadable values are dropped."""
-    text = F.col("value").cast("string")
-    parsed = messages.select(
-        F.from_json(text, schemas.EVENT, {"mode": "PERMISSIVE"}).alias("event")
-    )
-    return parsed.filter("event.track_id IS NOT NULL OR event.event_id IS NOT NULL").select(
-        "event.*"
-    )
+    fields = schemas.text_schema(schemas.EVENT.names)
+    parsed = messages.select(F.from_json(F.col("value").cast("string"), fields).alias("event"))
+    readable = parsed.filter(F.greatest(*[F.col(f"event.{c}") for c in fields.names]).isNotNull())
+    return typed_as(readable.select("event.*"), schemas.EVENT)
 
 
 def write_events(events: DataFrame, path: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +14,18 @@ from trackmart.functions.columns import (
     safe_int,
     safe_long,
 )
+from trackmart.operators.dedup import head_rows
+from trackmart.operators.filters import require_text
 
 DEFAULT_DURATION_MS = 180000
+FIRST_TRACKS = 5000
+
+
+def first_tracks(
+    tracks: DataFrame, order: Sequence[str], n: int = FIRST_TRACKS
+) -> DataFrame:
+    """Of the first ``n`` rows, those with a track and an artist name."""
+    return require_text(head_rows(tracks, n, order), ["track_name", "artist_name"])
 
 
 def _text(df: DataFrame, name: str, default: str) -> Column:

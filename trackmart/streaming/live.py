@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trackmart import schemas
-from trackmart.sources.lake import from_messages
+from trackmart.sources.lake import from_messages, json_lines
 from trackmart.streaming.batches import batch_summary, genre_totals
 
 # Events whose producer already numbered them.
@@ -24,12 +24,8 @@ def stream_events(
     schema: T.StructType = schemas.EVENT,
 ) -> DataFrame:
     """JSON-lines files of a folder as a stream, some files per micro-batch."""
-    return (
-        spark.readStream.schema(schema)
-        .option("mode", "DROPMALFORMED")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .json(folder)
-    )
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    return json_lines(reader, folder, schema)
 
 
 def stream_topic(
