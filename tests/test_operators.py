@@ -263,3 +263,30 @@ def test_stack_aligns_by_name(spark):
     b = spark.createDataFrame([(2.0, "MAE")], "value double, metric string")
     got = quality.stack_tagged({"A": a, "B": b, "C": None})
     assert rows(got) == [("MAE", 2.0, "B"), ("RMSE", 1.0, "A")]
+
+
+def test_hot_rows_spread_over_tasks_when_nothing_is_broadcast(spark):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], "-1")
+        spark.conf.set(names[1], "false")
+        left = spark.range(9000).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+            "id",
+        )
+        right = left.select("k").distinct().withColumn("v", F.length("k"))
+        hot = joins.hot_key_hashes(left, {"k": ["k"]}, share=0.1)["k"]
+
+        def largest_share(joined):
+            parts = joined.groupBy(F.spark_partition_id().alias("p")).count()
+            return parts.agg(F.max("count")).first()[0] / joined.count()
+
+        plain = joins.left_join(left, right, ["k"])
+        salted = joins.left_join(left, right, ["k"], hot)
+        assert largest_share(plain) > 0.4
+        assert largest_share(salted) < 0.35
+        assert rows(plain) == rows(salted)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
