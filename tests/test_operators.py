@@ -279,8 +279,11 @@ def test_hot_rows_spread_over_tasks_when_nothing_is_broadcast(spark):
         hot = joins.hot_key_hashes(left, {"k": ["k"]}, share=0.1)["k"]
 
         def largest_share(joined):
-            parts = joined.groupBy(F.spark_partition_id().alias("p")).count()
-            return parts.agg(F.max("count")).first()[0] / joined.count()
+            # Reading v keeps the join in the plan.
+            parts = joined.groupBy(F.spark_partition_id().alias("p")).agg(
+                F.count("id").alias("n"), F.max("v")
+            )
+            return parts.agg(F.max("n") / F.sum("n")).first()[0]
 
         plain = joins.left_join(left, right, ["k"])
         salted = joins.left_join(left, right, ["k"], hot)
