@@ -281,9 +281,9 @@ def test_hot_rows_spread_over_tasks_when_nothing_is_broadcast(spark):
         def largest_share(joined):
             # Reading v keeps the join in the plan.
             parts = joined.groupBy(F.spark_partition_id().alias("p")).agg(
-                F.count("id").alias("n"), F.max("v")
+                F.count("id").alias("n"), F.max("v").alias("v")
             )
-            return parts.agg(F.max("n") / F.sum("n")).first()[0]
+            return parts.agg(F.max("n") / F.sum("n"), F.max("v")).first()[0]
 
         plain = joins.left_join(left, right, ["k"])
         salted = joins.left_join(left, right, ["k"], hot)
