@@ -10,7 +10,8 @@ from trackmart.ml import popularity as P
 from trackmart.plans import cleaning, flow, star
 from trackmart.plans.master import build_master
 from trackmart.session import scratch_path
-from trackmart.sources.lake import LakePaths
+from trackmart.sources import manifest
+from trackmart.sources.lake import LakePaths, read_csv
 
 GOOD = dict(
     artist_name=" Abba ", track_name=" Song ", track_id="t1", popularity="50", year="2010",
@@ -124,7 +125,15 @@ def lake_root(spark, tmp_path):
 
 
 def test_the_whole_run(spark, lake_root):
-    report = flow.run_flow(spark, lake_root, publish_folder=lake_root.curated("published"))
+    expected = manifest.expected_files(
+        spark, [(n, f"raw/{n}", n, 1) for n in flow.RAW_FILES.values()])
+    assert flow.check_raw(spark, lake_root, expected)[1]
+    assert not flow.check_raw(spark, lake_root)[1]
+    assert spark.read.parquet(lake_root.raw("ingestion_log")).count() == 8
+    report = flow.run_flow(
+        spark, lake_root, publish_folder=lake_root.curated("published"),
+        csv_folder=lake_root.curated("csv"))
+    assert len(read_csv(spark, lake_root.curated("csv/agg_hit_vs_nohit")).columns) == 15
     steps = {r["step"]: tuple(r)[1:] for r in report.steps.collect()}
     assert steps["clean_tracks"] == (5, 3, 2)
     assert steps["build_master"] == (3, 3, 0)

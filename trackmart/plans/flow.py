@@ -19,7 +19,8 @@ from trackmart.operators.quality import (
 )
 from trackmart.plans import cleaning, star
 from trackmart.plans.master import build_master
-from trackmart.sources.lake import LakePaths, read_csv, write_layer
+from trackmart.sources import manifest
+from trackmart.sources.lake import LakePaths, export_csv, read_csv, write_layer
 
 # Raw file names, to be replaced by those of the lake.
 RAW_FILES = {
@@ -47,6 +48,18 @@ def stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def check_raw(
+    spark: SparkSession, paths: LakePaths, expected: DataFrame | None = None
+) -> tuple[DataFrame, bool]:
+    """Status of the expected raw files, logged, and whether all are fine."""
+    expected = manifest.expected_files(spark) if expected is None else expected
+    status = stored(
+        spark, manifest.check_manifest(spark, expected, paths.root, "raw"), paths.raw("last_check")
+    )
+    manifest.append_log(status, paths.raw("ingestion_log"))
+    return status, manifest.manifest_verdict(status).first()["all_ok"]
+
+
 def clean_all(
     spark: SparkSession, paths: LakePaths, files: Mapping[str, str] = RAW_FILES,
     multi_line: bool = False,
@@ -75,6 +88,13 @@ def curate(spark: SparkSession, master: DataFrame, paths: LakePaths) -> dict[str
     return {name: stored(spark, df, paths.curated(name)) for name, df in tables.items()}
 
 
+def export_reports(curated: Mapping[str, DataFrame], folder: str) -> None:
+    """The aggregates as CSV for spreadsheets and dashboards."""
+    for name, df in curated.items():
+        if name.startswith("agg_"):
+            export_csv(df, f"{folder}/{name}")
+
+
 def published_tables(
     curated: Mapping[str, DataFrame], extra: Mapping[str, DataFrame] | None = None
 ) -> dict[str, DataFrame]:
@@ -126,10 +146,12 @@ def run_flow(
     hot_share: float | None = 0.02,
     multi_line: bool = False,
     forest: P.ForestSettings | None = None,
+    csv_folder: str | None = None,
 ) -> RunReport:
     """Raw to published in one session, each dataset written once as Parquet.
 
-    With ``forest`` settings both models are trained and their tables published.
+    With ``forest`` settings both models are trained and their tables published;
+    with a ``csv_folder`` the aggregates are exported there as well.
     """
     clean, counts = clean_all(spark, paths, files, multi_line)
     built = build_master(
@@ -141,6 +163,8 @@ def run_flow(
     after_join = seen.get
     base_rows = counts["clean_tracks"][1]
     curated = curate(spark, master, paths)
+    if csv_folder is not None:
+        export_reports(curated, csv_folder)
     results = {}
     if forest is not None:
         results, predictions = train_models(curated["master_ml"], forest)

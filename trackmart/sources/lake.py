@@ -119,6 +119,12 @@ def to_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def send_messages(events: DataFrame, servers: str, topic: str, **options: str) -> None:
+    """Events to a Kafka topic; needs the Kafka connector of the cluster."""
+    writer = to_messages(events).write.format("kafka").options(**options)
+    writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
 def from_messages(messages: DataFrame) -> DataFrame:
     """Events from message values; unreadable values are dropped."""
     fields = schemas.text_schema(schemas.EVENT.names)

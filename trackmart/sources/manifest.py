@@ -43,12 +43,12 @@ def size_text(size: Column) -> Column:
     )
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path below ``root``, size and time of every file; no content is read."""
+def list_files(spark: SparkSession, root: str, folder: str = "") -> DataFrame:
+    """Path below ``root``, size and time of every file in ``folder``; no content is read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(root)
+        .load(f"{root.rstrip('/')}/{folder}")
         .select("path", "length", "modificationTime")
     )
     # Only the part after the root is compared, whatever the scheme in front.
@@ -91,8 +91,11 @@ def manifest_status(expected: DataFrame, present: DataFrame) -> DataFrame:
     )
 
 
-def check_manifest(spark: SparkSession, expected: DataFrame, root: str) -> DataFrame:
-    return manifest_status(expected, list_files(spark, root))
+def check_manifest(
+    spark: SparkSession, expected: DataFrame, root: str, folder: str = ""
+) -> DataFrame:
+    """Status of the expected files among those in ``folder`` below ``root``."""
+    return manifest_status(expected, list_files(spark, root, folder))
 
 
 def manifest_verdict(status: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trackmart import schemas
 from trackmart.sources.lake import from_messages, json_lines
@@ -52,6 +52,11 @@ def write_event_files(events: DataFrame, folder: str, files: int) -> None:
     spread.write.mode("overwrite").json(folder)
 
 
+def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def write_batch_summary(events: DataFrame, micro_batch: int, folder: str) -> None:
     """Summaries of one micro-batch; a replay replaces the files of its number.
 
@@ -66,20 +71,19 @@ def write_batch_summary(events: DataFrame, micro_batch: int, folder: str) -> Non
     summary.write.mode("overwrite").parquet(f"{folder}/micro_batch={micro_batch}")
 
 
-def start_batch_summary(events: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Summarise every micro-batch that is available, then stop."""
+def start_batch_summary(
+    events: DataFrame, folder: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Summarise each micro-batch: what is available and stop, or ``every`` so often."""
     def sink(micro: DataFrame, number: int) -> None:
         write_batch_summary(micro, number, folder)
 
-    return (
-        events.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(events.writeStream.foreachBatch(sink), checkpoint, every)
 
 
-def start_genre_totals(events: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+def start_genre_totals(
+    events: DataFrame, folder: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Keep exact plays per genre; ``folder`` holds the result after each micro-batch.
 
     The state is one count per genre.
@@ -87,13 +91,8 @@ def start_genre_totals(events: DataFrame, folder: str, checkpoint: str) -> Strea
     def sink(totals: DataFrame, number: int) -> None:
         totals.write.mode("overwrite").parquet(f"{folder}/micro_batch={number}")
 
-    return (
-        genre_totals(events).writeStream.outputMode("complete")
-        .foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    totals = genre_totals(events).writeStream.outputMode("complete")
+    return _start(totals.foreachBatch(sink), checkpoint, every)
 
 
 def latest_totals(spark: SparkSession, folder: str) -> DataFrame:
