@@ -73,7 +73,7 @@ def test_forest_learns_and_reports(spark):
     assert scored.count() == test.count()
     metrics = dict(rows(P.regression_metrics(scored, "popularity", "predicted_popularity")))
     assert metrics["R2"] > 0.5
-    table = rows(P.importance_table(model, df), "rank")
+    table = rows(P.importance_table(model, spark), "rank")
     assert table[0][0] == "energy" and [r[2] for r in table] == [1, 2, 3]
     assert sum(r[1] for r in table) == pytest.approx(1.0)
     assert P.prediction_table(scored).columns == [

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart import schemas
@@ -162,12 +162,12 @@ def regression_metrics(df: DataFrame, target: str, prediction: str) -> DataFrame
     )).alias("metric", "value"))
 
 
-def importance_table(model: FittedModel, df: DataFrame) -> DataFrame:
+def importance_table(model: FittedModel, spark: SparkSession) -> DataFrame:
     """(feature, importance, rank), most important first; as many rows as features."""
     weights = model.stages.stages[-1].featureImportances.toArray()
     pairs = sorted(zip(model.features.names(), weights), key=lambda p: -p[1])
     rows = [(name, float(weight), i) for i, (name, weight) in enumerate(pairs, 1)]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double, rank int")
+    return spark.createDataFrame(rows, "feature string, importance double, rank int")
 
 
 def stack_models(tables: Mapping[str, DataFrame | None]) -> DataFrame:

@@ -127,7 +127,7 @@ def train_models(
         model = P.fit_popularity(P.prepare(train, features), features, settings=settings)
         scored = P.score(model, P.prepare(test, features))
         metrics[name] = P.regression_metrics(scored, "popularity", "predicted_popularity")
-        importance[name] = P.importance_table(model, model_rows)
+        importance[name] = P.importance_table(model, model_rows.sparkSession)
         if name == P.FULL:
             predictions = P.prediction_table(scored)
     tables = {

@@ -23,13 +23,12 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None):
+def query(sql: str | None = None):
     """Register a query under its function name, with its SQL where there is one."""
     def register(function: Query) -> Query:
-        key = name or function.__name__
-        QUERIES[key] = function
+        QUERIES[function.__name__] = function
         if sql is not None:
-            ORACLES[key] = with_roles(sql)
+            ORACLES[function.__name__] = with_roles(sql)
         return function
     return register
 
