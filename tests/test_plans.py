@@ -187,6 +187,25 @@ def test_typed_layers_take_the_year_filter_into_the_scan(spark):
     assert "ReadSchema: struct<year:int>" in plan
 
 
+def test_albums_join_without_moving_the_deduplicated_tracks_again(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tracks = cleaning.clean_tracks(raw_tracks(spark, {}, {}))
+        albums = cleaning.clean_albums(
+            spark.createDataFrame([], schemas.text_schema(schemas.RAW_ALBUMS)))
+        artists = cleaning.clean_artists(
+            spark.createDataFrame([], schemas.text_schema(schemas.RAW_ARTISTS)))
+        charts = cleaning.clean_charts(
+            spark.createDataFrame([], schemas.text_schema(schemas.RAW_CHARTS)))
+        master = build_master(tracks, artists, albums, charts)
+        plan = plan_of(master.select("track_id", "album_id"))
+        # One shuffle for the tracks and one for the albums, both of the dedup.
+        assert plan.count("hashpartitioning(track_id") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_joins_nobody_reads_leave_the_plan(spark):
     tracks = cleaning.typed_tracks(raw_tracks(spark, {}))
     artists = cleaning.clean_artists(

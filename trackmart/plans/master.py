@@ -38,8 +38,9 @@ def build_master(
     hot = {"artist": [], "chart": []}
     if hot_share is not None:
         hot = hot_key_hashes(keyed, {"artist": ARTIST_KEY, "chart": CHART_KEY}, hot_share)
-    joined = left_join(keyed, artist_dimension(artists, unique_keys), ARTIST_KEY, hot["artist"])
-    joined = left_join(joined, album_dimension(albums), ["track_id"])
+    # Albums first: tracks straight from their dedup are already spread by track id.
+    joined = left_join(keyed, album_dimension(albums), ["track_id"])
+    joined = left_join(joined, artist_dimension(artists, unique_keys), ARTIST_KEY, hot["artist"])
     joined = left_join(joined, chart_dimension(charts, unique_keys), CHART_KEY, hot["chart"])
     filled = coalesce_zero(fill_nulls(joined, schemas.MASTER_FILLS), ["followers", "streams"])
     scaled = with_log1p(filled, "followers", "followers_log")

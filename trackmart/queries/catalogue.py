@@ -13,7 +13,7 @@ from trackmart.operators import aggregates, dedup, filters, joins, quality
 from trackmart.plans import cleaning, star
 from trackmart.plans.master import build_master
 from trackmart.queries import roles
-from trackmart.queries.roles import rounded, with_roles
+from trackmart.queries.roles import FLOATS, rounded, widened, with_roles
 from trackmart.session import scratch_path, written
 from trackmart.sources import lake, manifest
 
@@ -33,6 +33,14 @@ def query(sql: str | None = None):
     return register
 
 
+def shown(df: DataFrame) -> DataFrame:
+    """FLOAT columns as DOUBLE and the log feature rounded, to compare with SQL."""
+    values = {name: F.col(name).cast("double") for name, kind in df.dtypes if kind == "float"}
+    if "followers_log" in df.columns:
+        values["followers_log"] = F.round("followers_log", 6)
+    return df.withColumns(values)
+
+
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed tracks, every row."""
     return cleaning.typed_tracks(roles.raw_tracks(spark, sf_dir))
@@ -172,7 +180,8 @@ _CAST_KEYS = "artist_name, track_name, track_id"
 
 @query(
     f"SELECT {_CAST_KEYS}, TRY_CAST(popularity AS INTEGER) AS popularity, "
-    "TRY_CAST(year AS INTEGER) AS year, TRY_CAST(danceability AS FLOAT) AS danceability, "
+    "TRY_CAST(year AS INTEGER) AS year, "
+    "CAST(TRY_CAST(danceability AS FLOAT) AS DOUBLE) AS danceability, "
     "TRY_CAST(duration_ms AS BIGINT) AS duration_ms, TRY_CAST(tempo AS DOUBLE) AS tempo "
     "FROM raw_tracks"
 )
@@ -181,10 +190,10 @@ def cast_lenient(spark, sf_dir):
         "popularity": "int", "year": "int", "danceability": "float", "duration_ms": "bigint",
         "tempo": "double", "not_there": "int",
     })
-    return C.select_existing(typed, [
+    return shown(C.select_existing(typed, [
         "artist_name", "track_name", "track_id", "popularity", "year", "danceability",
         "duration_ms", "tempo", "not_there",
-    ])
+    ]))
 
 
 @query(
@@ -254,13 +263,13 @@ def require_fields(spark, sf_dir):
 
 
 @query(
-    "SELECT track_id, popularity, liveness FROM tracks WHERE popularity BETWEEN 0 AND 100 "
+    "SELECT track_id, popularity, CAST(liveness AS DOUBLE) AS liveness FROM tracks WHERE popularity BETWEEN 0 AND 100 "
     "AND liveness BETWEEN 0 AND 1"
 )
 def range_filter(spark, sf_dir):
     kept = filters.in_range(tracks(spark, sf_dir), "popularity", 0, 100)
     kept = filters.in_range(kept, "liveness", 0.0, 1.0)
-    return kept.select("track_id", "popularity", "liveness")
+    return shown(kept.select("track_id", "popularity", "liveness"))
 
 
 @query("SELECT track_id, duration_ms FROM tracks WHERE duration_ms >= 30000")
@@ -310,21 +319,22 @@ def dedup_best(spark, sf_dir):
     return joins.artist_dimension(artists(spark, sf_dir))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem ORDER BY "
-       "l_orderkey, l_linenumber, l_partkey, l_shipdate LIMIT 5000")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS VARCHAR) AS l_shipdate "
+       "FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_shipdate LIMIT 5000")
 def head_rows(spark, sf_dir):
     """The first 5,000 rows of the scan in a stated order."""
     lines = roles.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"
     )
-    return dedup.head_rows(lines, 5000, lines.columns)
+    first = dedup.head_rows(lines, 5000, lines.columns)
+    return first.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
 # Cleaning plans ------------------------------------------------------------
 
-@query("SELECT * FROM clean_tracks")
+@query(f"SELECT {widened(FLOATS)} FROM clean_tracks")
 def clean_tracks(spark, sf_dir):
-    return cleaning.clean_tracks(roles.raw_tracks(spark, sf_dir))
+    return shown(cleaning.clean_tracks(roles.raw_tracks(spark, sf_dir)))
 
 
 @query("SELECT * FROM clean_artists")
@@ -338,9 +348,9 @@ def clean_albums(spark, sf_dir):
     return cleaned.withColumn("release_date", F.col("release_date").cast("string"))
 
 
-@query("SELECT * FROM clean_charts")
+@query(f"SELECT {widened(['tempo'])} FROM clean_charts")
 def clean_charts(spark, sf_dir):
-    return charts(spark, sf_dir)
+    return shown(charts(spark, sf_dir))
 
 
 # Joins ---------------------------------------------------------------------
@@ -412,24 +422,22 @@ def join_charts_all_entries(spark, sf_dir):
 
 def _master_columns(table: str) -> str:
     log = rounded("followers_log", 6)
-    return f"SELECT * REPLACE ({log} AS followers_log) FROM {table}"
+    return f"SELECT {widened(FLOATS, f', {log} AS followers_log')} FROM {table}"
 
 
 @query(_master_columns("master"))
 def master_table(spark, sf_dir):
-    return master(spark, sf_dir).withColumn("followers_log", F.round("followers_log", 6))
+    return shown(master(spark, sf_dir))
 
 
 @query(_master_columns("master"))
 def master_table_salted(spark, sf_dir):
-    built = master(spark, sf_dir, hot_share=0.01)
-    return built.withColumn("followers_log", F.round("followers_log", 6))
+    return shown(master(spark, sf_dir, hot_share=0.01))
 
 
 @query(_master_columns("master_all"))
 def master_table_repeating(spark, sf_dir):
-    built = master(spark, sf_dir, unique_keys=False)
-    return built.withColumn("followers_log", F.round("followers_log", 6))
+    return shown(master(spark, sf_dir, unique_keys=False))
 
 
 # Aggregates ----------------------------------------------------------------
@@ -485,16 +493,15 @@ def agg_artist(spark, sf_dir):
 
 
 def _master_part(columns: list[str]) -> str:
-    listed = ", ".join(
-        f"{rounded(c, 6)} AS {c}" if c == "followers_log" else c for c in columns
-    )
-    return f"SELECT {listed} FROM master WHERE popularity IS NOT NULL"
+    log = rounded("followers_log", 6)
+    return (f"SELECT {', '.join(columns)} FROM (SELECT "
+            f"{widened(FLOATS, f', {log} AS followers_log')} FROM master) "
+            "WHERE popularity IS NOT NULL")
 
 
 @query(_master_part(schemas.MODEL_COLUMNS))
 def master_ml(spark, sf_dir):
-    rows = aggregates.master_ml(master(spark, sf_dir))
-    return rows.withColumn("followers_log", F.round("followers_log", 6))
+    return shown(aggregates.master_ml(master(spark, sf_dir)))
 
 
 # Quality -------------------------------------------------------------------
@@ -563,8 +570,7 @@ def key_check(spark, sf_dir):
 
 @query(_master_part(schemas.FACT_COLUMNS))
 def fact_popularity(spark, sf_dir):
-    rows = star.fact_popularity(aggregates.master_ml(master(spark, sf_dir)))
-    return rows.withColumn("followers_log", F.round("followers_log", 6))
+    return shown(star.fact_popularity(aggregates.master_ml(master(spark, sf_dir))))
 
 
 @query(

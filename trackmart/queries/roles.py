@@ -133,11 +133,17 @@ def rounded(value: str, places: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(38, 12)), {places}) AS DOUBLE)"
 
 
+def widened(columns: list[str], rest: str = "") -> str:
+    """SQL for all columns with the listed FLOAT ones as DOUBLE."""
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in columns)
+    return f"* REPLACE ({casts}{rest})"
+
+
 def _types(names: list[str], target: str) -> str:
     return ", ".join(f"TRY_CAST({n} AS {target}) AS {n}" for n in names)
 
 
-_FLOATS = [
+FLOATS = [
     "danceability", "energy", "loudness", "speechiness", "acousticness",
     "instrumentalness", "liveness", "valence", "tempo",
 ]
@@ -145,7 +151,7 @@ _TRACK_CASTS = (
     "trim(artist_name) AS artist_name, trim(track_name) AS track_name, track_id, "
     "TRY_CAST(popularity AS INTEGER) AS popularity, TRY_CAST(year AS INTEGER) AS year, "
     "trim(lower(genre)) AS genre, TRY_CAST(duration_ms AS BIGINT) AS duration_ms, "
-    + _types(["key", "mode", "time_signature"], "INTEGER") + ", " + _types(_FLOATS, "FLOAT")
+    + _types(["key", "mode", "time_signature"], "INTEGER") + ", " + _types(FLOATS, "FLOAT")
 )
 
 
