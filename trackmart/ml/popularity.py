@@ -15,6 +15,7 @@ from trackmart import schemas
 from trackmart.functions.columns import cast_columns, fill_nulls, select_existing
 from trackmart.operators.filters import require
 from trackmart.operators.quality import stack_tagged
+from trackmart.session import written
 
 # Model names, settings and the split share.
 FULL = "Full model"
@@ -194,6 +195,10 @@ def mean_predictor(train: DataFrame, df: DataFrame, target: str) -> DataFrame:
 def category_mean_predictor(
     train: DataFrame, df: DataFrame, target: str, category: str
 ) -> DataFrame:
-    """Baseline: the training mean of the row's category."""
+    """Baseline: the training mean of the row's category.
+
+    The means are written first: with their true size known, Spark broadcasts
+    them instead of shuffling every row by its few categories.
+    """
     means = train.groupBy(category).agg(F.avg(target).alias("prediction"))
-    return df.join(means, category, "left")
+    return df.join(written(means, "category_means"), category, "left")
