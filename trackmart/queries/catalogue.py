@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trackmart import schemas
 from trackmart.functions import columns as C
 from trackmart.operators import aggregates, dedup, filters, joins, quality
-from trackmart.plans import cleaning, star
+from trackmart.plans import cleaning, flow, star
 from trackmart.plans.master import build_master
 from trackmart.queries import roles
 from trackmart.queries.roles import FLOATS, rounded, widened, with_roles
@@ -492,10 +492,10 @@ def agg_artist(spark, sf_dir):
     return aggregates.agg_artist(master(spark, sf_dir))
 
 
-def _master_part(columns: list[str]) -> str:
+def _master_part(columns: list[str], table: str = "master") -> str:
     log = rounded("followers_log", 6)
     return (f"SELECT {', '.join(columns)} FROM (SELECT "
-            f"{widened(FLOATS, f', {log} AS followers_log')} FROM master) "
+            f"{widened(FLOATS, f', {log} AS followers_log')} FROM {table}) "
             "WHERE popularity IS NOT NULL")
 
 
@@ -608,3 +608,57 @@ def report_recent_trend(spark, sf_dir):
        f"avg_valence FROM ({_FLAGS})")
 def report_hit_compare(spark, sf_dir):
     return star.sql_hit_compare(aggregates.agg_hit(master(spark, sf_dir)))
+
+
+# The whole run ------------------------------------------------------------
+
+def _full_run(spark: SparkSession, sf_dir: str, unique_keys: bool = True) -> flow.RunReport:
+    """Raw CSV files derived from the tables, then everything up to the published tables."""
+    paths = lake.LakePaths(scratch_path(spark, "lake"))
+    for name, raw in [("tracks", roles.raw_tracks), ("artists", roles.raw_artists),
+                      ("albums", roles.raw_albums), ("charts", roles.raw_charts)]:
+        lake.export_csv(raw(spark, sf_dir), paths.raw(flow.RAW_FILES[name]))
+    return flow.run_flow(
+        spark, paths, paths.curated("published"), unique_keys=unique_keys
+    )
+
+
+def _step(name: str, before: str, after: str) -> str:
+    return (f"SELECT '{name}' AS step, (SELECT count(*) FROM {before}) AS rows_in, "
+            f"(SELECT count(*) FROM {after}) AS rows_out")
+
+
+@query(
+    "SELECT *, rows_in - rows_out AS rows_removed FROM ("
+    + " UNION ALL ".join([
+        *[_step(f"clean_{n}", f"raw_{n}", f"clean_{n}")
+          for n in ["tracks", "charts", "artists", "albums"]],
+        _step("build_master", "clean_tracks", "clean_master"),
+    ]) + ")"
+)
+def full_run_steps(spark, sf_dir):
+    """Rows in, out and removed per step of a run from raw files."""
+    return _full_run(spark, sf_dir).steps
+
+
+@query(_master_part(schemas.FACT_COLUMNS, "clean_master"))
+def full_run_fact(spark, sf_dir):
+    """The published fact table of a run from raw files."""
+    return shown(_full_run(spark, sf_dir).tables["fact_popularity"])
+
+
+_FACT_KEYS = "(SELECT count(*) AS n FROM clean_master_all GROUP BY track_id)"
+
+
+@query(
+    "SELECT 'fact_popularity' AS table_name, count(*) FILTER (WHERE n > 1) AS duplicate_keys, "
+    "CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS duplicate_rows, "
+    f"CAST(0 AS BIGINT) AS null_key_rows FROM {_FACT_KEYS} UNION ALL "
+    "SELECT name, 0, 0, 0 FROM (SELECT unnest(['dim_tracks', 'dim_artists', 'agg_genre', "
+    "'agg_year', 'agg_label', 'agg_hit_vs_nohit']) AS name)"
+)
+def full_run_keys(spark, sf_dir):
+    """Keys of the published tables when every spelling joins: the fact repeats tracks."""
+    tables = _full_run(spark, sf_dir, unique_keys=False).tables
+    checks = flow.key_report(tables)
+    return quality.stack_tagged(checks, "table_name")

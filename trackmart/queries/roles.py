@@ -266,7 +266,7 @@ CTES.update({
 })
 
 
-def _master(artist_dim: str, chart_dim: str) -> str:
+def _master(artist_dim: str, chart_dim: str, tracks: str = "tracks") -> str:
     return (
         "SELECT t.*, a.artist_id, coalesce(a.artist_popularity, 0) AS artist_popularity, "
         "coalesce(a.followers, 0) AS followers, coalesce(a.genre_0, 'unknown') AS genre_0, "
@@ -281,7 +281,7 @@ def _master(artist_dim: str, chart_dim: str) -> str:
         "coalesce(c.artist_count, 1) AS artist_count, "
         "coalesce(c.is_chart_hit, 0) AS is_chart_hit, "
         "ln(1 + CAST(coalesce(a.followers, 0) AS DOUBLE)) AS followers_log "
-        f"FROM tracks t LEFT JOIN {artist_dim} a ON lower(t.artist_name) = a.join_artist "
+        f"FROM {tracks} t LEFT JOIN {artist_dim} a ON lower(t.artist_name) = a.join_artist "
         "LEFT JOIN album_dim b ON t.track_id = b.track_id "
         f"LEFT JOIN {chart_dim} c ON lower(t.track_name) = c.join_track "
         "AND lower(t.artist_name) = c.join_artist"
@@ -291,6 +291,8 @@ def _master(artist_dim: str, chart_dim: str) -> str:
 CTES.update({
     "master": _master("artist_dim", "chart_dim"),
     "master_all": _master("artist_dim_all", "chart_dim_all"),
+    "clean_master": _master("artist_dim", "chart_dim", "clean_tracks"),
+    "clean_master_all": _master("artist_dim_all", "chart_dim_all", "clean_tracks"),
 })
 
 
