@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackmart import schemas
 from trackmart.ml import popularity as P
+from trackmart.operators import joins
 from trackmart.plans import cleaning, flow, star
 from trackmart.plans.master import build_master
 from trackmart.session import scratch_path
@@ -206,6 +207,22 @@ def test_albums_join_without_moving_the_deduplicated_tracks_again(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_bucketed_layers_join_albums_without_a_shuffle(spark, lake_root):
+    plain = flow.run_flow(spark, lake_root, lake_root.curated("p1"))
+    wanted = rows(plain.tables["fact_popularity"])
+    bucketed = flow.run_flow(spark, lake_root, lake_root.curated("p2"), table_prefix="bucketed")
+    assert rows(bucketed.tables["fact_popularity"]) == wanted
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = joins.enrich_albums(
+            spark.table("bucketed_tracks"), spark.table("bucketed_albums"))
+        plan = plan_of(joined)
+        assert "SortMergeJoin" in plan and "hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_joins_nobody_reads_leave_the_plan(spark):
     tracks = cleaning.typed_tracks(raw_tracks(spark, {}))
     artists = cleaning.clean_artists(

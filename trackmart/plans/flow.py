@@ -20,13 +20,20 @@ from trackmart.operators.quality import (
 from trackmart.plans import cleaning, star
 from trackmart.plans.master import build_master
 from trackmart.sources import manifest
-from trackmart.sources.lake import LakePaths, export_csv, read_csv, write_layer
+from trackmart.sources.lake import (
+    LakePaths,
+    export_csv,
+    read_csv,
+    write_bucketed,
+    write_layer,
+)
 
 # Raw file names, to be replaced by those of the lake.
 RAW_FILES = {
     "tracks": "tracks.csv", "charts": "charts.csv", "artists": "artists.csv",
     "albums": "albums.csv",
 }
+BY_TRACK = ("tracks", "albums")
 CLEANERS = {
     "tracks": cleaning.clean_tracks, "charts": cleaning.clean_charts,
     "artists": cleaning.clean_artists, "albums": cleaning.clean_albums,
@@ -62,15 +69,24 @@ def check_raw(
 
 def clean_all(
     spark: SparkSession, paths: LakePaths, files: Mapping[str, str] = RAW_FILES,
-    multi_line: bool = False,
+    multi_line: bool = False, table_prefix: str | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, tuple[int, int]]]:
-    """Clean and store every raw file; rows in and out are counted while writing."""
+    """Clean and store every raw file; rows in and out are counted while writing.
+
+    With a ``table_prefix`` tracks and albums become tables of the catalog,
+    bucketed by the track id on which they will join.
+    """
     cleaned, counts = {}, {}
     for name, clean in CLEANERS.items():
         raw = read_csv(spark, paths.raw(files[name]), multi_line=multi_line)
         raw, seen = observed(raw, f"{name}_in")
         result, kept = observed(clean(raw), f"{name}_out")
-        cleaned[name] = stored(spark, result, paths.processed(name))
+        if table_prefix and name in BY_TRACK:
+            cleaned[name] = write_bucketed(
+                result, paths.processed(name), f"{table_prefix}_{name}", "track_id"
+            )
+        else:
+            cleaned[name] = stored(spark, result, paths.processed(name))
         counts[f"clean_{name}"] = (seen.get["rows"], kept.get["rows"])
     return cleaned, counts
 
@@ -147,13 +163,15 @@ def run_flow(
     multi_line: bool = False,
     forest: P.ForestSettings | None = None,
     csv_folder: str | None = None,
+    table_prefix: str | None = None,
 ) -> RunReport:
     """Raw to published in one session, each dataset written once as Parquet.
 
     With ``forest`` settings both models are trained and their tables published;
-    with a ``csv_folder`` the aggregates are exported there as well.
+    with a ``csv_folder`` the aggregates are exported there as well. With a
+    ``table_prefix`` the largest join runs on bucketed tables, without a shuffle.
     """
-    clean, counts = clean_all(spark, paths, files, multi_line)
+    clean, counts = clean_all(spark, paths, files, multi_line, table_prefix)
     built = build_master(
         clean["tracks"], clean["artists"], clean["albums"], clean["charts"],
         unique_keys, hot_share,

@@ -93,6 +93,20 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, table: str, key: str) -> DataFrame:
+    """Replace a dataset of a layer, kept as a table bucketed by ``key``.
+
+    Two datasets bucketed alike join on the key, and aggregate by it, without
+    moving a row. The buckets are as many as the shuffle partitions, so rows
+    that were just shuffled by the key fall into one file per bucket.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Headered CSV of a result, its order kept across the part files."""
     writer = df.write.mode("overwrite").options(**QUOTING, header=True)
