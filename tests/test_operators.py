@@ -134,7 +134,7 @@ def test_salted_join_equals_plain_join(spark):
     hot = joins.hot_key_hashes(left, {"k": ["k"]}, share=0.1)["k"]
     assert left.filter(joins.key_hash(["k"]).isin(hot)).count() >= 1000
     plain = joins.left_join(left, right, ["k"])
-    salted = joins.left_join(left, right, ["k"], hot, salts=8)
+    salted = joins.left_join(left, right, ["k"], hot, ["id"], salts=8)
     assert salted.columns == plain.columns
     assert rows(salted) == rows(plain)
 
@@ -286,7 +286,7 @@ def test_hot_rows_spread_over_tasks_when_nothing_is_broadcast(spark):
             return parts.agg(F.max("n") / F.sum("n"), F.max("v")).first()[0]
 
         plain = joins.left_join(left, right, ["k"])
-        salted = joins.left_join(left, right, ["k"], hot)
+        salted = joins.left_join(left, right, ["k"], hot, ["id"])
         assert largest_share(plain) > 0.4
         assert largest_share(salted) < 0.35
         assert rows(plain) == rows(salted)

@@ -38,10 +38,13 @@ def left_join(
     right: DataFrame,
     keys: Sequence[str],
     hot: Sequence[int] = (),
+    spread_by: Sequence[str] = ("track_id",),
     salts: int = SALTS,
 ) -> DataFrame:
     """Left equi-join; rows of the ``hot`` keys spread over ``salts`` tasks.
 
+    ``spread_by`` names left columns that tell the rows of one key apart.
+
     A right side that is small by its statistics or by its measured shuffle size
     is broadcast by Spark itself. For the others each right row with a hot key is
     repeated once per salt, so every left row still meets each match exactly once.
@@ -49,8 +52,8 @@ def left_join(
     if not hot:
         return left.join(right, on=list(keys), how="left")
     is_hot = key_hash(keys).isin(list(hot))
-    others = [F.col(f"`{c}`") for c in left.columns]
-    left_salt = F.when(is_hot, F.pmod(F.xxhash64(*others, F.lit(1)), F.lit(salts)))
+    # The extra literal keeps the salt apart from a hash of the join keys.
+    left_salt = F.when(is_hot, F.pmod(F.xxhash64(*spread_by, F.lit(1)), F.lit(salts)))
     right_salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
     salted_left = left.withColumn(
         "_salt", F.coalesce(left_salt, F.lit(0)).cast("int")

@@ -142,9 +142,10 @@ def send_messages(events: DataFrame, servers: str, topic: str, **options: str) -
 def from_messages(messages: DataFrame) -> DataFrame:
     """Events from message values; unreadable values are dropped."""
     fields = schemas.text_schema(schemas.EVENT.names)
-    parsed = messages.select(F.from_json(F.col("value").cast("string"), fields).alias("event"))
-    readable = parsed.filter(F.greatest(*[F.col(f"event.{c}") for c in fields.names]).isNotNull())
-    return typed_as(readable.select("event.*"), schemas.EVENT)
+    # As a generated row each value is parsed once, whatever reads its fields.
+    event = F.from_json(F.col("value").cast("string"), fields)
+    parsed = messages.select(F.inline(F.array(event)))
+    return typed_as(parsed.filter(F.greatest(*fields.names).isNotNull()), schemas.EVENT)
 
 
 def write_events(events: DataFrame, path: str) -> None:
