@@ -19,14 +19,16 @@ def test_quotes_commas_and_line_breaks(spark, tmp_path):
     ]
 
 
-def test_wrong_field_counts_are_skipped_on_request(spark, tmp_path):
+def test_long_lines_are_skipped_on_request(spark, tmp_path):
     path = tmp_path / "a.csv"
-    path.write_text("a,b\n1,x\n2,y,z\n3\n4,w\n", encoding="utf-8")
-    got = lake.read_csv(spark, str(path), ["a", "b"], skip_malformed=True)
-    assert rows(got) == [("1", "x"), ("4", "w")]
-    assert got.count() == 2
+    path.write_text('a,b\n1,x\n2,y,z\n3\n4,\n5,w,\n6,"w, v"\n,""\n', encoding="utf-8")
+    got = lake.read_csv(spark, str(path), ["a", "b"], skip_long_lines=True)
+    assert rows(got) == [
+        ("1", "x"), ("3", None), ("4", None), ("5", "w"), ("6", "w, v"), (None, None)
+    ]
+    assert got.count() == 6 and got.select("b").count() == 6
     with pytest.raises(ValueError):
-        lake.read_csv(spark, str(path), skip_malformed=True)
+        lake.read_csv(spark, str(path), skip_long_lines=True)
 
 
 def test_csv_export_keeps_order_and_spaces(spark, tmp_path):

@@ -39,27 +39,28 @@ def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
-    skip_malformed: bool = False,
+    skip_long_lines: bool = False,
     multi_line: bool = False,
     header: bool = True,
 ) -> DataFrame:
     """CSV, usually with a header, with every column as text and blanks as NULL.
 
-    Without ``columns`` the header names them. ``skip_malformed`` drops lines
-    whose field count differs from ``columns``. A file splits over many tasks,
-    one line being one row; ``multi_line`` keeps a line break inside quotes in its
+    Without ``columns`` the header names them. ``skip_long_lines`` drops lines
+    with more fields than ``columns``, a blank one after the last not counted; a
+    line with fewer keeps NULL in the rest. A file splits over many tasks, one
+    line being one row; ``multi_line`` keeps a line break inside quotes in its
     field, at the price of one task per file.
     """
     reader = spark.read.options(**QUOTING, header=header, multiLine=multi_line)
-    if columns is not None:
-        reader = reader.schema(schemas.text_schema(list(columns)))
-        reader = reader.option("enforceSchema", True)
-    if skip_malformed:
-        if columns is None:
-            raise ValueError("skip_malformed needs the expected columns")
-        # Without pruning the parser counts the fields of every line.
-        reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", False)
-    return reader.csv(path)
+    if not skip_long_lines:
+        if columns is not None:
+            reader = reader.schema(schemas.text_schema(list(columns)))
+        return reader.csv(path)
+    if columns is None:
+        raise ValueError("skip_long_lines needs the expected columns")
+    # One column more than expected holds the first surplus field of a line.
+    lines = reader.schema(schemas.text_schema([*columns, "_surplus"])).csv(path)
+    return lines.filter(F.col("_surplus").isNull()).drop("_surplus")
 
 
 def typed_as(df: DataFrame, schema: T.StructType) -> DataFrame:
