@@ -1,5 +1,8 @@
 """Every registered query against its SQL on the smallest data."""
 
+import contextlib
+import io
+
 import pytest
 
 from oracle import DATA, compare, connect
@@ -28,6 +31,18 @@ def test_query_equals_its_sql(spark, connection, name):
     assert compare(spark, connection, QUERIES[name], ORACLES[name], SF_DIR) is None
 
 
+@pytest.mark.parametrize("name", [
+    "clean_tracks", "join_artists_salted", "master_table", "master_table_repeating", "agg_artist",
+    "fanout_guard", "dim_tracks", "baseline_metrics", "batch_summary", "top_tracks", "event_records",
+])
+def test_plans_pair_no_rows_without_a_key_and_run_no_python(spark, name):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        QUERIES[name](spark, SF_DIR).explain()
+    for operator in ["CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"]:
+        assert operator not in text.getvalue()
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
