@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackmart.llm import exact, langid, mixing, nbsvm, pieces, rules, simhash, tokens
+from trackmart.llm import (exact, html, langid, mixing, nbsvm, pieces, rules, simhash, suffix,
+                           tokens)
 from trackmart.llm.common import documents
 from trackmart.session import scratch_path
 
@@ -58,6 +59,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir, "doc_id", "text"))
 
 
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_texts(
+        spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(documents(spark, sf_dir, "doc_id", "text"))
+
+
 @query("op7_quality_classifier")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
