@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import pathlib
 import sys
 import time
@@ -57,7 +58,7 @@ def main() -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     names = sys.argv[2:]
     spark = build_session(
-        "oracle", spark__master="local[8]", spark__sql__shuffle__partitions="8",
+        "oracle", spark__master=f"local[{os.environ.get('CPUS', 8)}]", spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false", spark__driver__memory="12g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -75,6 +75,14 @@ def test_fill_skips_absent_columns(spark):
     assert [r[0] for r in filled.collect()] == ["unknown", "a"]
 
 
+def test_numbers_are_in_decimal_notation(spark):
+    df = texts(spark, "1d", "2f", "0x1p3", " 1.5e2 ", "+.5", "9007199254740993")
+    out = df.select(C.safe_long(F.col("x"), -1), C.safe_float(F.col("x"), -1.0))
+    assert [tuple(r) for r in out.collect()] == [
+        (-1, -1.0), (-1, -1.0), (-1, -1.0), (150, 150.0), (0, 0.5),
+        (9007199254740993, 9007199254740992.0)]
+
+
 def test_safe_conversions(spark):
     df = texts(spark, "3.7", "-3.7", "abc", "", None, "12")
     out = df.select(C.safe_int(F.col("x"), 9), C.safe_float(F.col("x"), 0.5),

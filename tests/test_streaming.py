@@ -53,9 +53,10 @@ def test_one_genre_leaves_the_second_empty(spark):
     assert (row["top_genre_2"], row["top_genre_2_plays"]) == ("", 0)
 
 
-def test_long_names_are_cut(spark):
+def test_long_names_are_cut_on_request_only(spark):
     df = spark.createDataFrame([play(0, track="x" * 80)], schemas.EVENT)
-    assert batches.batch_summary(batched(df)).first()["top_track_1"] == "x" * 50
+    assert batches.batch_summary(batched(df), 50).first()["top_track_1"] == "x" * 50
+    assert batches.batch_summary(batched(df)).first()["top_track_1"] == "x" * 80 + " — A"
 
 
 def test_missing_fields_take_defaults(spark):
@@ -133,6 +134,31 @@ def test_running_totals_equal_the_bounded_totals(spark, event_folder):
     assert rows(live.latest_totals(spark, out)) == rows(batches.genre_totals(plays(spark)))
 
 
+def test_running_totals_of_a_new_run_take_over(spark, event_folder, tmp_path):
+    out = scratch_path(spark, "totals")
+    stream = live.stream_events(spark, event_folder, 1)
+    live.start_genre_totals(stream, out, scratch_path(spark, "state")).awaitTermination()
+    other = scratch_path(spark, "other")
+    plays(spark).limit(1).withColumn("genre", F.lit("rock")).write.json(other)
+    stream = live.stream_events(spark, other, 1)
+    live.start_genre_totals(stream, out, scratch_path(spark, "state")).awaitTermination()
+    assert rows(live.latest_totals(spark, out)) == [("rock", 1)]
+    assert spark.read.parquet(out).select("slot").distinct().count() <= 2
+
+
+def test_counted_batches_go_over_micro_batches_and_replays(spark):
+    out, made = scratch_path(spark, "counted"), plays(spark)
+    order = ["event_id"]
+    bounded = batches.batch_summary(batches.assign_batches(made, order, 100))
+    first = sorted(r["event_id"] for r in made.select("event_id").collect())
+    cuts = [first[:70], first[70:130], first[130:]]
+    for number, ids in enumerate(cuts):
+        part = made.filter(F.col("event_id").isin(ids))
+        live.write_counted_batches(part, number, out, order)
+        live.write_counted_batches(part, number, out, order)
+    assert rows(live.counted_summary(spark, out)) == rows(bounded)
+
+
 def test_each_batch_stays_within_one_file(spark):
     folder = scratch_path(spark, "files")
     live.write_event_files(batched(plays(spark, 1000)), folder, 4)

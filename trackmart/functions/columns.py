@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # A whole number written with a fraction, such as 3.7 or 45.0.
 DECIMAL_TAIL = r"^(\s*[+-]?\d+)\.\d*\s*$"
 WHOLE_TYPES = {"int", "bigint"}
+# A number in decimal notation; Spark's cast alone would also take 1d, 2f and 0x1p3.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def lenient_cast(value: Column, target: str, truncate_decimals: bool = False) -> Column:
@@ -98,18 +100,32 @@ def with_log1p(df: DataFrame, source: str, target: str) -> DataFrame:
     return df.withColumn(target, F.log1p(F.col(source).cast("double")))
 
 
+def number_text(value: Column) -> Column:
+    """The text of a value that is a number in decimal notation, else NULL."""
+    text = value.cast("string")
+    return F.when(text.rlike(NUMBER), text)
+
+
+def whole_number(value: Column, target: str) -> Column:
+    """Text to a whole number, 1234.0 and 1.2e5 included; a fraction is cut.
+
+    Digits alone are not sent through a double, which would round large ones.
+    """
+    number = number_text(value)
+    return F.coalesce(number.try_cast(target), number.try_cast("double").try_cast(target))
+
+
 def safe_int(value: Column, default: int = 0) -> Column:
     """Text to a whole number by way of a double, cut toward zero."""
-    return F.coalesce(value.try_cast("double").try_cast("int"), F.lit(default))
+    return F.coalesce(number_text(value).try_cast("double").try_cast("int"), F.lit(default))
 
 
 def safe_long(value: Column, default: int = 0) -> Column:
-    as_long = value.try_cast("double").try_cast("bigint")
-    return F.coalesce(as_long, F.lit(default).cast("bigint"))
+    return F.coalesce(whole_number(value, "bigint"), F.lit(default).cast("bigint"))
 
 
 def safe_float(value: Column, default: float = 0.0) -> Column:
-    return F.coalesce(value.try_cast("double"), F.lit(float(default)))
+    return F.coalesce(number_text(value).try_cast("double"), F.lit(float(default)))
 
 
 def clamp_play_duration(played: Column, duration: Column, floor_ms: int = 30000) -> Column:

@@ -82,17 +82,29 @@ def mean_imputer(columns: Sequence[str]) -> Imputer:
     )
 
 
-def hash_split(
-    df: DataFrame, keys: Sequence[str], share: float = TRAIN_SHARE
-) -> tuple[DataFrame, DataFrame]:
-    """Split by the first four hex digits of a hash of the key columns.
+def is_train(keys: Sequence[str], share: float = TRAIN_SHARE) -> Column:
+    """Whether a row trains, by the first four hex digits of a hash of the key columns.
 
     A row is on the same side whatever the partitioning, retries or engine.
     """
     limit = f"{int(share * 16**4 + 0.5):04x}"
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    bucket = F.substring(F.md5(text), 1, 4)
-    return df.filter(bucket < limit), df.filter(bucket >= limit)
+    return F.substring(F.md5(text), 1, 4) < limit
+
+
+def hash_split(
+    df: DataFrame, keys: Sequence[str], share: float = TRAIN_SHARE
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of a stored table, by ``is_train``.
+
+    Each side reads ``df`` again; mark the rows with ``is_train`` where one pass will do.
+    """
+    return df.filter(is_train(keys, share)), df.filter(~is_train(keys, share))
+
+
+def assembler(inputs: Sequence[str], output: str = "features") -> VectorAssembler:
+    """Inputs as one vector; a row with a missing one is left out."""
+    return VectorAssembler(inputCols=list(inputs), outputCol=output, handleInvalid="skip")
 
 
 def fit_popularity(
@@ -114,10 +126,7 @@ def fit_popularity(
         stages.append(index)
     stages += [
         mean_imputer(used.numeric),
-        VectorAssembler(
-            inputCols=[f"{c}_imp" for c in used.numeric] + used.names()[len(used.numeric):],
-            outputCol="features", handleInvalid="skip",
-        ),
+        assembler([f"{c}_imp" for c in used.numeric] + used.names()[len(used.numeric):]),
         RandomForestRegressor(
             featuresCol="features", labelCol=target, predictionCol=f"predicted_{target}",
             numTrees=settings.trees, maxDepth=settings.depth, maxBins=bins, seed=settings.seed,

@@ -78,9 +78,9 @@ def agg_hit(master: DataFrame) -> DataFrame:
     return by_flag.orderBy("is_chart_hit")
 
 
-def agg_artist(master: DataFrame, k: int = 50) -> DataFrame:
-    """The ``k`` artists with the highest rounded popularity, ties by name."""
-    by_artist = master.groupBy("artist_name").agg(
+def artist_profiles(master: DataFrame) -> DataFrame:
+    """Tracks, popularity, hits and audio means of every artist."""
+    return master.groupBy("artist_name").agg(
         _tracks(),
         rounded_mean("popularity", 2).alias("avg_popularity"),
         F.max("followers").alias("followers"),
@@ -89,8 +89,12 @@ def agg_artist(master: DataFrame, k: int = 50) -> DataFrame:
         _streams(),
         *rounded_means(ARTIST_MEANS),
     )
+
+
+def agg_artist(master: DataFrame, k: int = 50) -> DataFrame:
+    """The ``k`` artists with the highest rounded popularity, ties by name."""
     return top_k(
-        by_artist, k, [F.desc_nulls_last("avg_popularity"), F.asc_nulls_last("artist_name")]
+        artist_profiles(master), k, [F.desc_nulls_last("avg_popularity"), F.asc_nulls_last("artist_name")]
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,13 +13,23 @@ from trackmart.functions.columns import normalize_key, select_existing
 from trackmart.operators.dedup import dedup_best
 from trackmart.operators.filters import require
 
-SALTS = 64
+SALTS_PER_TASK = 8
 
 
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def salts_for(tasks: int, share: float = 1.0) -> int:
+    """Salts that spread a key with ``share`` of the rows evenly over the tasks of a shuffle.
+
+    Salts are dealt to the tasks by a hash, so a task gets several of them. By
+    default the key may hold all rows; a key with fewer then has small parts,
+    which AQE merges.
+    """
+    return max(2, math.ceil(SALTS_PER_TASK * share * tasks))
+
+
 def hot_key_hashes(
     df: DataFrame, key_sets: Mapping[str, Sequence[str]], share: float = 0.02
 ) -> dict[str, list[int]]:
@@ -39,7 +50,7 @@ def left_join(
     keys: Sequence[str],
     hot: Sequence[int] = (),
     spread_by: Sequence[str] = ("track_id",),
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Left equi-join; rows of the ``hot`` keys spread over ``salts`` tasks.
 
@@ -51,6 +62,8 @@ def left_join(
     """
     if not hot:
         return left.join(right, on=list(keys), how="left")
+    if salts is None:
+        salts = salts_for(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     is_hot = key_hash(keys).isin(list(hot))
     # The extra literal keeps the salt apart from a hash of the join keys.
     left_salt = F.when(is_hot, F.pmod(F.xxhash64(*spread_by, F.lit(1)), F.lit(salts)))

@@ -24,6 +24,7 @@ from trackmart.sources.lake import (
     LakePaths,
     export_csv,
     read_csv,
+    refuse_broken_quotes,
     write_bucketed,
     write_layer,
 )
@@ -40,6 +41,15 @@ CLEANERS = {
 }
 
 
+@dataclass(frozen=True)
+class CurateSettings:
+    """Years of the trend, and the lengths of the two top lists."""
+
+    years: tuple[int, int] = (2009, 2024)
+    label_k: int = 30
+    artist_k: int = 50
+
+
 @dataclass(frozen=True)
 class RunReport:
     steps: DataFrame
@@ -78,6 +88,8 @@ def clean_all(
     """
     cleaned, counts = {}, {}
     for name, clean in CLEANERS.items():
+        if not multi_line:
+            refuse_broken_quotes(spark, paths.raw(files[name]))
         raw = read_csv(spark, paths.raw(files[name]), multi_line=multi_line)
         raw, seen = observed(raw, f"{name}_in")
         result, kept = observed(clean(raw), f"{name}_out")
@@ -91,14 +103,17 @@ def clean_all(
     return cleaned, counts
 
 
-def curate(spark: SparkSession, master: DataFrame, paths: LakePaths) -> dict[str, DataFrame]:
+def curate(
+    spark: SparkSession, master: DataFrame, paths: LakePaths, settings: CurateSettings
+) -> dict[str, DataFrame]:
     """Aggregates and model rows of a stored master table."""
     tables = {
         "agg_genre": aggregates.agg_genre(master),
-        "agg_year": aggregates.agg_year(master),
-        "agg_label": aggregates.agg_label(master),
+        "agg_year": aggregates.agg_year(master, *settings.years),
+        "agg_label": aggregates.agg_label(master, settings.label_k),
         "agg_hit_vs_nohit": aggregates.agg_hit(master),
-        "agg_artist": aggregates.agg_artist(master),
+        "agg_artist": aggregates.agg_artist(master, settings.artist_k),
+        "artist_profiles": aggregates.artist_profiles(master),
         "master_ml": aggregates.master_ml(master),
     }
     return {name: stored(spark, df, paths.curated(name)) for name, df in tables.items()}
@@ -118,7 +133,7 @@ def published_tables(
     return {
         "fact_popularity": star.fact_popularity(curated["master_ml"]),
         "dim_tracks": star.dim_tracks(curated["master_ml"]),
-        "dim_artists": curated["agg_artist"],
+        "dim_artists": curated["artist_profiles"],
         "agg_genre": curated["agg_genre"],
         "agg_year": curated["agg_year"],
         "agg_label": curated["agg_label"],
@@ -138,8 +153,8 @@ def train_models(
     """Both forests on stored model rows: their result tables, and the predictions
     of the full model on the held-out rows."""
     metrics, importance, predictions = {}, {}, None
+    train, test = P.hash_split(model_rows, ["track_id"])
     for name, features in [(P.FULL, P.FULL_FEATURES), (P.AUDIO, P.AUDIO_FEATURES)]:
-        train, test = P.hash_split(model_rows, ["track_id"])
         model = P.fit_popularity(P.prepare(train, features), features, settings=settings)
         scored = P.score(model, P.prepare(test, features))
         metrics[name] = P.regression_metrics(scored, "popularity", "predicted_popularity")
@@ -159,14 +174,19 @@ def run_flow(
     publish_folder: str | None = None,
     files: Mapping[str, str] = RAW_FILES,
     unique_keys: bool = True,
-    hot_share: float | None = 0.02,
+    hot_share: float | None = None,
     multi_line: bool = False,
     forest: P.ForestSettings | None = None,
     csv_folder: str | None = None,
     table_prefix: str | None = None,
+    settings: CurateSettings = CurateSettings(),
 ) -> RunReport:
     """Raw to published in one session, each dataset written once as Parquet.
 
+    Lines whose quotes do not close stop the run unless ``multi_line`` says that
+    fields may hold line breaks. ``hot_share`` looks for frequent names first and
+    salts their joins, for dimensions too large to broadcast.
+
     With ``forest`` settings both models are trained and their tables published;
     with a ``csv_folder`` the aggregates are exported there as well. With a
     ``table_prefix`` the largest join runs on bucketed tables, without a shuffle.
@@ -180,7 +200,7 @@ def run_flow(
     master = stored(spark, built, paths.processed("joined"))
     after_join = seen.get
     base_rows = counts["clean_tracks"][1]
-    curated = curate(spark, master, paths)
+    curated = curate(spark, master, paths, settings)
     if csv_folder is not None:
         export_reports(curated, csv_folder)
     results = {}

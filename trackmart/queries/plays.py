@@ -44,7 +44,7 @@ _TOP_TRACKS = (
     "WHERE rank <= 5)"
 )
 _SUMMARY = (
-    "(SELECT s.batch AS batch_number, s.n AS batch_size, substr(t.track, 1, 50) AS top_track_1, "
+    "(SELECT s.batch AS batch_number, s.n AS batch_size, t.track AS top_track_1, "
     "t.plays AS top_track_1_plays, g.genre AS top_genre_1, g.plays AS top_genre_1_plays, "
     "coalesce(h.genre, '') AS top_genre_2, coalesce(h.plays, 0) AS top_genre_2_plays "
     f"FROM (SELECT batch, count(*) AS n FROM {_NUMBERED} GROUP BY batch) s "
@@ -61,22 +61,54 @@ def batched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Records -------------------------------------------------------------------
 
-@query("SELECT event_id, track_id, genre, play_duration_ms FROM plays "
-       "WHERE genre IS NULL OR genre NOT IN ('view', 'click')")
+# Every fifth event is an object without fields, every seventh one of NULLs; of the others every
+# second writes its whole number with a fraction, every third with an exponent.
+_VARIED = (
+    "(SELECT CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN NULL ELSE event_id END AS event_id, "
+    "CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN NULL ELSE track_id END AS track_id, "
+    "CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN NULL ELSE genre END AS genre, "
+    "CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN NULL WHEN n % 2 <> 0 AND n % 3 = 0 THEN 120000 "
+    "ELSE play_duration_ms END AS play_duration_ms "
+    "FROM (SELECT *, CAST(event_id AS BIGINT) AS n FROM plays) "
+    "WHERE genre IS NULL OR genre NOT IN ('view', 'click'))"
+)
+
+
+def _varied_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value): events as JSON in all these forms, with blank and broken lines among them."""
+    number = F.col("event_id").cast("bigint")
+    text = F.to_json(F.struct("*"))
+    whole = F.concat(F.lit('"play_duration_ms":'), F.col("play_duration_ms").cast("string"))
+    line = (
+        F.when(F.col("genre") == "view", F.lit(""))
+        .when(F.col("genre") == "click", F.concat(F.lit("bad "), text))
+        .when(number % 5 == 0, F.lit("{}"))
+        .when(number % 7 == 0, F.lit('{"event_id":null,"genre":null}'))
+        .when(number % 2 == 0, F.replace(text, whole, F.concat(whole, F.lit(".0"))))
+        .when(number % 3 == 0, F.replace(text, whole, F.lit('"play_duration_ms":1.2e5')))
+        .otherwise(text)
+    )
+    return roles.plays(spark, sf_dir).select(line.alias("value"))
+
+
+@query(f"SELECT * FROM {_VARIED}")
 def event_scan(spark, sf_dir):
-    """JSON lines with blank lines and broken ones among them."""
-    rows = roles.plays(spark, sf_dir)
-    as_json = F.to_json(F.struct("*"))
-    line = F.when(F.col("genre") == "view", F.lit("")).when(
-        F.col("genre") == "click", F.concat(F.lit("bad "), as_json)
-    ).otherwise(as_json)
+    """JSON lines of all forms from files."""
     path = scratch_path(spark, "event-lines")
-    rows.select(line.alias("value")).write.text(path)
+    _varied_lines(spark, sf_dir).write.text(path)
     return lake.read_events(spark, path).select(
         "event_id", "track_id", "genre", "play_duration_ms"
     )
 
 
+@query(f"SELECT * FROM {_VARIED}")
+def event_values(spark, sf_dir):
+    """The same lines as the values of messages."""
+    return lake.from_messages(_varied_lines(spark, sf_dir)).select(
+        "event_id", "track_id", "genre", "play_duration_ms"
+    )
+
+
 @query("SELECT event_id, \"timestamp\", track_id, track_name, artist_name, genre, popularity, "
        "duration_ms, play_duration_ms FROM plays")
 def event_files(spark, sf_dir):
@@ -163,7 +195,7 @@ def display_keys(spark, sf_dir):
 )
 def first_named_plays(spark, sf_dir):
     """The cap on the scan comes before the filter on names."""
-    kept = events.first_tracks(roles.plays(spark, sf_dir), ["timestamp"])
+    kept = events.first_tracks(roles.plays(spark, sf_dir), ["timestamp"], 5000)
     return kept.select("event_id", "track_name", "artist_name")
 
 
@@ -209,8 +241,8 @@ def stream_totals(spark, sf_dir):
 
 
 @query(
-    "SELECT genre, CAST(sum(plays) AS BIGINT) AS plays "
-    f"FROM {_TOP_GENRES} GROUP BY genre ORDER BY plays DESC, min((batch, rank)) LIMIT 10"
+    "SELECT genre, CAST(sum(plays) AS BIGINT) AS plays_undercounted "
+    f"FROM {_TOP_GENRES} GROUP BY genre ORDER BY 2 DESC, min((batch, rank)) LIMIT 10"
 )
 def genre_totals_topk(spark, sf_dir):
     return batches.genre_totals_topk(batches.top_genres(batched(spark, sf_dir)))
@@ -245,5 +277,28 @@ def live_genre_totals(spark, sf_dir):
     source, out = scratch_path(spark, "event-files"), scratch_path(spark, "totals")
     roles.plays(spark, sf_dir).repartition(files, "event_id").write.json(source)
     stream = live.stream_events(spark, source, max(files // 4, 1))
-    live.start_genre_totals(stream, out, scratch_path(spark, "state")).awaitTermination()
+    for _ in range(2):  # a second run from the start takes over
+        live.start_genre_totals(stream, out, scratch_path(spark, "state")).awaitTermination()
     return live.latest_totals(spark, out)
+
+
+@query(f"SELECT * FROM {_SUMMARY}")
+def live_counted_batches(spark, sf_dir):
+    """Batches of 100 counted on a stream of plain events, whose files end anywhere.
+
+    The events come as five files by time, written one after another, as the
+    stream takes files in the order of their times.
+    """
+    source, out = scratch_path(spark, "plain-events"), scratch_path(spark, "counted")
+    rows = batched(spark, sf_dir)
+    share = rows.count() / 5
+    plain = rows.drop("seq", "batch")
+    for n in range(5):
+        fifth = F.floor((F.col("seq") - 1) / F.lit(share)) == n
+        kept = rows.filter(fifth).select(plain.columns)
+        kept.coalesce(1).write.mode("append").json(source)
+    stream = live.stream_events(spark, source, 1)
+    query_ = live.start_counted_batches(stream, out, scratch_path(spark, "state"), ["timestamp"],
+                                        BATCH_SIZE)
+    query_.awaitTermination()
+    return live.counted_summary(spark, out)

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from trackmart import schemas
-from trackmart.functions.columns import lenient_cast
+from trackmart.functions.columns import WHOLE_TYPES, lenient_cast, whole_number
 
 QUOTING = {"escape": '"'}
+LINE = "_line"
 
 
 @dataclass(frozen=True)
@@ -45,29 +46,59 @@ def read_csv(
 ) -> DataFrame:
     """CSV, usually with a header, with every column as text and blanks as NULL.
 
-    Without ``columns`` the header names them. ``skip_long_lines`` drops lines
-    with more fields than ``columns``, a blank one after the last not counted; a
-    line with fewer keeps NULL in the rest. A file splits over many tasks, one
-    line being one row; ``multi_line`` keeps a line break inside quotes in its
-    field, at the price of one task per file.
+    The header names the columns, whatever their order; ``columns`` are those
+    wanted, and name the fields of a file without a header. ``skip_long_lines``
+    drops lines with more fields than the header or ``columns`` have, blank ones
+    counted; a line with fewer keeps NULL in the rest. A file splits over many
+    tasks, one line being one row; ``multi_line`` keeps a line break inside
+    quotes in its field, at the price of one task per file.
     """
     reader = spark.read.options(**QUOTING, header=header, multiLine=multi_line)
+    if header:
+        names = reader.csv(path).columns
+        absent = [c for c in columns or () if c not in names]
+        if absent:
+            raise ValueError(f"the header of {path} lacks {absent}")
+    elif columns is None:
+        raise ValueError("a file without a header needs the names of its columns")
+    else:
+        names = list(columns)
     if not skip_long_lines:
-        if columns is not None:
-            reader = reader.schema(schemas.text_schema(list(columns)))
-        return reader.csv(path)
-    if columns is None:
-        raise ValueError("skip_long_lines needs the expected columns")
-    # One column more than expected holds the first surplus field of a line.
-    lines = reader.schema(schemas.text_schema([*columns, "_surplus"])).csv(path)
-    return lines.filter(F.col("_surplus").isNull()).drop("_surplus")
+        lines = reader.schema(schemas.text_schema(names)).csv(path)
+    else:
+        # A line whose fields are not as many as the columns is kept as it stands as well; its
+        # commas outside quotes tell the long ones.
+        whole = reader.options(columnNameOfCorruptRecord=LINE, columnPruning=False)
+        lines = whole.schema(schemas.text_schema([*names, LINE])).csv(path)
+        commas = F.regexp_count(F.regexp_replace(LINE, '"([^"]|"")*"', ""), F.lit(","))
+        fits = F.coalesce(commas < len(names), F.lit(True))
+        # Spark does not read the whole line alone; the first column goes along.
+        fits &= F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
+        lines = lines.filter(fits).drop(LINE)
+    return lines if columns is None else lines.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def broken_quotes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(broken_lines): how many lines do not close a quote, as fields with line breaks do not."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).agg(F.count_if(quotes % 2 == 1).alias("broken_lines"))
+
+
+def refuse_broken_quotes(spark: SparkSession, path: str | Sequence[str]) -> None:
+    """Stop where a file cannot be read line by line."""
+    broken = broken_quotes(spark, path).first()["broken_lines"]
+    if broken:
+        raise ValueError(f"{broken} lines of {path} do not close a quote: read it with multi_line")
 
 
 def typed_as(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of ``schema``, leniently cast from text."""
-    return df.select(*[
-        lenient_cast(F.col(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields
-    ])
+    """The columns of ``schema``, leniently cast from text; 1234.0 is a whole number."""
+    def typed(field: T.StructField) -> Column:
+        target = field.dataType.simpleString()
+        cast = whole_number if target in WHOLE_TYPES else lenient_cast
+        return cast(F.col(field.name), target).alias(field.name)
+
+    return df.select(*map(typed, schema.fields))
 
 
 def json_lines(
@@ -141,12 +172,17 @@ def send_messages(events: DataFrame, servers: str, topic: str, **options: str) -
 
 
 def from_messages(messages: DataFrame) -> DataFrame:
-    """Events from message values; unreadable values are dropped."""
-    fields = schemas.text_schema(schemas.EVENT.names)
+    """Events from message values; a value that is not a JSON object is dropped.
+
+    An object without any known field is an event of NULLs, as in a file.
+    """
+    fields = schemas.text_schema([*schemas.EVENT.names, LINE])
+    event = F.from_json(
+        F.trim(F.col("value").cast("string")), fields, {"columnNameOfCorruptRecord": LINE})
     # As a generated row each value is parsed once, whatever reads its fields.
-    event = F.from_json(F.col("value").cast("string"), fields)
-    parsed = messages.select(F.inline(F.array(event)))
-    return typed_as(parsed.filter(F.greatest(*fields.names).isNotNull()), schemas.EVENT)
+    read = F.filter(F.array(event), lambda e: e.isNotNull() & e[LINE].isNull())
+    has_text = F.trim(F.col("value").cast("string")) != ""
+    return typed_as(messages.filter(has_text).select(F.inline(read)), schemas.EVENT)
 
 
 def write_events(events: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackmart import schemas
 
-# The expected raw files, what they hold and their least sizes.
+# The expected raw files and what they hold; their least sizes are fixed values.
 EXPECTED_FILES = [
     ("tracks.csv", "raw/tracks.csv", "Track catalogue, the primary dataset", 50_000_000),
     ("charts.csv", "raw/charts.csv", "Most streamed songs, the chart hits", 10_000),
@@ -73,13 +73,13 @@ def manifest_status(expected: DataFrame, present: DataFrame) -> DataFrame:
         .otherwise(F.lit(OK))
     )
     note = (
-        F.when(size.isNull(), F.lit("File not found in bucket. Upload it before continuing."))
+        F.when(size.isNull(), F.lit("Not in the raw layer: add the file, then run again."))
         .when(
             size < F.col("min_size_bytes"),
-            F.concat(F.lit("Expected at least "), size_text(F.col("min_size_bytes")),
-                     F.lit(". File may be incomplete or wrong version.")),
+            F.concat(F.lit("At least "), size_text(F.col("min_size_bytes")),
+                     F.lit(" are due: the file is cut or another one.")),
         )
-        .otherwise(F.lit("File verified successfully."))
+        .otherwise(F.lit("Present with its full size."))
     )
     return joined.select(
         F.col("name").alias("file"),

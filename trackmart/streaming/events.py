@@ -18,14 +18,12 @@ from trackmart.operators.dedup import head_rows
 from trackmart.operators.filters import require_text
 
 DEFAULT_DURATION_MS = 180000
-FIRST_TRACKS = 5000
 
 
-def first_tracks(
-    tracks: DataFrame, order: Sequence[str], n: int = FIRST_TRACKS
-) -> DataFrame:
-    """Of the first ``n`` rows, those with a track and an artist name."""
-    return require_text(head_rows(tracks, n, order), ["track_name", "artist_name"])
+def first_tracks(tracks: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
+    """Of the first ``n`` rows, those with a track and an artist name; None means every row."""
+    first = tracks if n is None else head_rows(tracks, n, order)
+    return require_text(first, ["track_name", "artist_name"])
 
 
 def _text(df: DataFrame, name: str, default: str) -> Column:

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trackmart import schemas
+from trackmart.operators.dedup import number_rows
 from trackmart.sources.lake import from_messages, json_lines
-from trackmart.streaming.batches import batch_summary, genre_totals
+from trackmart.session import written
+from trackmart.streaming.batches import (
+    batch_counts,
+    batch_summary,
+    genre_totals,
+    merge_counts,
+    summarise,
+)
 
 # Events whose producer already numbered them.
 NUMBERED_EVENT = T.StructType(
@@ -29,17 +39,18 @@ def stream_events(
 
 
 def stream_topic(
-    spark: SparkSession, servers: str, topic: str, batch_size: int, **options: str
+    spark: SparkSession, servers: str, topic: str, trigger_offsets: int = 1_000_000, **options: str
 ) -> DataFrame:
-    """A Kafka topic as a stream of events, at most ``batch_size`` per micro-batch.
+    """A Kafka topic as a stream of events, at most ``trigger_offsets`` per micro-batch.
 
-    Needs the Kafka connector of the cluster.
+    How many events a batch has is a matter of ``start_counted_batches``. Needs
+    the Kafka connector of the cluster.
     """
     messages = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("maxOffsetsPerTrigger", batch_size)
+        .option("maxOffsetsPerTrigger", trigger_offsets)
         .options(**options)
         .load()
     )
@@ -81,15 +92,58 @@ def start_batch_summary(
     return _start(events.writeStream.foreachBatch(sink), checkpoint, every)
 
 
+def write_counted_batches(
+    events: DataFrame, micro_batch: int, folder: str, order: Sequence[str], size: int = 100
+) -> None:
+    """Count one micro-batch into batches of ``size`` events, going on where the last one ended.
+
+    Events are numbered in ``order``, then by their place. The counts of its part
+    of each batch and the number of events so far are kept below the number of
+    the micro-batch, so that a replay replaces its own part alone.
+    """
+    spark = events.sparkSession
+    before = 0
+    if micro_batch > 0:
+        ends = spark.read.schema("events bigint, micro_batch bigint").parquet(f"{folder}/ends")
+        before = ends.filter(F.col("micro_batch") < micro_batch).agg(F.max("events")).first()[0] or 0
+    numbered = number_rows(written(events, "micro"), order)
+    numbered = numbered.withColumn("seq", F.col("seq") + before)
+    batch = numbered.withColumn("batch", F.expr(f"(seq - 1) div {int(size)} + 1"))
+    part = f"micro_batch={micro_batch}"
+    batch_counts(batch).write.mode("overwrite").parquet(f"{folder}/counts/{part}")
+    total = batch.agg((F.count(F.lit(1)) + before).alias("events"))
+    total.write.mode("overwrite").parquet(f"{folder}/ends/{part}")
+
+
+def start_counted_batches(
+    events: DataFrame, folder: str, checkpoint: str, order: Sequence[str], size: int = 100,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Batches of ``size`` events over a stream of plain events, whatever its micro-batches hold."""
+    def sink(micro: DataFrame, number: int) -> None:
+        write_counted_batches(micro, number, folder, order, size)
+
+    return _start(events.writeStream.foreachBatch(sink), checkpoint, every)
+
+
+def counted_summary(spark: SparkSession, folder: str, name_width: int | None = None) -> DataFrame:
+    """The summary of all batches counted so far; the last one may still grow."""
+    counts = spark.read.parquet(f"{folder}/counts").drop("micro_batch")
+    return summarise(merge_counts(counts), name_width)
+
+
 def start_genre_totals(
     events: DataFrame, folder: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Keep exact plays per genre; ``folder`` holds the result after each micro-batch.
+    """Keep exact plays per genre; ``folder`` holds the result after the last micro-batch.
 
-    The state is one count per genre.
+    The state is one count per genre. Results go to two slots in turn, so that
+    one is whole while the other is replaced, and the folder does not grow. A
+    new run into the folder takes over from the one before.
     """
     def sink(totals: DataFrame, number: int) -> None:
-        totals.write.mode("overwrite").parquet(f"{folder}/micro_batch={number}")
+        dated = totals.withColumn("written_at", F.current_timestamp())
+        dated.write.mode("overwrite").parquet(f"{folder}/slot={number % 2}")
 
     totals = genre_totals(events).writeStream.outputMode("complete")
     return _start(totals.foreachBatch(sink), checkpoint, every)
@@ -98,5 +152,5 @@ def start_genre_totals(
 def latest_totals(spark: SparkSession, folder: str) -> DataFrame:
     """The running totals after the last micro-batch."""
     stored = spark.read.parquet(folder)
-    last = stored.agg(F.max("micro_batch")).scalar()
-    return stored.filter(F.col("micro_batch") == last).select("genre", "plays")
+    last = stored.agg(F.max("written_at")).scalar()
+    return stored.filter(F.col("written_at") == last).select("genre", "plays")
