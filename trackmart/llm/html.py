@@ -115,7 +115,7 @@ def pieces(page: str) -> list[Piece]:
             continue
         name = name.lower()
         breaks = name in BLOCKS or name not in INLINE and name not in VOID
-        inside = marked > 0
+        inside, apart = marked > 0, skipped > 0  # the end of a skipped part belongs to it
         if match["close"]:
             begin = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
             if begin is not None:
@@ -141,7 +141,7 @@ def pieces(page: str) -> list[Piece]:
         if breaks:
             block = next((n for n, _ in reversed(open_) if n in BLOCKS), "body")
         known = name if name in BLOCKS or name in INLINE or name in VOID else "other"
-        out.append((None if skipped else f"tag:{known}", 0, " " if name == "br" else "", breaks,
+        out.append((None if skipped or apart else f"tag:{known}", 0, " " if name == "br" else "", breaks,
                     inside))
     if last < len(page):
         text(page[last:])

@@ -45,10 +45,11 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
         ((F.lit(share) * F.sum("source_size").over(everything)
           - F.coalesce(F.sum("most").over(before), F.lit(0.0)))
          / F.sum("weight").over(after)).alias("level"))
-    # The first source that its share does not fill sets the level for all after it.
+    # The first source that its share does not fill sets the level for all after it; the levels
+    # that those would set are lower.
     open_ = F.col("most") >= F.col("level") * F.col("weight")
-    last = F.min(F.when(open_, F.struct(F.col("most") / F.col("weight"), F.col("level"))))
-    settled = level.withColumn("settled", last.over(everything)["level"])
+    highest = F.max(F.when(open_, F.col("level")))
+    settled = level.withColumn("settled", highest.over(everything))
     return settled.select(
         "source", "docs", "source_size",
         F.coalesce(F.least("most", F.col("settled") * F.col("weight")), "most").alias("target"))
@@ -59,9 +60,7 @@ def _fraction(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 5), 16, 10).cast("double") / F.lit(float(1 << 20))
 
 
-def mix(docs: DataFrame, seed: str = "mix", stretch: int = STRETCH, size: Column | None = None,
-        weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
-        most: float = MOST, rows: bool = False) -> DataFrame:
+def mix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken.
 
     ``size`` (the number of words unless given) counts a null or blank text as
@@ -70,9 +69,17 @@ def mix(docs: DataFrame, seed: str = "mix", stretch: int = STRETCH, size: Column
     by size, so that no task sorts a whole source; what stands before a
     stretch is a sum over counts. Rows that agree in source, size and doc_id
     can stand in for each other. Null sources are one source. Columns of
-    ``docs`` that have the name of a new one are replaced; with ``rows`` the whole
-    document comes as the struct ``row`` as well. Empty in, empty out.
+    ``docs`` that have the name of a new one are replaced. Empty in, empty out.
     """
+    new = ["size", "source_size", "target", "copies", "taken"]
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in new]
+    return copied(docs, **options).select(*kept, *new)
+
+
+def copied(docs: DataFrame, seed: str = "mix", stretch: int = STRETCH, size: Column | None = None,
+           weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
+           most: float = MOST) -> DataFrame:
+    """The documents of ``docs`` as structs ``row``, with the columns that ``mix`` adds."""
     sized = docs.select(F.struct("*").alias("row"), "doc_id", "source",
                         (word_count(F.col("text")) if size is None else size).alias("size"))
     targets = source_targets(sized, weights, share, most)
@@ -95,15 +102,14 @@ def mix(docs: DataFrame, seed: str = "mix", stretch: int = STRETCH, size: Column
     offset = _fraction(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit(""))))
     nth = F.col("earlier") + F.col("inside")
     copies = F.floor(nth * each + offset) - F.floor((nth - 1) * each + offset)
-    new = ["size", "source_size", "target", "copies", "taken"]
-    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in new]
-    return placed.withColumn("copies", copies).withColumn(
-        "taken", F.col("copies") * F.col("size")).select(*kept, *new, *["row"] * rows)
+    return placed.withColumn("copies", copies).select(
+        "row", "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mix takes, each as often as it has copies, with the columns of
     ``docs``."""
-    taken = mix(docs, rows=True, **options).filter("copies > 0")
+    taken = copied(docs, **options).filter("copies > 0")
     repeated = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
     return taken.select("row", repeated.alias("copy")).select("row.*")

@@ -93,8 +93,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
         FROM turns),
     targets AS (
-        SELECT *, least(most, weight * (SELECT level FROM levels WHERE most >= level * weight
-                                        ORDER BY most / weight, level LIMIT 1)) AS target
+        SELECT *, least(most, weight * (SELECT max(level) FROM levels
+                                        WHERE most >= level * weight)) AS target
         FROM levels),
     dealt AS (
         SELECT s.*, t.source_size, t.target, t.docs,
