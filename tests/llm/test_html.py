@@ -56,6 +56,14 @@ def test_awkward_pages(spark):
     assert html.extract_texts(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_names_of_wrappers_do_not_empty_a_page(spark):
+    words = "plain words of a story " * 5
+    assert texts(
+        spark, f"<div class='page has-sidebar'><nav>menu</nav><p>{words}</p></div>",
+        f"<main><header class='article-header'><h1>Title</h1></header><p>{words}</p></main>",
+    ) == [words.strip(), "Title\n" + words.strip()]
+
+
 def test_the_best_run_is_the_one_with_the_largest_sum():
     model = html.RegionModel({})
     for page in ["<p>a b c</p><ul><li>x</li><li>y</li></ul><p>d e f g h</p>",

@@ -64,7 +64,7 @@ FIT_PAGES = 10_000
 Piece = tuple[str | None, int, str, bool, bool]
 
 
-def _is_cued(name: str, attrs: str) -> bool:
+def _is_cued(name: str, attrs: str, cues: frozenset[str]) -> bool:
     if not attrs or name in CONTENT:
         return False
     for key, value in ATTRIBUTE.findall(attrs):
@@ -74,13 +74,17 @@ def _is_cued(name: str, attrs: str) -> bool:
         if key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
-        elif any(part.lower() in CUES for part in NAME_PART.findall(value)):
+        elif any(part.lower() in cues for part in NAME_PART.findall(value)):
             return True
     return False
 
 
-def pieces(page: str) -> list[Piece]:
-    """The words and tags of a page in order, entities decoded."""
+def pieces(page: str, cues: frozenset[str] = CUES) -> list[Piece]:
+    """The words and tags of a page in order, entities decoded.
+
+    ``cues`` are the parts of names that say what to skip; the header of marked
+    content belongs to it.
+    """
     out: list[Piece] = []
     open_: list[tuple[str, bool]] = []  # name, begins a skipped part
     skipped = links = marked = 0
@@ -133,7 +137,8 @@ def pieces(page: str) -> list[Piece]:
                         break
             if name not in VOID and not match["attrs"].rstrip().endswith("/"):
                 page_header = name == "header" and not marked
-                skips = name in ASIDE or page_header or _is_cued(name, match["attrs"])
+                skips = name in ASIDE or page_header or _is_cued(
+                    name, match["attrs"], cues - {"header"} if marked else cues)
                 open_.append((name, skips))
                 skipped += skips
                 links += name == "a"
@@ -183,7 +188,11 @@ class RegionModel:
 
     def extract(self, page: str | None) -> str:
         """The text of the best run, a line for each block."""
-        row = pieces(page or "")
+        text = self._text(pieces(page or ""))
+        # A wrapper's name can hold a cue that is not about its content.
+        return text or self._text(pieces(page or "", frozenset()))
+
+    def _text(self, row: list[Piece]) -> str:
         first, last = self.region(row)
         blocks, parts = [], []
         for kind, _, text, breaks, _ in row[first:last]:
