@@ -43,6 +43,14 @@ def test_plans_pair_no_rows_without_a_key_and_run_no_python(spark, name):
         assert operator not in text.getvalue()
 
 
+@pytest.mark.parametrize("name", ["split_counts", "assembled_rows", "agg_genre"])
+def test_tracks_are_read_once(spark, name):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        QUERIES[name](spark, SF_DIR).explain()
+    assert text.getvalue().count("lineitem.parquet") == 1
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, SF_DIR).count() > 0
