@@ -3,10 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from common_rows import awkward, empty
-from pyspark.sql import functions as F
 
 from trackmart.llm import simhash
 from trackmart.llm.components import components
@@ -62,7 +62,7 @@ def test_every_close_pair_is_found(spark, distance):
             values.add(value)
     values = sorted(values)
     table = spark.createDataFrame([(simhash.signed(v),) for v in values], "fp long")
-    got = simhash.close_pairs(table.withColumn("id", F.col("fp")), distance).collect()
+    got = simhash.close_pairs(table, distance).collect()
     found = {(r["a"], r["b"]) for r in got}
     want = set()
     for i, a in enumerate(values):
@@ -135,3 +135,30 @@ def test_awkward_rows_and_none(spark):
     assert ids == sorted(["1", "3", "6", "7", "8", "8", "None"])
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.drop_near_copies(empty(spark)).count() == 0
+
+
+def test_groups_larger_than_a_block_are_split(spark, monkeypatch):
+    draw = random.Random(8)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(60):
+        copy = list(base)
+        for at in draw.sample(range(100), 1 + i % 6):
+            copy[at] = f"x{draw.randrange(50)}"
+        texts.append(copy)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    whole = sorted(tuple(r) for r in simhash.drop_near_copies(docs).select("doc_id").collect())
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", 7)
+    split = sorted(tuple(r) for r in simhash.drop_near_copies(docs).select("doc_id").collect())
+    assert split == whole
+
+
+def test_similar_sets_equal_the_plain_form():
+    draw = random.Random(4)
+    sets = [sorted(draw.sample(range(40), draw.randint(0, 30))) for _ in range(50)]
+    sets += [sets[0], list(range(30)), list(range(24)), []]
+    got = simhash.similar(pa.array(sets, pa.list_(pa.int32())), 0.8, 7)
+    for i, a in enumerate(map(set, sets)):
+        for j, b in enumerate(map(set, sets)):
+            assert got[i, j] == (5 * len(a & b) >= 4 * len(a | b)), (i, j)

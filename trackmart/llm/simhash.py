@@ -28,8 +28,10 @@ from trackmart.llm.components import components
 
 BITS = 64
 BLOCK = 16
-#: What a probe costs, in candidates to verify.
-PROBE_COST = 2.0
+#: What a probe costs, in candidates to verify: its row is shuffled, a candidate is a few instructions.
+PROBE_COST = 30.0
+#: The same where candidates are compared in blocks and rows carry more.
+WIDE_PROBE_COST = 1000.0
 
 
 # -- fingerprints --------------------------------------------------------------
@@ -166,14 +168,15 @@ def histograms(fps: DataFrame, blocks: list[list[int]]) -> np.ndarray:
 
     counted = arrow_map(fps, count, "part int, value int, n long", batch_rows=20_000)
     table = np.zeros((len(blocks), 1 << BLOCK), np.int64)
-    for part, value, n in counted.groupBy("part", "value").agg(F.sum("n")).collect():
-        table[part, value] = n
+    found = counted.groupBy("part", "value").agg(F.sum("n").alias("n")).toArrow()
+    part, value, n = (found.column(c).to_numpy() for c in ("part", "value", "n"))
+    table[part, value] = n
     return table
 
 
 def within(counts: np.ndarray, most: int) -> np.ndarray:
     """[t, v]: members whose value differs from ``v`` in exactly ``t`` bits, t = 0..most."""
-    out = np.zeros((most + 1, len(counts)))
+    out = np.zeros((most + 1, len(counts)), np.float32)
     out[0] = counts
     index = np.arange(len(counts))
     for bit in range(BLOCK):
@@ -189,7 +192,9 @@ class Plan:
     two of 32 bits they are estimated from two histograms as if independent.
     """
 
-    def __init__(self, blocks: list[list[int]], counts: np.ndarray, distance: int, parts: int):
+    def __init__(self, blocks: list[list[int]], counts: np.ndarray, distance: int, parts: int,
+                 probe_cost: float = PROBE_COST):
+        self.probe_cost = probe_cost
         per = len(blocks) // parts
         self.distance = distance
         self.blocks = [blocks[i * per:(i + 1) * per] for i in range(parts)]
@@ -217,7 +222,7 @@ class Plan:
                 exact = np.array([sum(exact[a] * own[t - a] for a in range(t + 1))
                                   for t in range(most + 1)]) / self.total
         candidates = np.cumsum(exact, axis=0)
-        probes = np.cumsum([len(m) for m in self.masks[part]])[:, None] * PROBE_COST
+        probes = np.cumsum([len(m) for m in self.masks[part]])[:, None] * self.probe_cost
         return np.concatenate([np.zeros((1, len(fps))), candidates + probes])
 
     def allocate(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,6 +250,18 @@ class Plan:
         return thresholds, best[units]
 
 
+    def probes(self, fps: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(part, t, rows, values): the values that rows of ``fps`` probe in a part, at t bits."""
+        thresholds, _ = self.allocate(fps)
+        for part in range(len(self.blocks)):
+            own = self.values(fps, part)
+            for t, masks in enumerate(self.masks[part]):
+                on = np.flatnonzero(thresholds[part] >= t)
+                for first in range(0, len(masks) if len(on) else 0, 64):
+                    some = masks[first:first + 64]
+                    yield part, t, np.repeat(on, len(some)), (own[on][:, None] ^ some).ravel()
+
+
 def flips(width: int, most: int) -> list[np.ndarray]:
     """Masks of exactly t bits, t = 0..most; those of a wide part stop at 3 bits.
 
@@ -254,11 +271,11 @@ def flips(width: int, most: int) -> list[np.ndarray]:
             for t in range(most + 1)]
 
 
-def plan_for(fps: DataFrame, distance: int) -> Plan:
+def plan_for(fps: DataFrame, distance: int, probe_cost: float = PROBE_COST) -> Plan:
     """Four parts, or two where all fingerprints together are cheaper with two."""
     blocks = group_bits(agreement(fps))
     counts = histograms(fps, blocks)
-    plans = [Plan(blocks, counts, distance, parts) for parts in (4, 2)]
+    plans = [Plan(blocks, counts, distance, parts, probe_cost) for parts in (4, 2)]
 
     def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         total = np.zeros(len(plans))
@@ -272,56 +289,36 @@ def plan_for(fps: DataFrame, distance: int) -> Plan:
 
 # -- search --------------------------------------------------------------------
 
-def close_pairs(fps: DataFrame, distance: int = 3, agree: Callable[[str, str], Column] | None = None,
-                carry: tuple[str, ...] = ()) -> DataFrame:
-    """(a, b): pairs a < b of the ids of ``fps`` (fp, id) whose fingerprints differ in few bits.
-
-    Every pair within ``distance`` bits is found. With ``agree``, pairs count
-    that share a probed value and for which it holds, however far apart; it
-    gets the prefixes of the two sides and sees their columns ``carry``.
-    """
-    plan = plan_for(fps.select("fp"), distance)
-    names = ("part", "value", "fp", "id", *carry)
+def close_pairs(fps: DataFrame, distance: int = 3) -> DataFrame:
+    """(a, b): pairs a < b of the distinct longs ``fps`` (fp) that differ in few bits, each once."""
+    plan = plan_for(fps, distance)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, rows = _unsigned(batch), np.arange(batch.num_rows)
+            values = _unsigned(batch)
             for part in range(len(plan.blocks)):
-                yield _keyed(names, part, plan.values(values, part), batch, rows)
+                yield _keyed(part, plan.values(values, part), batch.column("fp"))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = _unsigned(batch)
-            thresholds, _ = plan.allocate(values)
-            for part in range(len(plan.blocks)):
-                own = plan.values(values, part)
-                for t, masks in enumerate(plan.masks[part]):
-                    on = np.flatnonzero(thresholds[part] >= t)
-                    for first in range(0, len(masks), 64):
-                        some = masks[first:first + 64]
-                        keys = (own[on][:, None] ^ some[None, :]).ravel()
-                        if len(keys):
-                            yield _keyed(names, part, keys, batch, np.repeat(on, len(some)))
-
-    rows = fps.select("fp", "id", *carry)
-    schema = "part int, value long, fp long, id long" + "".join(f", {c} long" for c in carry)
-    stored = map_batches(rows, index, schema)
-    probes = map_batches(rows, probe, schema)
-    probes = probes.select("part", "value", *(F.col(c).alias(f"o_{c}") for c in names[2:]))
-    near = (F.bit_count(F.col("fp").bitwiseXOR(F.col("o_fp"))) <= distance if agree is None
-            else agree("", "o_"))
-    joined = probes.join(stored, ["part", "value"]).filter((F.col("id") != F.col("o_id")) & near)
-    return joined.select(F.least("id", "o_id").alias("a"),
-                         F.greatest("id", "o_id").alias("b")).distinct()
-
-
-def _keyed(names: tuple[str, ...], part: int, values: np.ndarray, batch: pa.RecordBatch,
-           rows: np.ndarray) -> pa.RecordBatch:
-    """Rows of a batch below a part and its values."""
-    at = pa.array(rows)
+            fp = batch.column("fp").to_numpy(zero_copy_only=False)
+            for part, _, on, keys in plan.probes(_unsigned(batch)):
+                yield _keyed(part, keys, pa.array(fp[on]))
+
+    schema = "part int, value long, fp long"
+    stored = map_batches(fps, index, schema)
+    probes = map_batches(fps, probe, schema).withColumnRenamed("fp", "other")
+    differing = F.bit_count(F.col("fp").bitwiseXOR(F.col("other")))
+    pairs = probes.join(stored, ["part", "value"]).filter(
+        (F.col("fp") != F.col("other")) & (differing <= distance))
+    return pairs.select(F.least("fp", "other").alias("a"),
+                        F.greatest("fp", "other").alias("b")).distinct()
+
+
+def _keyed(part: int, values: np.ndarray, fp: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(values), part, np.int32)), pa.array(values),
-         *(batch.column(c).take(at) for c in names[2:])], names=list(names))
+        [pa.array(np.full(len(values), part, np.int32)), pa.array(values), fp],
+        names=["part", "value", "fp"])
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, seed: int = 42,
@@ -342,7 +339,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, seed: int = 42,
 def linked(prints: DataFrame, pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``prints`` (doc_id, fp) with the smallest doc_id of each component of fingerprints."""
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = components(pairs(nodes.select("fp", F.col("fp").alias("id"))))
+    roots = components(pairs(nodes.select("fp")))
     smallest = nodes.join(roots, nodes["fp"] == roots["node"], "left")
     root: Column = F.coalesce("root", "fp")
     smallest = smallest.select("fp", root.alias("root"), "least")
@@ -354,11 +351,13 @@ def linked(prints: DataFrame, pairs: Callable[[DataFrame], DataFrame]) -> DataFr
 # -- near copies, verified -----------------------------------------------------
 
 #: Fingerprints of single words find candidates; near copies differ in few of those bits.
-SEEDS = (42, 43)
+SEEDS = (42, 43, 44)
 #: Of 256 bits of five-word fingerprints, those that may differ: at similarity 0.8 the mean is
-#: 39 and the standard deviation 6, so that fewer than one pair in 10,000 is lost.
+#: 39 and the standard deviation 6, so that about one such pair in 400 is lost, and fewer above.
 SKETCH = tuple(range(100, 104))
-SKETCH_BITS = 61
+SKETCH_BITS = 55
+#: Rows of a group that are compared with each other in one task; larger ones are split.
+BLOCK_ROWS = 1024
 
 
 def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -366,11 +365,15 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
 
     Two texts are near copies where the Jaccard similarity of their sets of
     ``size``-word shingles is ``similarity`` or more; groups are what such
-    links connect, named by a hash. Candidates share a probed part of one of
-    two word fingerprints; they are verified on the whole sets. Texts with
-    equal sets are one node and never paired. A pair that needs no check is
-    left out by what any similar pair satisfies: sizes, and 256 bits of
-    ``size``-word fingerprints. ``key`` is a hash of doc_id and text.
+    links connect, named by a hash. ``key`` is a hash of doc_id and text.
+
+    Texts with equal sets are one node. Candidates share a probed part of one of
+    three word fingerprints, and have sizes and 256-bit fingerprints of shingles
+    as similar texts have. Neither they nor the links are written out pair by
+    pair: a task compares the rows of a bucket with each other and gives links
+    enough to connect what is alike. The clusters of candidates are then
+    compared on their whole sets in the same way. Buckets and clusters over
+    ``BLOCK_ROWS`` are split into blocks, and every two blocks meet in a task.
     """
     small_batches(docs.sparkSession)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
@@ -380,8 +383,7 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for key, doc_id, text in rows_of(batches, "key", "doc_id", "text"):
             parts = (text or "").encode().translate(FOLD).split()
-            shingles = shingle_hashes(parts, size, SKETCH[0])
-            chosen = np.unique(shingles)
+            chosen = np.unique(shingle_hashes(parts, size, SKETCH[0]))
             yield (key, doc_id, signed(xxhash.xxh64_intdigest(chosen.tobytes())), len(chosen),
                    *(signed(fingerprint_of(shingle_hashes(parts, 1, s))) for s in SEEDS),
                    *(signed(fingerprint_of(_again(chosen, s))) for s in SKETCH))
@@ -391,21 +393,9 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     rows = written(arrow_map(keyed, prints, schema, batch_rows=5000), "prints")
     nodes = written(rows.groupBy("node").agg(
         F.min("key").alias("key"), *(F.first(c).alias(c) for c in ["n", *words, *sketch])), "nodes")
-
-    def plausible(one: str, other: str) -> Column:
-        a, b = F.col(f"{one}n"), F.col(f"{other}n")
-        differing = sum(F.bit_count(F.col(one + c).bitwiseXOR(F.col(other + c))) for c in sketch)
-        return ((F.least(a, b) >= similarity * F.greatest(a, b)) & (differing <= SKETCH_BITS))
-
-    found = [close_pairs(nodes.withColumnRenamed(w, "fp").withColumn("id", F.col("node")), 3,
-                         plausible, ("n", *sketch)) for w in words]
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    pairs = written(pairs.distinct(), "pairs")
-    links = _verified(pairs, nodes, keyed, size, similarity)
-    roots = components(links)
-    return rows.join(roots, "node", "left").select(
+    clusters = components(_plausible(nodes, words, sketch, similarity))
+    links = _verified(clusters.join(nodes.select("node", "key"), "node"), keyed, size, similarity)
+    return rows.join(components(links), "node", "left").select(
         "key", "doc_id", F.coalesce("root", "node").alias("group"))
 
 
@@ -416,27 +406,172 @@ def _again(hashes: np.ndarray, seed: int) -> np.ndarray:
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame, size: int,
-              similarity: float) -> DataFrame:
-    """The pairs of nodes whose shingle sets are similar enough."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    wanted = nodes.select("node", "key").join(ends.distinct(), "node")
+def _blocks(rows: DataFrame, group: str, node: str) -> DataFrame:
+    """``rows`` with the two blocks ``i`` <= ``j`` of their group that meet in a task.
+
+    Only groups over ``BLOCK_ROWS`` have more than one block; their rows are
+    repeated once for each block.
+    """
+    large = rows.groupBy(group).agg(F.count("*").alias("rows")).filter(F.col("rows") > BLOCK_ROWS)
+    split = rows.join(large, group, "left").withColumn(
+        "blocks", F.coalesce(F.ceil(F.col("rows") / BLOCK_ROWS), F.lit(1)).cast("int"))
+    split = split.withColumn("own", F.pmod(F.xxhash64(node, F.lit(1)), "blocks").cast("int"))
+    met = split.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumns({"i": F.least("own", "met"), "j": F.greatest("own", "met")})
+    return met.drop("rows", "blocks", "own", "met")
+
+
+def _dealt(rows: DataFrame, group: str) -> DataFrame:
+    """The rows of two blocks that meet in one task, one after another."""
+    keys = [group, "i", "j"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[pa.RecordBatch]:
+    """The rows of sorted batches, group and pair of blocks by group, those of one row left out."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                         for c in (group, "i", "j")])
+        cuts = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()
+        if held and not np.array_equal(keys[:, 0], last):
+            cuts = [0, *cuts]
+        for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if begin in cuts and held:
+                if sum(b.num_rows for b in held) > 1:
+                    yield _together(held)
+                held = []
+            if end > begin:
+                held.append(batch.slice(begin, end - begin))
+        last = keys[:, -1]
+    if sum(b.num_rows for b in held) > 1:
+        yield _together(held)
+
+
+def _together(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
+
+
+def spanning(alike: np.ndarray) -> list[tuple[int, int]]:
+    """(member, first member) for what a symmetric matrix connects, beyond each first member."""
+    left, out = np.ones(len(alike), bool), []
+    for first in range(len(alike)):
+        if not left[first]:
+            continue
+        left[first] = False
+        front = [first]
+        while front:
+            found = np.flatnonzero(alike[front].any(0) & left)
+            left[found] = False
+            out.extend((int(i), first) for i in found)
+            front = found.tolist()
+    return out
 
+
+def _plausible(nodes: DataFrame, words: list[str], sketch: list[str],
+               similarity: float) -> DataFrame:
+    """(a, b): links that connect all pairs of nodes which can be near copies."""
+    cells = None
+    schema = "bucket long, probe boolean, stored boolean, node long, n long" + "".join(
+        f", {c} long" for c in sketch)
+    for table, word in enumerate(words):
+        fps = nodes.select(F.col(word).alias("fp"), "node", "n", *sketch)
+        cells_here = _cells(fps, plan_for(fps.select("fp"), 3, WIDE_PROBE_COST), table, sketch, schema)
+        cells = cells_here if cells is None else cells.unionByName(cells_here)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for rows in _groups(batches, "bucket"):
+            n = rows.column("n").to_numpy()
+            bits = np.stack([rows.column(c).to_numpy().view(np.uint64) for c in sketch])
+            differing = sum(np.bitwise_count(b[:, None] ^ b[None, :]).astype(np.int16) for b in bits)
+            probe, stored = (rows.column(c).to_numpy(zero_copy_only=False).astype(bool)
+                             for c in ("probe", "stored"))
+            met = probe[:, None] & stored[None, :]
+            alike = (met | met.T) & (differing <= SKETCH_BITS) & (
+                np.minimum(n[:, None], n) >= similarity * np.maximum(n[:, None], n))
+            node = rows.column("node").to_numpy()
+            for a, b in spanning(alike):
+                if node[a] != node[b]:
+                    yield int(node[a]), int(node[b])
+
+    return arrow_map(_dealt(_blocks(cells, "bucket", "node"), "bucket"), compare,
+                     "a long, b long", batch_rows=20_000)
+
+
+def _cells(fps: DataFrame, plan: Plan, table: int, sketch: list[str], schema: str) -> DataFrame:
+    """Rows of ``fps`` in the buckets where they stand or probe."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _unsigned(batch)
+            own = np.zeros((len(plan.blocks), len(values)), bool)
+            for part, t, on, keys in plan.probes(values):
+                if t == 0:
+                    own[part, on] = True
+                else:
+                    yield cell(batch, part, on, keys, np.ones(len(on), bool), False)
+            for part in range(len(plan.blocks)):
+                yield cell(batch, part, np.arange(len(values)), plan.values(values, part),
+                           own[part], True)
+
+    def cell(batch: pa.RecordBatch, part: int, on: np.ndarray, keys: np.ndarray,
+             probe: np.ndarray, stored: bool) -> pa.RecordBatch:
+        at = pa.array(on)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys | (table * 8 + part) << 40), pa.array(probe),
+             pa.array(np.full(len(on), stored)),
+             *(batch.column(c).take(at) for c in ("node", "n", *sketch))],
+            names=["bucket", "probe", "stored", "node", "n", *sketch])
+
+    return map_batches(fps, rows, schema)
+
+
+def _verified(members: DataFrame, keyed: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(a, b): links that connect all pairs of ``members`` (node, root, key) with similar sets."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for node, text in rows_of(batches, "node", "text"):
+        for root, i, j, node, text in rows_of(batches, "root", "i", "j", "node", "text"):
             parts = (text or "").encode().translate(FOLD).split()
-            hashes = np.unique(shingle_hashes(parts, size, SKETCH[0]))
-            yield node, hashes.view(np.int64).tolist()
-
-    texts = keyed.select("key", "text").join(wanted, "key").select("node", "text")
-    shingles = written(arrow_map(texts, sets, "node long, shingles array<long>", batch_rows=500)
-                       .dropDuplicates(["node"]), "sets")
-    left = shingles.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = shingles.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("left", "right"))
-    alike = common >= similarity * (F.size("left") + F.size("right") - common)
-    return both.filter(alike).select("a", "b")
+            hashes = np.unique(shingle_hashes(parts, size, SKETCH[0]) >> np.uint64(32))
+            yield root, i, j, node, hashes.astype(np.uint32).view(np.int32)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for rows in _groups(batches, "root"):
+            node = rows.column("node").to_numpy()
+            for a, b in spanning(similar(rows.column("shingles"), similarity)):
+                if node[a] != node[b]:
+                    yield int(node[a]), int(node[b])
+
+    # Rows of one key are alike; one of them stands for the node.
+    blocks = _blocks(members, "root", "node")
+    texts = keyed.select("key", "text").join(blocks, "key")
+    shingles = arrow_map(texts, sets, "root long, i int, j int, node long, shingles array<int>",
+                         batch_rows=500)
+    return arrow_map(_dealt(shingles, "root"), compare, "a long, b long", batch_rows=20_000)
+
+
+def similar(sets: pa.ListArray, similarity: float, width: int = 2048) -> np.ndarray:
+    """Which of some sets have a Jaccard similarity of ``similarity`` or more: a matrix.
+
+    Common members are counted as a product of incidence matrices, ``width``
+    members at a time; a member of one set alone counts in its size only.
+    """
+    sizes = np.diff(sets.offsets.to_numpy())
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    _, member, times = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = times[member] > 1
+    which, member = which[shared], member[shared]
+    place = np.cumsum(times > 1) - 1
+    member = place[member]
+    order = np.argsort(member, kind="stable")
+    which, member = which[order], member[order]
+    common = np.zeros((len(sizes), len(sizes)), np.float32)
+    for first in range(0, int(member[-1]) + 1 if len(member) else 0, width):
+        a, b = np.searchsorted(member, [first, first + width])
+        incidence = np.zeros((len(sizes), min(width, int(member[-1]) + 1 - first)), np.float32)
+        incidence[which[a:b], member[a:b] - first] = 1
+        common += incidence @ incidence.T
+    return common >= similarity * (sizes[:, None] + sizes - common) - 1e-3
 
 
 def drop_near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
