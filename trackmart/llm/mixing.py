@@ -17,7 +17,7 @@ from trackmart.llm.common import word_count
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE, MOST = 1.5, 2.0
 #: Rows of a source that are sorted in one task.
-STRETCH = 50_000
+STRETCH = 4_096
 
 
 def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,

@@ -99,7 +99,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt AS (
         SELECT s.*, t.source_size, t.target, t.docs,
                ('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '')), 1, 8))::BIGINT
-               % ceil(t.docs / 50000)::BIGINT AS stretch
+               % ceil(t.docs / 4096)::BIGINT AS stretch
         FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
     placed AS (
         SELECT *, row_number() OVER (PARTITION BY source ORDER BY stretch, size, doc_id) AS nth,
