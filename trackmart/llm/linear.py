@@ -53,13 +53,13 @@ def sample_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 
 def collect_sample(sample: DataFrame, rows: int) -> list[tuple[str | None, int]]:
-    """At most ``rows`` rows of either label of a sample, in the order of a hash of the text.
+    """The texts of a sample of ``rows`` ids of either label, in the order of a hash.
 
-    Ids are as a rule one row each, and the limit matters only where they repeat.
+    Ids are as a rule one row each; where they repeat, at most ``2 * rows`` rows
+    are taken.
     """
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("text"), "text"))
-    found = sample.withColumn("nth", nth).filter(F.col("nth") <= rows).select("text", "label")
-    table = found.toArrow()
+    found = sample.orderBy(F.xxhash64("text"), "text", "label").limit(2 * rows)
+    table = found.select("text", "label").toArrow()
     order = sorted(zip(table.column("text").to_pylist(), table.column("label").to_pylist()),
                    key=lambda row: (crc32((row[0] or "").encode()), row[0] or "", row[1]))
     return [(text, int(label)) for text, label in order]

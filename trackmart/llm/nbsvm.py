@@ -84,9 +84,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS
     is that label's; without labels it is 1.
     """
     known = labels.filter("quality in (0, 1)").select("doc_id", F.col("quality").alias("label"))
-    marked = sample_rows(docs, known.filter(~held_out(F.col("doc_id"))), count_rows)
-    scale = log_count_ratios(marked)
-    found = collect_sample(marked, fit_rows)
+    known = known.filter(~held_out(F.col("doc_id")))
+    scale = log_count_ratios(sample_rows(docs, known, count_rows))
+    found = collect_sample(sample_rows(docs, known, fit_rows), fit_rows)
     calibrates = np.arange(len(found)) % 4 == 0
     rows, wanted = [indicators(t) for t, _ in found], np.array([y for _, y in found])
     if len(set(wanted[~calibrates].tolist())) < 2 or len(set(wanted[calibrates].tolist())) < 2:
