@@ -266,7 +266,7 @@ class Pieces:
 
     # -- texts ----------------------------------------------------------------
 
-    def encode_batch(self, texts: Sequence[str | None], most: int = 1_000_000) -> list[bytes]:
+    def encode_batch(self, texts: Sequence[str | None], most: int = 400_000) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; none for null or empty.
 
         A marker stands before the text and for every space; nothing else is
