@@ -115,8 +115,6 @@ class Pieces:
         if (self.bytes_ < 0).any():
             raise ValueError("the model has no byte fallback")
         encoded = {texts[i].encode(): i for i in normal}
-        if any(_MARK in piece.lstrip(_MARK) for piece in encoded if piece.strip(_MARK)):
-            raise ValueError("a piece has a white-space marker after another character")
         if any(MARK in texts[i].lstrip(MARK) for i in normal):
             raise ValueError("a piece has a white-space marker after another character")
         self.trie = Trie(encoded)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trackmart.llm import (exact, html, langid, mixing, nbsvm, pieces, rules, simhash, suffix,
                            tokens)
