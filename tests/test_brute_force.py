@@ -42,7 +42,7 @@ def test_batch_statistics(spark, seed):
         tracks += [(number, i, *t) for i, t in enumerate(top_tracks, 1)]
         genres += [(number, i, *g) for i, g in enumerate(top_genres, 1)]
         second = top_genres[1] if len(top_genres) > 1 else ("", 0)
-        summary.append((number, len(batch), top_tracks[0][0][:50], top_tracks[0][1],
+        summary.append((number, len(batch), top_tracks[0][0], top_tracks[0][1],
                         *top_genres[0], *second))
         for genre, n in top_genres:
             totals[genre] += n
