@@ -127,6 +127,40 @@ def test_near_copies_are_those_with_similar_shingles(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == want
 
 
+@pytest.mark.parametrize("common", [1 << 17, 0])
+def test_near_copies_with_a_block_appended_or_cut_and_short_ones(spark, monkeypatch, common):
+    monkeypatch.setattr(simhash, "ORDER_SHINGLES", common)
+    draw = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = []
+    for size in [3, 4, 5, 6, 8, 9, 12, 15, 20, 30, 40, 60, 90, 130, 200, 300] * 6:
+        base = [draw.choice(vocabulary) for _ in range(size)]
+        share = draw.choice([0.1, 0.15, 0.18, 0.2, 0.22, 0.24, 0.3])
+        more = [draw.choice(vocabulary) for _ in range(max(1, int(size * share)))]
+        fewer = max(1, int(size * share * 0.8))
+        middle = size // 2
+        texts += [base, base + more, more + base, base[:-fewer], base[fewer:],
+                  base[:middle] + more + base[middle:], base[:middle] + base[middle + fewer:]]
+    footer = [f"f{i}" for i in range(12)]
+    texts = [t + footer if i % 3 == 0 and len(t) > 40 else t for i, t in enumerate(texts)]
+    sets = [shingles(" ".join(t)) if t else set() for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string")
+    kept = sorted(r["doc_id"] for r in simhash.drop_near_copies(docs).collect())
+    assert kept == [i for i in range(len(texts)) if find(i) == i]
+
+
 def test_awkward_rows_and_none(spark):
     docs = awkward(spark)
     kept = simhash.drop_near_copies(docs)

@@ -14,6 +14,7 @@ counting differing bits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -30,8 +31,6 @@ BITS = 64
 BLOCK = 16
 #: What a probe costs, in candidates to verify: its row is shuffled, a candidate is a few instructions.
 PROBE_COST = 30.0
-#: The same where candidates are compared in blocks and rows carry more.
-WIDE_PROBE_COST = 1000.0
 
 
 # -- fingerprints --------------------------------------------------------------
@@ -350,12 +349,16 @@ def linked(prints: DataFrame, pairs: Callable[[DataFrame], DataFrame]) -> DataFr
 
 # -- near copies, verified -----------------------------------------------------
 
-#: Fingerprints of single words find candidates; near copies differ in few of those bits.
-SEEDS = (42, 43, 44)
-#: Of 256 bits of five-word fingerprints, those that may differ: at similarity 0.8 the mean is
-#: 39 and the standard deviation 6, so that about one such pair in 400 is lost, and fewer above.
+#: Seeds of 256 bits of fingerprints of a text's shingles, and how many may differ: at similarity
+#: 0.8 the mean is 39 and the standard deviation 6, so that the bound is six deviations away.
 SKETCH = tuple(range(100, 104))
-SKETCH_BITS = 55
+SKETCH_BITS = 75
+#: Sets of fewer shingles are not judged by these bits, which say little about them.
+SKETCH_LEAST = 10
+#: Rows that tell which shingles are common, and how many common ones are put in order. This
+#: decides the work alone: any order gives the same pairs.
+ORDER_ROWS = 10_000
+ORDER_SHINGLES = 1 << 17
 #: Rows of a group that are compared with each other in one task; larger ones are split.
 BLOCK_ROWS = 1024
 
@@ -367,9 +370,11 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     ``size``-word shingles is ``similarity`` or more; groups are what such
     links connect, named by a hash. ``key`` is a hash of doc_id and text.
 
-    Texts with equal sets are one node. Candidates share a probed part of one of
-    three word fingerprints, and have sizes and 256-bit fingerprints of shingles
-    as similar texts have. Neither they nor the links are written out pair by
+    Texts with equal sets are one node. Candidates share a shingle among the
+    first ones of their sets in one order of all shingles, common ones last: of
+    ``n`` shingles the first n - ceil(similarity * n) + 1, as two similar sets
+    always do. They also have sizes and 256-bit fingerprints of shingles as
+    similar texts have. Neither they nor the links are written out pair by
     pair: a task compares the rows of a bucket with each other and gives links
     enough to connect what is alike. The clusters of candidates are then
     compared on their whole sets in the same way. Buckets and clusters over
@@ -377,28 +382,60 @@ def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
     """
     small_batches(docs.sparkSession)
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    words = [f"w{i}" for i in range(len(SEEDS))]
     sketch = [f"s{i}" for i in range(len(SKETCH))]
+    common = docs.sparkSession.sparkContext.broadcast(_common(keyed, size))
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for key, doc_id, text in rows_of(batches, "key", "doc_id", "text"):
             parts = (text or "").encode().translate(FOLD).split()
             chosen = np.unique(shingle_hashes(parts, size, SKETCH[0]))
             yield (key, doc_id, signed(xxhash.xxh64_intdigest(chosen.tobytes())), len(chosen),
-                   *(signed(fingerprint_of(shingle_hashes(parts, 1, s))) for s in SEEDS),
+                   first_shingles(chosen, common.value, similarity).view(np.int64),
                    *(signed(fingerprint_of(_again(chosen, s))) for s in SKETCH))
 
-    schema = "key long, doc_id long, node long, n long" + "".join(
-        f", {c} long" for c in words + sketch)
+    schema = "key long, doc_id long, node long, n long, first array<long>" + "".join(
+        f", {c} long" for c in sketch)
     rows = written(arrow_map(keyed, prints, schema, batch_rows=5000), "prints")
     nodes = written(rows.groupBy("node").agg(
-        F.min("key").alias("key"), *(F.first(c).alias(c) for c in ["n", *words, *sketch])), "nodes")
-    clusters = components(_plausible(nodes, words, sketch, similarity))
+        F.min("key").alias("key"), *(F.first(c).alias(c) for c in ["n", *sketch])), "nodes")
+    firsts = rows.select("node", F.explode("first").alias("shingle"))
+    clusters = components(_plausible(firsts, nodes, sketch, similarity))
     links = _verified(clusters.join(nodes.select("node", "key"), "node"), keyed, size, similarity)
     return rows.join(components(links), "node", "left").select(
         "key", "doc_id", F.coalesce("root", "node").alias("group"))
 
 
+def _common(keyed: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are common in a sample of the texts, sorted, and the place of each: rarest 1."""
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (text,) in rows_of(batches, "text"):
+            parts = (text or "").encode().translate(FOLD).split()
+            found = np.unique(shingle_hashes(parts, size, SKETCH[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
+
+    every = keyed.count() // ORDER_ROWS + 1
+    sample = keyed.filter(F.pmod(F.xxhash64("key"), F.lit(every)) == 0)
+    times = map_batches(sample.select("text"), shingles, "shingle long").groupBy("shingle").agg(
+        F.count("*").alias("times"))
+    most = times.filter("times > 3").orderBy(F.desc("times"), "shingle").limit(ORDER_SHINGLES)
+    found = most.toArrow().column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(found)
+    return found[order], len(found) - order
+
+
+def first_shingles(chosen: np.ndarray, common: tuple[np.ndarray, np.ndarray],
+                   similarity: float) -> np.ndarray:
+    """Those of a sorted set of which any set as similar has one among its own first ones."""
+    if not len(chosen):
+        return chosen
+    count = len(chosen) - math.ceil(similarity * len(chosen) - 1e-9) + 1
+    known, place = common
+    if not len(known):
+        return chosen[:count]
+    at = np.minimum(np.searchsorted(known, chosen), len(known) - 1)
+    return chosen[np.lexsort((chosen, np.where(known[at] == chosen, place[at], 0)))[:count]]
+
+
 def _again(hashes: np.ndarray, seed: int) -> np.ndarray:
     """Other hashes of the same shingles."""
     mixed = (hashes ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
@@ -415,10 +452,15 @@ def _blocks(rows: DataFrame, group: str, node: str) -> DataFrame:
     large = rows.groupBy(group).agg(F.count("*").alias("rows")).filter(F.col("rows") > BLOCK_ROWS)
     split = rows.join(large, group, "left").withColumn(
         "blocks", F.coalesce(F.ceil(F.col("rows") / BLOCK_ROWS), F.lit(1)).cast("int"))
+    return _met(split.drop("rows"), node)
+
+
+def _met(split: DataFrame, node: str) -> DataFrame:
+    """The same for rows that know the ``blocks`` of their group."""
     split = split.withColumn("own", F.pmod(F.xxhash64(node, F.lit(1)), "blocks").cast("int"))
     met = split.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.withColumns({"i": F.least("own", "met"), "j": F.greatest("own", "met")})
-    return met.drop("rows", "blocks", "own", "met")
+    return met.drop("blocks", "own", "met")
 
 
 def _dealt(rows: DataFrame, group: str) -> DataFrame:
@@ -470,61 +512,98 @@ def spanning(alike: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _plausible(nodes: DataFrame, words: list[str], sketch: list[str],
-               similarity: float) -> DataFrame:
-    """(a, b): links that connect all pairs of nodes which can be near copies."""
-    cells = None
-    schema = "bucket long, probe boolean, stored boolean, node long, n long" + "".join(
-        f", {c} long" for c in sketch)
-    for table, word in enumerate(words):
-        fps = nodes.select(F.col(word).alias("fp"), "node", "n", *sketch)
-        cells_here = _cells(fps, plan_for(fps.select("fp"), 3, WIDE_PROBE_COST), table, sketch, schema)
-        cells = cells_here if cells is None else cells.unionByName(cells_here)
+def _whole(batches: Iterator[pa.RecordBatch],
+           group: tuple[str, ...]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Sorted batches cut anew so that none splits a group, and where the groups begin and end."""
+    def cuts_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+                         for c in group])
+        return keys, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for rows in _groups(batches, "bucket"):
-            n = rows.column("n").to_numpy()
-            bits = np.stack([rows.column(c).to_numpy().view(np.uint64) for c in sketch])
-            differing = sum(np.bitwise_count(b[:, None] ^ b[None, :]).astype(np.int16) for b in bits)
-            probe, stored = (rows.column(c).to_numpy(zero_copy_only=False).astype(bool)
-                             for c in ("probe", "stored"))
-            met = probe[:, None] & stored[None, :]
-            alike = (met | met.T) & (differing <= SKETCH_BITS) & (
-                np.minimum(n[:, None], n) >= similarity * np.maximum(n[:, None], n))
-            node = rows.column("node").to_numpy()
-            for a, b in spanning(alike):
-                if node[a] != node[b]:
-                    yield int(node[a]), int(node[b])
+    def cut(held: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+        rows = _together(held)
+        cuts = cuts_of(rows)[1]
+        return rows, np.concatenate([[0], cuts]), np.concatenate([cuts, [rows.num_rows]])
 
-    return arrow_map(_dealt(_blocks(cells, "bucket", "node"), "bucket"), compare,
-                     "a long, b long", batch_rows=20_000)
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, cuts = cuts_of(batch)
+        if held and not np.array_equal(keys[:, 0], last):
+            yield cut(held)
+            held = []
+        if len(cuts):
+            yield cut([*held, batch.slice(0, cuts[-1])])
+            held = []
+        held.append(batch.slice(cuts[-1] if len(cuts) else 0))
+        last = keys[:, -1]
+    if held:
+        yield cut(held)
 
 
-def _cells(fps: DataFrame, plan: Plan, table: int, sketch: list[str], schema: str) -> DataFrame:
-    """Rows of ``fps`` in the buckets where they stand or probe."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = _unsigned(batch)
-            own = np.zeros((len(plan.blocks), len(values)), bool)
-            for part, t, on, keys in plan.probes(values):
-                if t == 0:
-                    own[part, on] = True
-                else:
-                    yield cell(batch, part, on, keys, np.ones(len(on), bool), False)
-            for part in range(len(plan.blocks)):
-                yield cell(batch, part, np.arange(len(values)), plan.values(values, part),
-                           own[part], True)
-
-    def cell(batch: pa.RecordBatch, part: int, on: np.ndarray, keys: np.ndarray,
-             probe: np.ndarray, stored: bool) -> pa.RecordBatch:
-        at = pa.array(on)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys | (table * 8 + part) << 40), pa.array(probe),
-             pa.array(np.full(len(on), stored)),
-             *(batch.column(c).take(at) for c in ("node", "n", *sketch))],
-            names=["bucket", "probe", "stored", "node", "n", *sketch])
-
-    return map_batches(fps, rows, schema)
+def _shared(firsts: DataFrame) -> DataFrame:
+    """(bucket, node, blocks): the shingles that several nodes have among their first ones."""
+    block_rows = BLOCK_ROWS
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begin, _ in _whole(batches, ("shingle",)):
+            node = rows.column("node").to_numpy()
+            new = np.concatenate([[True], node[1:] != node[:-1]])
+            new[begin] = True
+            sizes = np.add.reduceat(new.astype(np.int64), begin)
+            sizes = np.repeat(sizes, np.diff(np.append(begin, len(node))))
+            at = np.flatnonzero(new & (sizes > 1))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("shingle").take(pa.array(at)), pa.array(node[at]),
+                 pa.array(-(-sizes[at] // block_rows), pa.int32())],
+                names=["bucket", "node", "blocks"])
+
+    dealt = firsts.select("shingle", "node").repartition("shingle").sortWithinPartitions(
+        "shingle", "node")
+    return map_batches(dealt, several, "bucket long, node long, blocks int")
+
+
+def _plausible(firsts: DataFrame, nodes: DataFrame, sketch: list[str],
+               similarity: float) -> DataFrame:
+    """(a, b): links that connect all pairs of nodes which can be near copies."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begin, end in _whole(batches, ("bucket", "i", "j")):
+            n, node = rows.column("n").to_numpy(), rows.column("node").to_numpy()
+            bits = np.stack([rows.column(c).to_numpy().view(np.uint64) for c in sketch])
+
+            def near(a, b: np.ndarray) -> np.ndarray:
+                differing = np.bitwise_count(bits[:, b] ^ bits[:, a].reshape(len(bits), -1)).sum(
+                    0, dtype=np.int64)
+                larger = np.maximum(n[a], n[b])
+                return ((differing <= SKETCH_BITS) | (larger < SKETCH_LEAST)) & (
+                    np.minimum(n[a], n[b]) >= similarity * larger - 1e-9)
+
+            two = begin[end - begin == 2]
+            two = two[near(two, two + 1)]
+            links = [(two, two + 1)]
+            for g in np.flatnonzero(end - begin > 2):
+                links.extend(connected(np.arange(begin[g], end[g]), near))
+            a, b = (np.concatenate(side) for side in zip(*links))
+            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])],
+                                             names=["a", "b"])
+
+    cells = _met(_shared(firsts).join(nodes.select("node", "n", *sketch), "node"), "node")
+    return map_batches(_dealt(cells, "bucket"), compare, "a long, b long")
+
+
+def connected(left: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]
+              ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(members, the first of each) for what ``near`` connects; who is reached is not asked again."""
+    while len(left) > 1:
+        first, left = left[0], left[1:]
+        front = [first]
+        while front and len(left):
+            alike = near(front.pop(), left)
+            found, left = left[alike], left[~alike]
+            if len(found):
+                yield found, np.full(len(found), first)
+                front.extend(found)
 
 
 def _verified(members: DataFrame, keyed: DataFrame, size: int, similarity: float) -> DataFrame:
