@@ -102,3 +102,14 @@ def test_awkward_rows_and_none(spark):
         assert len(scores) == 11 and all(0 <= r["score"] <= 1 for r in scores)
     assert rules.judge(empty(spark), labels(spark)).count() == 0
     assert nbsvm.score_quality(empty(spark), labels(spark)).count() == 0
+
+
+def test_repeated_rows_of_one_label_do_not_fill_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60) for _ in range(80 if i % 2 else 1)],
+                                 "doc_id long, text string")
+    several = spark.createDataFrame([(1, f"other {i}") for i in range(500)], docs.schema)
+    marks = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, label int")
+    for given_docs in (docs, docs.union(several)):
+        found = linear.collect_sample(linear.sample_rows(given_docs, marks, 20), 20)
+        assert Counter(label for _, label in found) == {0: 20, 1: 20}
+        assert len(set(found)) == 40

@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackmart.llm.common import written
+
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -41,7 +43,7 @@ def char_grams(text: str | None, size: int, buckets: int) -> np.ndarray:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(text, label) of at most ``rows`` ids of either label, chosen by a hash of the id.
+    """(doc_id, text, label) of at most ``rows`` ids of either label, chosen by a hash of the id.
 
     The chosen ids are ``2 * rows`` at most, whatever the input, and so can be
     broadcast: the documents are not shuffled.
@@ -49,17 +51,19 @@ def sample_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
     known = labels.select("doc_id", "label").filter("doc_id is not null").distinct()
     chosen = known.withColumn("nth", nth).filter(F.col("nth") <= rows).drop("nth")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
 def collect_sample(sample: DataFrame, rows: int) -> list[tuple[str | None, int]]:
-    """The texts of a sample of ``rows`` ids of either label, in the order of a hash.
+    """At most ``rows`` texts of either label from a sample of as many ids, in the order of a hash.
 
-    Ids are as a rule one row each; where they repeat, at most ``2 * rows`` rows
-    are taken.
+    Rows that agree in doc_id, text and label count once. Ids with several
+    texts can be more than ``rows`` rows; a hash of the text then decides.
     """
-    found = sample.orderBy(F.xxhash64("text"), "text", "label").limit(2 * rows)
-    table = found.select("text", "label").toArrow()
+    once = written(sample.select("doc_id", "text", "label").distinct(), "sample")
+    found = [once.filter(F.col("label") == label).orderBy(F.xxhash64("text"), "text").limit(rows)
+             for label in (0, 1)]
+    table = found[0].unionByName(found[1]).select("text", "label").toArrow()
     order = sorted(zip(table.column("text").to_pylist(), table.column("label").to_pylist()),
                    key=lambda row: (crc32((row[0] or "").encode()), row[0] or "", row[1]))
     return [(text, int(label)) for text, label in order]
