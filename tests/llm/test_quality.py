@@ -7,6 +7,7 @@ from zlib import crc32
 
 import numpy as np
 from common_rows import awkward, empty, labels
+from pyspark.sql import functions as F
 
 from trackmart.llm import linear, nbsvm, rules
 from trackmart.llm.common import documents
@@ -113,3 +114,13 @@ def test_repeated_rows_of_one_label_do_not_fill_the_sample(spark):
         found = linear.collect_sample(linear.sample_rows(given_docs, marks, 20), 20)
         assert Counter(label for _, label in found) == {0: 20, 1: 20}
         assert len(set(found)) == 40
+
+
+def test_sampled_ids_are_the_first_by_hash_without_a_window(spark):
+    docs = spark.range(300).selectExpr("id as doc_id", "cast(id as string) as text")
+    marks = spark.range(300).selectExpr("id as doc_id", "cast(id % 2 as int) as label")
+    sample = linear.sample_rows(docs, marks.union(marks), 7)
+    assert "Window" not in sample._jdf.queryExecution().toString()
+    order = [r[0] for r in marks.selectExpr("doc_id").orderBy(F.xxhash64("doc_id")).collect()]
+    want = [i for odd in (0, 1) for i in [i for i in order if i % 2 == odd][:7]]
+    assert sorted(r["doc_id"] for r in sample.collect()) == sorted(want)

@@ -6,7 +6,7 @@ import math
 from zlib import crc32
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackmart.llm.common import written
@@ -43,14 +43,16 @@ def char_grams(text: str | None, size: int, buckets: int) -> np.ndarray:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``rows`` ids of either label, chosen by a hash of the id.
+    """(doc_id, text, label) of at most ``rows`` ids of either label, 0 and 1, chosen by a hash of the id.
 
     The chosen ids are ``2 * rows`` at most, whatever the input, and so can be
     broadcast: the documents are not shuffled.
     """
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    known = labels.select("doc_id", "label").filter("doc_id is not null").distinct()
-    chosen = known.withColumn("nth", nth).filter(F.col("nth") <= rows).drop("nth")
+    known = labels.select("doc_id", "label").filter("doc_id is not null")
+    first, second = (
+        known.filter(F.col("label") == label).distinct().orderBy(
+            F.xxhash64("doc_id"), "doc_id").limit(rows) for label in (0, 1))
+    chosen = first.unionByName(second)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 

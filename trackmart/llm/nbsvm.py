@@ -1,8 +1,9 @@
 """Quality classifier: naive Bayes support vectors (operator 7).
 
 Indicators of hashed word n-grams are scaled by the log ratio of their counts
-in the two classes, counted over all labelled training rows, and a linear
-hinge-loss model is fitted on them by dual coordinate descent.
+in the two classes, counted over the labelled training rows of at most
+``COUNT_ROWS`` ids of either label, and a linear hinge-loss model is fitted on
+them by dual coordinate descent.
 """
 
 from __future__ import annotations
