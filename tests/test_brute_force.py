@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows
+from table_rows import rows
 
 from trackmart import schemas
 from trackmart.operators import dedup, joins

@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from trackmart.functions import columns as C

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from trackmart.operators import aggregates, dedup, filters, joins, quality

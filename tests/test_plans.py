@@ -2,7 +2,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import rows
+from table_rows import rows
 from pyspark.sql import functions as F
 
 from trackmart import schemas
