@@ -1,0 +1,99 @@
+"""Operator 11: periodic runs of words."""
+
+import itertools
+import random
+
+import pytest
+from common_rows import EXTRA, awkward, empty
+
+from trackmart.llm import periods
+
+
+def brute(words):
+    """Every maximal stretch by its smallest period, by definition."""
+    n, best = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i:
+                length = j + q - i
+                if length >= max(6, 4 * q):
+                    best.setdefault((i, length), q)
+            i = j + 1
+    return sorted(((s, length, q) for (s, length), q in best.items()), key=lambda r: (r[0], r[2]))
+
+
+def check(words):
+    words = [str(w).encode() for w in words]
+    runs = brute(words)
+    assert periods.runs_of(words) == runs, words
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    kept = [w for i, w in enumerate(words) if i not in dropped]
+    assert periods.without_repeats(words, runs) == kept
+
+
+def test_all_short_texts_of_two_words():
+    for n in range(15):
+        for words in itertools.product("ab", repeat=n):
+            check(words)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_random_repetitions(seed):
+    draw = random.Random(seed)
+    words: list = []
+    while len(words) < draw.choice([30, 200, 1200]):
+        kind = draw.random()
+        if kind < 0.3:
+            words += [draw.randrange(draw.choice([2, 5, 1000])) for _ in range(draw.randrange(1, 20))]
+        elif kind < 0.5 and words:
+            back = draw.randrange(1, min(len(words), 60) + 1)
+            words += words[-back:][:draw.randrange(1, back + 1)]
+        else:
+            unit = [draw.randrange(draw.choice([2, 3, 50])) for _ in range(draw.randrange(1, 40))]
+            times = draw.randrange(1, 9)
+            words += unit * times + unit[:draw.randrange(len(unit) + 1)]
+    check(words)
+
+
+@pytest.mark.parametrize("words", [
+    ["a"] * 500, (["a"] * 5 + ["b"]) * 40, ["a", "b"] * 3 + ["a"] * 7 + ["b"] * 9,
+    sum((["a"] * 30 + [f"x{i}"] for i in range(30)), []),
+    (["a"] * 9 + ["b"]) * 4 + (["a"] * 9 + ["c"]) * 4, list("abcabcabcabcab") * 5,
+    list("ab" * 3 + "c") * 6 + list("ab" * 9), list(range(300)) * 5,
+])
+def test_nested_and_neighbouring_runs(words):
+    check(words)
+    fibonacci = ["a"], ["a", "b"]
+    while len(fibonacci[1]) < 600:
+        fibonacci = fibonacci[1], fibonacci[1] + fibonacci[0]
+    check(fibonacci[1] + words)
+
+
+def test_long_repetitive_texts_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert periods.runs_of([b"a"] * 200_000) == [(0, 200_000, 1)]
+    unit = [b"%d" % i for i in range(1000)]
+    assert periods.runs_of(unit * 200) == [(0, 200_000, 1000)]
+    hostile = sum(([b"a"] * 300 + [b"x%d" % i] for i in range(600)), [])
+    assert len(periods.runs_of(hostile)) == 600
+    assert time.perf_counter() - start < 60
+
+
+def test_documents(spark):
+    found = {(r["doc_id"], r["collapsed"]): r for r in periods.periodic_runs(awkward(spark)).collect()}
+    rows = awkward(spark).collect()
+    assert len(rows) == 11 and periods.periodic_runs(awkward(spark)).count() == 11
+    for row in rows:
+        words = (row["text"] or "").encode().split()
+        runs = brute(words) if len(words) < 5000 else [(0, 30_000, 1)]
+        want = b" ".join(periods.without_repeats(words, runs)).decode()
+        got = found[row["doc_id"], want]
+        assert got["n_words"] == len(words)
+        assert [tuple(r) for r in got["runs"]] == runs
+    assert len(EXTRA) and periods.periodic_runs(empty(spark)).collect() == []

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trackmart.llm import (exact, html, langid, mixing, nbsvm, pieces, rules, simhash, suffix,
-                           tokens)
-from trackmart.llm.common import documents
+from trackmart.llm import (bytebpe, exact, html, infill, langid, mixing, nbsvm, periods, pieces,
+                           rules, simhash, suffix, tokens)
+from trackmart.llm.common import WORD, documents
 from trackmart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +127,103 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) where a tenth of the texts, chosen by id, ends in repetitions.
+
+    With h the crc32 of the id as text and g = h // 10: where h % 10 is 0 and the
+    text has n > 0 words, word i >= a = g % n becomes word a + (i - a) % p, with
+    p = 1 + (n - a) // (3 + g % 8), and the words are joined by a space.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select(
+        "doc_id", "text", F.floor(h / 10).alias("g"),
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("words"))
+    n = F.size("words")
+    placed = chosen.withColumn("a", F.when(n > 0, (F.col("g") % F.greatest(n, F.lit(1)))
+                                           .cast("int")))
+    a, words = F.col("a"), F.col("words")
+    placed = placed.withColumn("p", (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.transform(F.sequence(a, n - 1),
+                       lambda i: F.element_at(words, a + (i - a) % F.col("p") + 1))
+    repeated = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return placed.select("doc_id", F.when(a.isNotNull(), repeated).otherwise(F.col("text"))
+                         .alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of runs, the longest one, and digests of all runs and of the collapsed text."""
+    found = periods.periodic_runs(with_repeated_tails(documents(spark, sf_dir, "doc_id", "text")))
+    runs = F.col("runs")
+    # The greatest length, then the smallest start and period.
+    best = F.array_max(F.transform(runs, lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"),
+        (-r["period"]).alias("period"))))
+    lines = F.transform(runs, lambda r: F.concat(
+        F.concat_ws(",", *(r[f].cast("string") for f in ("start", "length", "period"))),
+        F.lit("\n")))
+    rows = found.select("doc_id", F.size(runs).cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return rows.select(
+        "doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
+@query("op12_fill_in_middle", r"""
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+               sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+        FROM documents),
+    drawn AS (
+        SELECT *, len(units)::BIGINT AS n,
+               ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS u1,
+               ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS u2,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                         OR contains(text, '<M>') OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100
+                    THEN 'plain'
+                    WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm'
+                    ELSE 'psm' END AS form
+        FROM cut),
+    parts AS (
+        SELECT *, coalesce(array_to_string(units[1:least(u1, u2)], ''), '') AS p,
+               coalesce(array_to_string(units[least(u1, u2) + 1:greatest(u1, u2)], ''), '') AS m,
+               coalesce(array_to_string(units[greatest(u1, u2) + 1:], ''), '') AS s
+        FROM drawn)
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+                  WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Examples from stored frames, and digests of the outputs and of the texts rebuilt from them."""
+    path = scratch_path(spark, "frames")
+    infill.write_frames(documents(spark, sf_dir, "doc_id", "text"), path)
+    found = infill.fill_in_middle(infill.read_frames(spark, path))
+    back = infill.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", F.col("units").alias("n"), "form", "prefix_chars",
+                        "middle_chars", "output_sha256",
+                        F.sha2(back, 256).alias("restored_sha256"))
+
+
+@query("op13_byte_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of ids, and digests of the ids and of the bytes that they spell."""
+    encoded = bytebpe.encode_documents(documents(spark, sf_dir, "doc_id", "text"))
+    found = bytebpe.decode_documents(encoded)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
