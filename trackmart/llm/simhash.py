@@ -14,7 +14,6 @@ counting differing bits.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from itertools import combinations
 
@@ -73,22 +72,26 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def fingerprints(docs: DataFrame, size: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
+def fingerprints(docs: DataFrame, size: int = 3, seeds: tuple[int, ...] = (42,),
+                 *keys: str) -> DataFrame:
     """(doc_id, f0, f1, ...): a fingerprint of each document and seed, as a signed long.
 
     Texts are folded A-Z only and taken whole. A null, empty or blank text has
-    zero. Rows come out one for one; other columns of ``docs`` are ignored.
+    zero. Rows come out one for one, with the long columns ``keys`` after
+    doc_id; other columns of ``docs`` are ignored.
     """
     small_batches(docs.sparkSession)
+    names = ("doc_id", *keys)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for doc_id, text in rows_of(batches, "doc_id", "text"):
+        for *own, text in rows_of(batches, *names, "text"):
             words = (text or "").encode().translate(FOLD).split()
-            yield (doc_id, *(signed(fingerprint_of(shingle_hashes(words, size, s)))
-                             for s in seeds))
+            yield (*own, *(signed(fingerprint_of(shingle_hashes(words, size, s)))
+                           for s in seeds))
 
-    schema = "doc_id long" + "".join(f", f{i} long" for i in range(len(seeds)))
-    return arrow_map(docs.select("doc_id", "text"), rows, schema, batch_rows=5000)
+    columns = [*names, *(f"f{i}" for i in range(len(seeds)))]
+    return arrow_map(docs.select(*names, "text"), rows, ", ".join(f"{c} long" for c in columns),
+                     batch_rows=5000)
 
 
 # -- parts and thresholds ------------------------------------------------------
@@ -336,334 +339,35 @@ def near_duplicates(docs: DataFrame, size: int = 3, seed: int = 42,
 
 
 def linked(prints: DataFrame, pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``prints`` (doc_id, fp) with the smallest doc_id of each component of fingerprints."""
+    """``prints`` (doc_id, fp, ...) with the root and the smallest doc_id of their component."""
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(pairs(nodes.select("fp")))
     smallest = nodes.join(roots, nodes["fp"] == roots["node"], "left")
     root: Column = F.coalesce("root", "fp")
     smallest = smallest.select("fp", root.alias("root"), "least")
     reach = smallest.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = smallest.select("fp", "root").join(reach, "root").select("fp", "component_id")
+    labels = smallest.select("fp", "root").join(reach, "root").select("fp", "root", "component_id")
     return prints.join(labels, "fp")
 
 
-# -- near copies, verified -----------------------------------------------------
-
-#: Seeds of 256 bits of fingerprints of a text's shingles, and how many may differ: at similarity
-#: 0.8 the mean is 39 and the standard deviation 6, so that the bound is six deviations away.
-SKETCH = tuple(range(100, 104))
-SKETCH_BITS = 75
-#: Sets of fewer shingles are not judged by these bits, which say little about them.
-SKETCH_LEAST = 10
-#: Rows that tell which shingles are common, and how many common ones are put in order. This
-#: decides the work alone: any order gives the same pairs.
-ORDER_ROWS = 10_000
-ORDER_SHINGLES = 1 << 17
-#: Rows of a group that are compared with each other in one task; larger ones are split.
-BLOCK_ROWS = 1024
-
-
-def near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(key, doc_id, group): rows of ``docs`` with the group of near copies they belong to.
-
-    Two texts are near copies where the Jaccard similarity of their sets of
-    ``size``-word shingles is ``similarity`` or more; groups are what such
-    links connect, named by a hash. ``key`` is a hash of doc_id and text.
-
-    Texts with equal sets are one node. Candidates share a shingle among the
-    first ones of their sets in one order of all shingles, common ones last: of
-    ``n`` shingles the first n - ceil(similarity * n) + 1, as two similar sets
-    always do. They also have sizes and 256-bit fingerprints of shingles as
-    similar texts have. Neither they nor the links are written out pair by
-    pair: a task compares the rows of a bucket with each other and gives links
-    enough to connect what is alike. The clusters of candidates are then
-    compared on their whole sets in the same way. Buckets and clusters over
-    ``BLOCK_ROWS`` are split into blocks, and every two blocks meet in a task.
-    """
-    small_batches(docs.sparkSession)
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-    sketch = [f"s{i}" for i in range(len(SKETCH))]
-    common = docs.sparkSession.sparkContext.broadcast(_common(keyed, size))
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for key, doc_id, text in rows_of(batches, "key", "doc_id", "text"):
-            parts = (text or "").encode().translate(FOLD).split()
-            chosen = np.unique(shingle_hashes(parts, size, SKETCH[0]))
-            yield (key, doc_id, signed(xxhash.xxh64_intdigest(chosen.tobytes())), len(chosen),
-                   first_shingles(chosen, common.value, similarity).view(np.int64),
-                   *(signed(fingerprint_of(_again(chosen, s))) for s in SKETCH))
-
-    schema = "key long, doc_id long, node long, n long, first array<long>" + "".join(
-        f", {c} long" for c in sketch)
-    rows = written(arrow_map(keyed, prints, schema, batch_rows=5000), "prints")
-    nodes = written(rows.groupBy("node").agg(
-        F.min("key").alias("key"), *(F.first(c).alias(c) for c in ["n", *sketch])), "nodes")
-    firsts = rows.select("node", F.explode("first").alias("shingle"))
-    clusters = components(_plausible(firsts, nodes, sketch, similarity))
-    links = _verified(clusters.join(nodes.select("node", "key"), "node"), keyed, size, similarity)
-    return rows.join(components(links), "node", "left").select(
-        "key", "doc_id", F.coalesce("root", "node").alias("group"))
-
-
-def _common(keyed: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are common in a sample of the texts, sorted, and the place of each: rarest 1."""
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (text,) in rows_of(batches, "text"):
-            parts = (text or "").encode().translate(FOLD).split()
-            found = np.unique(shingle_hashes(parts, size, SKETCH[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["shingle"])
-
-    every = keyed.count() // ORDER_ROWS + 1
-    sample = keyed.filter(F.pmod(F.xxhash64("key"), F.lit(every)) == 0)
-    times = map_batches(sample.select("text"), shingles, "shingle long").groupBy("shingle").agg(
-        F.count("*").alias("times"))
-    most = times.filter("times > 3").orderBy(F.desc("times"), "shingle").limit(ORDER_SHINGLES)
-    found = most.toArrow().column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(found)
-    return found[order], len(found) - order
-
-
-def first_shingles(chosen: np.ndarray, common: tuple[np.ndarray, np.ndarray],
-                   similarity: float) -> np.ndarray:
-    """Those of a sorted set of which any set as similar has one among its own first ones."""
-    if not len(chosen):
-        return chosen
-    count = len(chosen) - math.ceil(similarity * len(chosen) - 1e-9) + 1
-    known, place = common
-    if not len(known):
-        return chosen[:count]
-    at = np.minimum(np.searchsorted(known, chosen), len(known) - 1)
-    return chosen[np.lexsort((chosen, np.where(known[at] == chosen, place[at], 0)))[:count]]
-
-
-def _again(hashes: np.ndarray, seed: int) -> np.ndarray:
-    """Other hashes of the same shingles."""
-    mixed = (hashes ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return mixed ^ (mixed >> np.uint64(29))
-
-
-def _blocks(rows: DataFrame, group: str, node: str) -> DataFrame:
-    """``rows`` with the two blocks ``i`` <= ``j`` of their group that meet in a task.
-
-    Only groups over ``BLOCK_ROWS`` have more than one block; their rows are
-    repeated once for each block.
-    """
-    large = rows.groupBy(group).agg(F.count("*").alias("rows")).filter(F.col("rows") > BLOCK_ROWS)
-    split = rows.join(large, group, "left").withColumn(
-        "blocks", F.coalesce(F.ceil(F.col("rows") / BLOCK_ROWS), F.lit(1)).cast("int"))
-    return _met(split.drop("rows"), node)
-
-
-def _met(split: DataFrame, node: str) -> DataFrame:
-    """The same for rows that know the ``blocks`` of their group."""
-    split = split.withColumn("own", F.pmod(F.xxhash64(node, F.lit(1)), "blocks").cast("int"))
-    met = split.withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.withColumns({"i": F.least("own", "met"), "j": F.greatest("own", "met")})
-    return met.drop("blocks", "own", "met")
-
-
-def _dealt(rows: DataFrame, group: str) -> DataFrame:
-    """The rows of two blocks that meet in one task, one after another."""
-    keys = [group, "i", "j"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys)
-
-
-def _groups(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[pa.RecordBatch]:
-    """The rows of sorted batches, group and pair of blocks by group, those of one row left out."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                         for c in (group, "i", "j")])
-        cuts = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()
-        if held and not np.array_equal(keys[:, 0], last):
-            cuts = [0, *cuts]
-        for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if begin in cuts and held:
-                if sum(b.num_rows for b in held) > 1:
-                    yield _together(held)
-                held = []
-            if end > begin:
-                held.append(batch.slice(begin, end - begin))
-        last = keys[:, -1]
-    if sum(b.num_rows for b in held) > 1:
-        yield _together(held)
-
-
-def _together(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
-
-
-def spanning(alike: np.ndarray) -> list[tuple[int, int]]:
-    """(member, first member) for what a symmetric matrix connects, beyond each first member."""
-    left, out = np.ones(len(alike), bool), []
-    for first in range(len(alike)):
-        if not left[first]:
-            continue
-        left[first] = False
-        front = [first]
-        while front:
-            found = np.flatnonzero(alike[front].any(0) & left)
-            left[found] = False
-            out.extend((int(i), first) for i in found)
-            front = found.tolist()
-    return out
-
+def drop_near_copies(docs: DataFrame, size: int = 3, seed: int = 42,
+                     distance: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each group of documents whose
+    fingerprints link, as in ``near_duplicates``, the one with the smallest doc_id, a null id last.
 
-def _whole(batches: Iterator[pa.RecordBatch],
-           group: tuple[str, ...]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Sorted batches cut anew so that none splits a group, and where the groups begin and end."""
-    def cuts_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                         for c in group])
-        return keys, np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1
-
-    def cut(held: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-        rows = _together(held)
-        cuts = cuts_of(rows)[1]
-        return rows, np.concatenate([[0], cuts]), np.concatenate([cuts, [rows.num_rows]])
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys, cuts = cuts_of(batch)
-        if held and not np.array_equal(keys[:, 0], last):
-            yield cut(held)
-            held = []
-        if len(cuts):
-            yield cut([*held, batch.slice(0, cuts[-1])])
-            held = []
-        held.append(batch.slice(cuts[-1] if len(cuts) else 0))
-        last = keys[:, -1]
-    if held:
-        yield cut(held)
-
-
-def _shared(firsts: DataFrame) -> DataFrame:
-    """(bucket, node, blocks): the shingles that several nodes have among their first ones."""
-    block_rows = BLOCK_ROWS
-
-    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, begin, _ in _whole(batches, ("shingle",)):
-            node = rows.column("node").to_numpy()
-            new = np.concatenate([[True], node[1:] != node[:-1]])
-            new[begin] = True
-            sizes = np.add.reduceat(new.astype(np.int64), begin)
-            sizes = np.repeat(sizes, np.diff(np.append(begin, len(node))))
-            at = np.flatnonzero(new & (sizes > 1))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("shingle").take(pa.array(at)), pa.array(node[at]),
-                 pa.array(-(-sizes[at] // block_rows), pa.int32())],
-                names=["bucket", "node", "blocks"])
-
-    dealt = firsts.select("shingle", "node").repartition("shingle").sortWithinPartitions(
-        "shingle", "node")
-    return map_batches(dealt, several, "bucket long, node long, blocks int")
-
-
-def _plausible(firsts: DataFrame, nodes: DataFrame, sketch: list[str],
-               similarity: float) -> DataFrame:
-    """(a, b): links that connect all pairs of nodes which can be near copies."""
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, begin, end in _whole(batches, ("bucket", "i", "j")):
-            n, node = rows.column("n").to_numpy(), rows.column("node").to_numpy()
-            bits = np.stack([rows.column(c).to_numpy().view(np.uint64) for c in sketch])
-
-            def near(a, b: np.ndarray) -> np.ndarray:
-                differing = np.bitwise_count(bits[:, b] ^ bits[:, a].reshape(len(bits), -1)).sum(
-                    0, dtype=np.int64)
-                larger = np.maximum(n[a], n[b])
-                return ((differing <= SKETCH_BITS) | (larger < SKETCH_LEAST)) & (
-                    np.minimum(n[a], n[b]) >= similarity * larger - 1e-9)
-
-            two = begin[end - begin == 2]
-            two = two[near(two, two + 1)]
-            links = [(two, two + 1)]
-            for g in np.flatnonzero(end - begin > 2):
-                links.extend(connected(np.arange(begin[g], end[g]), near))
-            a, b = (np.concatenate(side) for side in zip(*links))
-            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])],
-                                             names=["a", "b"])
-
-    cells = _met(_shared(firsts).join(nodes.select("node", "n", *sketch), "node"), "node")
-    return map_batches(_dealt(cells, "bucket"), compare, "a long, b long")
-
-
-def connected(left: np.ndarray, near: Callable[[int, np.ndarray], np.ndarray]
-              ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(members, the first of each) for what ``near`` connects; who is reached is not asked again."""
-    while len(left) > 1:
-        first, left = left[0], left[1:]
-        front = [first]
-        while front and len(left):
-            alike = near(front.pop(), left)
-            found, left = left[alike], left[~alike]
-            if len(found):
-                yield found, np.full(len(found), first)
-                front.extend(found)
-
-
-def _verified(members: DataFrame, keyed: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(a, b): links that connect all pairs of ``members`` (node, root, key) with similar sets."""
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for root, i, j, node, text in rows_of(batches, "root", "i", "j", "node", "text"):
-            parts = (text or "").encode().translate(FOLD).split()
-            hashes = np.unique(shingle_hashes(parts, size, SKETCH[0]) >> np.uint64(32))
-            yield root, i, j, node, hashes.astype(np.uint32).view(np.int32)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for rows in _groups(batches, "root"):
-            node = rows.column("node").to_numpy()
-            for a, b in spanning(similar(rows.column("shingles"), similarity)):
-                if node[a] != node[b]:
-                    yield int(node[a]), int(node[b])
-
-    # Rows of one key are alike; one of them stands for the node.
-    blocks = _blocks(members, "root", "node")
-    texts = keyed.select("key", "text").join(blocks, "key")
-    shingles = arrow_map(texts, sets, "root long, i int, j int, node long, shingles array<int>",
-                         batch_rows=500)
-    return arrow_map(_dealt(shingles, "root"), compare, "a long, b long", batch_rows=20_000)
-
-
-def similar(sets: pa.ListArray, similarity: float, width: int = 2048) -> np.ndarray:
-    """Which of some sets have a Jaccard similarity of ``similarity`` or more: a matrix.
-
-    Common members are counted as a product of incidence matrices, ``width``
-    members at a time; a member of one set alone counts in its size only.
-    """
-    sizes = np.diff(sets.offsets.to_numpy())
-    which = np.repeat(np.arange(len(sizes)), sizes)
-    _, member, times = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
-    shared = times[member] > 1
-    which, member = which[shared], member[shared]
-    place = np.cumsum(times > 1) - 1
-    member = place[member]
-    order = np.argsort(member, kind="stable")
-    which, member = which[order], member[order]
-    common = np.zeros((len(sizes), len(sizes)), np.float32)
-    for first in range(0, int(member[-1]) + 1 if len(member) else 0, width):
-        a, b = np.searchsorted(member, [first, first + width])
-        incidence = np.zeros((len(sizes), min(width, int(member[-1]) + 1 - first)), np.float32)
-        incidence[which[a:b], member[a:b] - first] = 1
-        common += incidence @ incidence.T
-    return common >= similarity * (sizes[:, None] + sizes - common) - 1e-3
-
-
-def drop_near_copies(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each group of near copies the
-    one with the smallest doc_id, a null id last.
-
-    Texts without a word are one group. Of rows that agree in doc_id and text
-    one stays. Other columns are kept whatever their names.
+    Null, empty and blank texts have the fingerprint zero and are one group
+    with what links to it. Texts are taken whole, however long. Of rows that
+    agree in doc_id and text one stays. Other columns are kept whatever their
+    names. Empty in, empty out.
     """
-    groups = near_copies(docs, size, similarity)
+    key = F.xxhash64("doc_id", "text")
+    keyed = docs.select("doc_id", "text", key.alias("key"))
+    prints = written(fingerprints(keyed, size, (seed,), "key").withColumnRenamed("f0", "fp"),
+                     "prints")
+    groups = linked(prints, lambda fps: close_pairs(fps, distance))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    stay = groups.groupBy("group").agg(F.min(order).alias("best")).select("best.key")
-    held = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.struct("*").alias("row"))
+    stay = groups.groupBy("root").agg(F.min(order).alias("best")).select("best.key")
+    held = docs.select(key.alias("key"), F.struct("*").alias("row"))
     others = [F.col("row").getField(c) for c in docs.columns if c not in ("doc_id", "text")]
     nth = F.row_number().over(Window.partitionBy("key").orderBy(F.to_json(F.struct(
         F.lit(0), *others))))
