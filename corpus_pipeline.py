@@ -24,7 +24,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near copies: three-word shingles, 3 differing bits at most."""
     return simhash.drop_near_copies(docs)
 
 
@@ -46,8 +46,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("encode_pieces", encode_pieces),
 ]
 
-#: Trained models, shingle similarity and piece search are beyond SQL; tests compare the stages
-#: with plain Python.
+#: Trained models, fingerprints and piece search are beyond SQL; tests compare the stages with
+#: plain Python.
 ORACLE_SQL: str | None = None
 
 
