@@ -114,6 +114,30 @@ def csv_broken_quotes(spark, sf_dir):
     return lake.broken_quotes(spark, path)
 
 
+@query(
+    "SELECT album_id, track_id, CASE WHEN CAST(track_id AS BIGINT) % 7 <> 0 THEN "
+    "CASE WHEN CAST(track_id AS BIGINT) % 3 = 0 THEN trim(album_name) || chr(10) || 'disc \"2\", live' "
+    "|| chr(10) ELSE trim(album_name) || ' 12\" mix' END END AS album_name FROM raw_albums"
+)
+def csv_multiline_scan(spark, sf_dir):
+    """Every third record has line breaks, commas and quotes inside quotes; others have quotes
+    inside a field without quotes, and every seventh one opens a quote that nothing closes."""
+    raw = roles.raw_albums(spark, sf_dir)
+    number, name = F.col("track_id").cast("bigint"), F.trim("album_name")
+    field = (
+        F.when(number % 7 == 0, F.concat(F.lit('"stray '), name))
+        .when(number % 3 == 0, F.concat(F.lit('"'), name, F.lit('\ndisc ""2"", live\n"')))
+        .otherwise(F.concat(name, F.lit(' 12" mix')))
+    )
+    line = F.concat_ws(",", "album_id", "track_id", field)
+    path = scratch_path(spark, "multi-line")
+    raw.select(line.alias("value")).write.text(path)
+    names = ["album_id", "track_id", "album_name"]
+    found = lake.read_csv(spark, path, names, multi_line=True, header=False)
+    known = F.col("track_id").cast("bigint") % 7 != 0
+    return found.withColumn("album_name", F.when(known, F.col("album_name")))
+
+
 # A manifest as large as the data: every part is an expected file, and an order for every second
 # customer of the same number says that it is there and how large.
 _LISTED = (

@@ -12,9 +12,7 @@ from pyspark.sql.streaming import DataStreamReader
 
 from trackmart import schemas
 from trackmart.functions.columns import WHOLE_TYPES, lenient_cast, whole_number
-
-QUOTING = {"escape": '"'}
-LINE = "_line"
+from trackmart.sources.records import LINE, QUOTING, read_lines, read_records
 
 
 @dataclass(frozen=True)
@@ -51,11 +49,11 @@ def read_csv(
     drops lines with more fields than the header or ``columns`` have, blank ones
     counted; a line with fewer keeps NULL in the rest. A file splits over many
     tasks, one line being one row; ``multi_line`` keeps a line break inside
-    quotes in its field, at the price of one task per file.
+    quotes in its field, see ``records``: files split all the same, each is
+    looked through once more, and a stray quote costs its own record.
     """
-    reader = spark.read.options(**QUOTING, header=header, multiLine=multi_line)
     if header:
-        names = reader.csv(path).columns
+        names = spark.read.options(**QUOTING, header=True).csv(path).columns
         absent = [c for c in columns or () if c not in names]
         if absent:
             raise ValueError(f"the header of {path} lacks {absent}")
@@ -63,19 +61,9 @@ def read_csv(
         raise ValueError("a file without a header needs the names of its columns")
     else:
         names = list(columns)
-    if not skip_long_lines:
-        lines = reader.schema(schemas.text_schema(names)).csv(path)
-    else:
-        # A line whose fields are not as many as the columns is kept as it stands as well; its
-        # commas outside quotes tell the long ones.
-        whole = reader.options(columnNameOfCorruptRecord=LINE, columnPruning=False)
-        lines = whole.schema(schemas.text_schema([*names, LINE])).csv(path)
-        commas = F.regexp_count(F.regexp_replace(LINE, '"([^"]|"")*"', ""), F.lit(","))
-        fits = F.coalesce(commas < len(names), F.lit(True))
-        # Spark does not read the whole line alone; the first column goes along.
-        fits &= F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
-        lines = lines.filter(fits).drop(LINE)
-    return lines if columns is None else lines.select(*[F.col(f"`{c}`") for c in columns])
+    read = read_records if multi_line else read_lines
+    rows = read(spark, path, names, header, skip_long_lines)
+    return rows if columns is None else rows.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def broken_quotes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
