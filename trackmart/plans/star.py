@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from trackmart import schemas
 from trackmart.functions.columns import select_existing
 from trackmart.operators.dedup import dedup_any
+from trackmart.sources.commits import Snapshots
 from trackmart.sources.lake import publish
 
 
@@ -22,11 +23,19 @@ def dim_tracks(model_rows: DataFrame) -> DataFrame:
 
 
 def publish_all(tables: Mapping[str, DataFrame], folder: str | None = None) -> dict[str, DataFrame]:
-    """Replace every published table; as Parquet and views where a folder is given."""
-    return {
-        name: publish(df, name, f"{folder}/{name}" if folder else None)
-        for name, df in tables.items()
-    }
+    """Replace every published table; as Parquet and views where a folder is given.
+
+    In a folder the tables are replaced together, as one version: who reads them
+    by ``Snapshots`` has all of one run. Tables of the session catalog are
+    replaced one by one.
+    """
+    if folder is None:
+        return {name: publish(df, name) for name, df in tables.items()}
+    store = Snapshots(next(iter(tables.values())).sparkSession, folder)
+    published = store.read(store.publish(tables))
+    for name, df in published.items():
+        df.createOrReplaceTempView(name)
+    return published
 
 
 def sql_top_genres(agg_genre: DataFrame, k: int = 5) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from trackmart.queries import roles
 from trackmart.queries.roles import FLOATS, rounded, widened, with_roles
 from trackmart.session import scratch_path, written
 from trackmart.sources import lake, manifest
+from trackmart.sources.commits import Snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -228,6 +230,30 @@ def published_counts(spark, sf_dir):
     return quality.table_counts(spark, [*_PUBLISHED, "not_published"])
 
 
+@query(
+    " UNION ALL ".join(
+        f"SELECT {version} AS version, '{name}' AS table_name, count(DISTINCT {key}) AS row_count, "
+        f"CAST(sum(is_chart_hit) AS BIGINT) AS chart_hits FROM {table}"
+        for version, table in ((1, "master_all"), (2, "master"))
+        for name, key in (("agg_genre", "genre"), ("agg_hit_vs_nohit", "is_chart_hit")))
+)
+def publish_snapshot(spark, sf_dir):
+    """Two tables published twice, each time together; both versions are read afterwards."""
+    store = Snapshots(spark, scratch_path(spark, "snapshots"))
+    for unique_keys in (False, True):
+        rows = written(master(spark, sf_dir, unique_keys=unique_keys), "master")
+        genres = aggregates.agg_genre(rows).select("genre", "chart_hits")
+        flags = rows.groupBy("is_chart_hit").agg(F.sum("is_chart_hit").alias("chart_hits"))
+        store.publish({"agg_genre": genres, "agg_hit_vs_nohit": flags})
+    found = [
+        df.agg(F.count(F.lit(1)).alias("row_count"), F.sum("chart_hits").alias("chart_hits"))
+        .withColumns({"version": F.lit(version), "table_name": F.lit(name)})
+        for version in (1, 2) for name, df in store.read(version).items()
+    ]
+    return reduce(DataFrame.unionByName, found).select(
+        "version", "table_name", "row_count", "chart_hits")
+
+
 # Column steps --------------------------------------------------------------
 
 _CAST_KEYS = "artist_name, track_name, track_id"

@@ -9,7 +9,7 @@ from trackmart.functions import columns as C
 from trackmart.queries import roles
 from trackmart.queries.catalogue import query
 from trackmart.queries.roles import rounded
-from trackmart.session import scratch_path
+from trackmart.session import scratch_path, written
 from trackmart.sources import lake
 from trackmart.streaming import batches, events, live
 
@@ -267,7 +267,7 @@ def live_batch_summary(spark, sf_dir):
     live.write_event_files(batched(spark, sf_dir), source, files)
     stream = live.stream_events(spark, source, max(files // 4, 1), live.NUMBERED_EVENT)
     live.start_batch_summary(stream, out, scratch_path(spark, "state")).awaitTermination()
-    return spark.read.parquet(out).drop("micro_batch", "timestamp")
+    return live.read_summaries(spark, out).drop("timestamp")
 
 
 @query(_GENRE_TOTALS)
@@ -282,22 +282,24 @@ def live_genre_totals(spark, sf_dir):
     return live.latest_totals(spark, out)
 
 
+def _write_fifths(spark: SparkSession, sf_dir: str, source: str) -> int:
+    """Plain events as five sets of files by time, one after another, as a stream takes files in
+    the order of their times; gives the files of a set."""
+    rows = written(batched(spark, sf_dir), "events")
+    share, files = rows.count() / 5, max(_files(spark) // 4, 1)
+    for n in range(5):
+        fifth = rows.filter(F.floor((F.col("seq") - 1) / F.lit(share)) == n)
+        spread = fifth.repartitionByRange(files, "seq").drop("seq", "batch")
+        spread.write.mode("append").json(source)
+    return files
+
+
 @query(f"SELECT * FROM {_SUMMARY}")
 def live_counted_batches(spark, sf_dir):
-    """Batches of 100 counted on a stream of plain events, whose files end anywhere.
-
-    The events come as five files by time, written one after another, as the
-    stream takes files in the order of their times.
-    """
+    """Batches of 100 counted on a stream of plain events, whose micro-batches end anywhere."""
     source, out = scratch_path(spark, "plain-events"), scratch_path(spark, "counted")
-    rows = batched(spark, sf_dir)
-    share = rows.count() / 5
-    plain = rows.drop("seq", "batch")
-    for n in range(5):
-        fifth = F.floor((F.col("seq") - 1) / F.lit(share)) == n
-        kept = rows.filter(fifth).select(plain.columns)
-        kept.coalesce(1).write.mode("append").json(source)
-    stream = live.stream_events(spark, source, 1)
+    files = _write_fifths(spark, sf_dir, source)
+    stream = live.stream_events(spark, source, files)
     query_ = live.start_counted_batches(stream, out, scratch_path(spark, "state"), ["timestamp"],
                                         BATCH_SIZE)
     query_.awaitTermination()

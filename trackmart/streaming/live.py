@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from trackmart import schemas
 from trackmart.operators.dedup import number_rows
+from trackmart.sources.commits import PartTable, Snapshots
 from trackmart.sources.lake import from_messages, json_lines
 from trackmart.session import written
 from trackmart.streaming.batches import (
@@ -68,8 +69,10 @@ def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> Stre
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def write_batch_summary(events: DataFrame, micro_batch: int, folder: str) -> None:
-    """Summaries of one micro-batch; a replay replaces the files of its number.
+def write_batch_summary(
+    events: DataFrame, micro_batch: int, folder: str, stream: str = ""
+) -> None:
+    """Add the summaries of one micro-batch to the table in ``folder``; a replay changes nothing.
 
     Events without a ``batch`` are one batch, numbered like the micro-batch from
     1; without ``seq``, ties go to the earlier timestamp and event id.
@@ -79,57 +82,72 @@ def write_batch_summary(events: DataFrame, micro_batch: int, folder: str) -> Non
     if "seq" not in events.columns:
         events = events.withColumn("seq", F.struct("timestamp", "event_id"))
     summary = batch_summary(events).withColumn("timestamp", F.current_timestamp())
-    summary.write.mode("overwrite").parquet(f"{folder}/micro_batch={micro_batch}")
+    PartTable(events.sparkSession, folder).append(summary, micro_batch, stream)
 
 
 def start_batch_summary(
     events: DataFrame, folder: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Summarise each micro-batch: what is available and stop, or ``every`` so often."""
+    """Summarise each micro-batch: what is available and stop, or ``every`` so often.
+
+    The summaries go to a table whose parts are merged, see ``read_summaries``.
+    """
     def sink(micro: DataFrame, number: int) -> None:
-        write_batch_summary(micro, number, folder)
+        write_batch_summary(micro, number, folder, checkpoint)
 
     return _start(events.writeStream.foreachBatch(sink), checkpoint, every)
 
 
+def read_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """All batch summaries that were committed."""
+    return PartTable(spark, folder).read()
+
+
+def _counted(spark: SparkSession, folder: str) -> PartTable:
+    return PartTable(spark, folder, combine=merge_counts)
+
+
 def write_counted_batches(
-    events: DataFrame, micro_batch: int, folder: str, order: Sequence[str], size: int = 100
+    events: DataFrame, micro_batch: int, folder: str, order: Sequence[str], size: int = 100,
+    stream: str = "",
 ) -> None:
     """Count one micro-batch into batches of ``size`` events, going on where the last one ended.
 
     Events are numbered in ``order``, then by their place. The counts of its part
-    of each batch and the number of events so far are kept below the number of
-    the micro-batch, so that a replay replaces its own part alone.
+    of each batch are committed together with the number of events so far, so
+    that a replay changes nothing; counts of one batch are added up as parts
+    are merged.
     """
-    spark = events.sparkSession
-    before = 0
-    if micro_batch > 0:
-        ends = spark.read.schema("events bigint, micro_batch bigint").parquet(f"{folder}/ends")
-        before = ends.filter(F.col("micro_batch") < micro_batch).agg(F.max("events")).first()[0] or 0
+    table = _counted(events.sparkSession, folder)
+    if micro_batch <= table.last_batch(stream):
+        return
+    before = table.notes().get("events", 0)
     numbered = number_rows(written(events, "micro"), order)
     numbered = numbered.withColumn("seq", F.col("seq") + before)
     batch = numbered.withColumn("batch", F.expr(f"(seq - 1) div {int(size)} + 1"))
-    part = f"micro_batch={micro_batch}"
-    batch_counts(batch).write.mode("overwrite").parquet(f"{folder}/counts/{part}")
-    total = batch.agg((F.count(F.lit(1)) + before).alias("events"))
-    total.write.mode("overwrite").parquet(f"{folder}/ends/{part}")
+    counts = written(batch_counts(batch), "counts")
+    arrived = counts.filter("kind = 'size'").agg(F.sum("plays")).first()[0] or 0
+    table.append(counts, micro_batch, stream, {"events": before + arrived})
 
 
 def start_counted_batches(
     events: DataFrame, folder: str, checkpoint: str, order: Sequence[str], size: int = 100,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Batches of ``size`` events over a stream of plain events, whatever its micro-batches hold."""
+    """Batches of ``size`` events over a stream of plain events, whatever its micro-batches hold.
+
+    A micro-batch is numbered by all tasks. ``stateful.start_state_batches``
+    keeps the batches in the state store instead, by lanes.
+    """
     def sink(micro: DataFrame, number: int) -> None:
-        write_counted_batches(micro, number, folder, order, size)
+        write_counted_batches(micro, number, folder, order, size, checkpoint)
 
     return _start(events.writeStream.foreachBatch(sink), checkpoint, every)
 
 
 def counted_summary(spark: SparkSession, folder: str, name_width: int | None = None) -> DataFrame:
     """The summary of all batches counted so far; the last one may still grow."""
-    counts = spark.read.parquet(f"{folder}/counts").drop("micro_batch")
-    return summarise(merge_counts(counts), name_width)
+    return summarise(_counted(spark, folder).read(), name_width)
 
 
 def start_genre_totals(
@@ -137,13 +155,12 @@ def start_genre_totals(
 ) -> StreamingQuery:
     """Keep exact plays per genre; ``folder`` holds the result after the last micro-batch.
 
-    The state is one count per genre. Results go to two slots in turn, so that
-    one is whole while the other is replaced, and the folder does not grow. A
+    The state is one count per genre. Each result is a new version, of which a
+    few are kept, so a reader has a whole one and the folder does not grow. A
     new run into the folder takes over from the one before.
     """
     def sink(totals: DataFrame, number: int) -> None:
-        dated = totals.withColumn("written_at", F.current_timestamp())
-        dated.write.mode("overwrite").parquet(f"{folder}/slot={number % 2}")
+        Snapshots(totals.sparkSession, folder).publish({"totals": totals}, number, checkpoint)
 
     totals = genre_totals(events).writeStream.outputMode("complete")
     return _start(totals.foreachBatch(sink), checkpoint, every)
@@ -151,6 +168,4 @@ def start_genre_totals(
 
 def latest_totals(spark: SparkSession, folder: str) -> DataFrame:
     """The running totals after the last micro-batch."""
-    stored = spark.read.parquet(folder)
-    last = stored.agg(F.max("written_at")).scalar()
-    return stored.filter(F.col("written_at") == last).select("genre", "plays")
+    return Snapshots(spark, folder).read()["totals"]
