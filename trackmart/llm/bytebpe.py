@@ -18,6 +18,7 @@ import base64
 import functools
 import itertools
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -27,13 +28,41 @@ from pyspark.sql import DataFrame
 
 from trackmart.llm.common import map_batches, small_batches
 
-#: Cuts of more bytes are not kept in a worker's table; as many are kept at most, and as many
-#: pairs of neighbours.
-KEPT_BYTES, KEPT_CUTS, KEPT_PAIRS = 64, 300_000, 500_000
+#: Cuts and words of more characters are not kept in a worker's tables; as many of either are kept
+#: at most, and as many pairs of neighbours.
+KEPT_CHARS, KEPT_WORDS, KEPT_PAIRS = 64, 400_000, 500_000
+ID = np.dtype("<i4")
 ENCODED = "doc_id long, ids array<int>"
 DECODED = ENCODED + ", data binary"
 
 
+class Known(dict):
+    """Ids by text, worked out on demand; the last ``KEPT_WORDS`` to twice as many are kept, of
+    texts that are not too long."""
+
+    def __init__(self, fill: Callable[[str], bytes]):
+        super().__init__()
+        self.fill = fill
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        return self.keep(key, self.fill(key) if found is None else found)
+
+    def keep(self, key: str, ids: bytes) -> bytes:
+        if len(key) <= KEPT_CHARS:
+            if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[key] = ids
+        return ids
+
+
+#: Of a token: the ranks of its merges in order, and its first and last part before each of them
+#: and at the end.
+Edges = tuple[list[int], list[bytes], list[bytes]]
+
+
 class ByteBPE:
     """Exact merges of a rank file, and back."""
 
@@ -52,9 +81,13 @@ class ByteBPE:
             self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
         self.cut = pattern_of(pattern).findall
-        self.known: dict[str, list[int]] = {}
-        self.fitting: dict[tuple[int, int], bool] = {}
-        self.beginnings: dict[int, int] = {}
+        self.spaced = cuts_at_spaces(pattern)
+        self.cuts, self.words = Known(self._cut), Known(self._word)
+        # For every token, and at the end for none before, whether another one can follow.
+        self.follows: list[dict[int, bool]] = [{} for _ in range(most + 1)]
+        self.pairs = 0
+        self.grown: dict[int, Edges | None] = {}
+        self.shorter = [-2] * most  # the longest shorter token that begins a token; -2: not known
 
     @classmethod
     def load(cls, path: str, pattern: str) -> ByteBPE:
@@ -63,82 +96,139 @@ class ByteBPE:
             pairs = (line.split() for line in file if line.strip())
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
+    def merges(self, data: bytes) -> Iterator[tuple[int, list[bytes]]]:
+        """Merge neighbours of the lowest rank, the leftmost first: each rank and what is left then."""
+        ranks, never = self.ranks, len(self.spelling)
+        parts = [data[i:i + 1] for i in range(len(data))]
+        pairs = [ranks.get(data[i:i + 2], never) for i in range(len(data) - 1)]
+        while pairs and (best := min(pairs)) < never:
+            at = pairs.index(best)
+            parts[at:at + 2] = [self.spelling[best]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], never)
+            if at < len(pairs):
+                pairs[at] = ranks.get(parts[at] + parts[at + 1], never)
+            yield best, parts
+
     def merged(self, data: bytes) -> list[int]:
-        """Merge neighbours of the lowest rank, the leftmost first, until none can be merged."""
-        parts, ranks = [data[i:i + 1] for i in range(len(data))], self.ranks
-        while True:
-            joined = [ranks.get(a + b, -1) for a, b in itertools.pairwise(parts)]
-            best = min((rank for rank in joined if rank >= 0), default=None)
-            if best is None:
-                return [ranks[part] for part in parts]
-            at = joined.index(best)
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        parts = [data[i:i + 1] for i in range(len(data))]
+        for _, parts in self.merges(data):
+            pass
+        return [self.ranks[part] for part in parts]
+
+    def edges(self, token: int) -> Edges | None:
+        """How the outer parts of a token grow as its bytes are merged; None if they do not make it."""
+        if token not in self.grown:
+            data = self.spelling[token]
+            steps = [(-1, data[:1], data[-1:])] + [
+                (rank, parts[0], parts[-1]) for rank, parts in self.merges(data)]
+            made, firsts, lasts = (list(column) for column in zip(*steps))
+            whole = firsts[-1] == data
+            self.grown[token] = ([*made[1:], len(self.spelling)], firsts, lasts) if whole else None
+        return self.grown[token]
 
     def fits(self, before: int, token: int) -> bool:
-        """Whether ``token`` can follow ``before``, or begin if that is -1."""
-        known = self.fitting.get((before, token))
-        if known is None:
-            if len(self.fitting) >= KEPT_PAIRS:
-                self.fitting.clear()
-            pair = [token] if before < 0 else [before, token]
-            known = self.merged(b"".join([self.spelling[t] for t in pair])) == pair
-            self.fitting[before, token] = known
-        return known
+        """Whether ``token`` can follow ``before``, or begin if that is -1: whether the merges of
+        their joined bytes, those of either side in order, never take one across the border."""
+        if self.pairs >= KEPT_PAIRS:
+            for known in self.follows:
+                known.clear()
+            self.pairs = 0
+        left, right = self.edges(before) if before >= 0 else None, self.edges(token)
+        fits = right is not None and (before < 0 or left is not None and self._apart(left, right))
+        self.follows[before][token] = fits
+        self.pairs += 1
+        return fits
+
+    def _apart(self, left: Edges, right: Edges) -> bool:
+        (left_ranks, _, lasts), (right_ranks, firsts, _) = left, right
+        never, i, j = len(self.spelling), 0, 0
+        while True:
+            across = self.ranks.get(lasts[i] + firsts[j], never)
+            one, other = left_ranks[i], right_ranks[j]
+            # Of equal ranks the leftmost goes first.
+            if across < one and across <= other and across < never:
+                return False
+            if one <= other:
+                if one == never:
+                    return True
+                i += 1
+            else:
+                j += 1
 
     def beginning(self, token: int) -> int:
         """The longest shorter token that begins ``token``, or -1."""
-        known = self.beginnings.get(token)
-        if known is None:
-            data, ranks = self.spelling[token], self.ranks
-            ends = range(len(data) - 1, 0, -1)
-            known = next((ranks[data[:end]] for end in ends if data[:end] in ranks), -1)
-            self.beginnings[token] = known
-        return known
+        data, ranks = self.spelling[token], self.ranks
+        ends = range(len(data) - 1, 0, -1)
+        found = next((ranks[data[:end]] for end in ends if data[:end] in ranks), -1)
+        self.shorter[token] = found
+        return found
 
     def encode_cut(self, data: bytes) -> list[int]:
         """The tokens of one cut: the token that it is, or what the merges of its bytes give."""
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        n, sizes = len(data), self.sizes
+        n, sizes, follows, shorter = len(data), self.sizes, self.follows, self.shorter
         longest = [0] * n  # of the tokens that begin at a byte; later ends are longer
         for end, token in self.automaton.iter(data.decode("latin-1")):
             longest[end + 1 - sizes[token]] = token
         out: list[int] = []
         open_ = bytearray(b"\x01") * (n + 1)
-        at, before, token = 0, -1, longest[0]
+        at, before, token, can = 0, -1, longest[0], follows[-1]
         while True:
             end = at + sizes[token]
-            if open_[end] and self.fits(before, token):
-                out.append(token)
-                if end == n:
-                    return out
-                at, before, token = end, token, longest[end]
-                continue
-            token = self.beginning(token)
+            if open_[end]:
+                fits = can.get(token)
+                if self.fits(before, token) if fits is None else fits:
+                    out.append(token)
+                    if end == n:
+                        return out
+                    at, before, token, can = end, token, longest[end], follows[token]
+                    continue
+            last, token = token, shorter[token]
+            if token == -2:
+                token = self.beginning(last)
             while token < 0:  # nothing fits here: back to the token before, and shorten that
                 open_[at] = 0
                 last = out.pop()
                 at -= sizes[last]
-                before, token = out[-1] if out else -1, self.beginning(last)
+                before, token = out[-1] if out else -1, shorter[last]
+                can = follows[before]
+                if token == -2:
+                    token = self.beginning(last)
+
+    def _cut(self, cut: str) -> bytes:
+        return array("i", self.encode_cut(cut.encode())).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word with a space before it; letters are one cut."""
+        return self._cut(" " + word) if word.isalpha() else self._by_cuts(" " + word)
+
+    def _by_cuts(self, text: str) -> bytes:
+        """Ids of a text by the pattern."""
+        words, parts = self.words, []
+        for cut in self.cut(text):
+            if cut[0] != " " or len(cut) == 1:
+                parts.append(self.cuts[cut])
+            else:  # as a word, but one whose cut is known
+                found = words.get(cut[1:]) or words.older.get(cut[1:])
+                parts.append(found or words.keep(cut[1:], self._cut(cut)))
+        return b"".join(parts)
+
+    def encode_bytes(self, text: str | None) -> bytes:
+        """Ids of a whole text as little-endian 32-bit integers; none for null or empty."""
+        if not text:
+            return b""
+        if not self.spaced:
+            return self._by_cuts(text)
+        first, *rest = _words(text)
+        return b"".join([self._by_cuts(first), *map(self.words.__getitem__, rest)])
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text, special tokens being ordinary text; none for null or empty."""
-        if not text:
-            return []
-        known = self.known
-        ids: list[int] = []
-        for cut in self.cut(text):
-            found = known.get(cut)
-            if found is None:
-                data = cut.encode()
-                found = self.encode_cut(data)
-                if len(data) <= KEPT_BYTES:
-                    if len(known) >= KEPT_CUTS:
-                        known.clear()
-                    known[cut] = found
-            ids += found
-        return ids
+        return np.frombuffer(self.encode_bytes(text), ID).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.spelling.__getitem__, ids))
@@ -146,6 +236,34 @@ class ByteBPE:
 
 # -- the pattern ----------------------------------------------------------------
 
+def cuts_at_spaces(pattern: str) -> bool:
+    """Whether a lone space between other characters always begins a cut of its own.
+
+    So it is with patterns in which a space stands only as an optional first
+    character before classes without white space.
+    """
+    parts = pattern.split("|")
+    spaces = (r"\s+(?!\S)", r"\s+")
+    plain = re.compile(r"'\w+| \?(?:\\p\{[LN]\}|\[\^\\s(?:\\p\{[LN]\})*\])\+")
+    return tuple(parts[-2:]) == spaces and all(plain.fullmatch(part) for part in parts[:-2])
+
+
+def _words(text: str) -> list[str]:
+    """The text cut before every lone space that has other characters on both sides, without
+    those spaces."""
+    words = text.split(" ")
+    if all(word and not word[0].isspace() and not word[-1].isspace() for word in words):
+        return words
+    joined = [words[0]]
+    for word in words[1:]:
+        last = joined[-1]
+        if not last or not word or last[-1].isspace() or word[0].isspace():
+            joined[-1] = f"{last} {word}"
+        else:
+            joined.append(word)
+    return joined
+
+
 CLASS = re.compile(r"\\p\{\w+\}|\\[sS]|\\.|[\[\]]|.", re.S)
 
 
@@ -222,10 +340,10 @@ def encode_documents(docs: DataFrame, path: str | None = None,
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = byte_bpe(path, pattern)
         for batch in batches:
-            found = [np.array(tool.encode(text), np.int32)
-                     for text in batch.column("text").to_pylist()]
-            flat = np.concatenate([np.empty(0, np.int32), *found])
-            ids = _lists(pa.array(flat, pa.int32()), np.array([len(f) for f in found], np.int64))
+            found = [tool.encode_bytes(text) for text in batch.column("text").to_pylist()]
+            flat = np.frombuffer(b"".join(found), ID)
+            sizes = np.array([len(f) // ID.itemsize for f in found], np.int64)
+            ids = _lists(pa.array(flat, pa.int32()), sizes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), ids], names=["doc_id", "ids"])
 

@@ -11,7 +11,7 @@ from trackmart.queries.catalogue import query
 from trackmart.queries.roles import rounded
 from trackmart.session import scratch_path, written
 from trackmart.sources import lake
-from trackmart.streaming import batches, events, live
+from trackmart.streaming import batches, events, live, stateful
 
 BATCH_SIZE = 100
 
@@ -304,3 +304,18 @@ def live_counted_batches(spark, sf_dir):
                                         BATCH_SIZE)
     query_.awaitTermination()
     return live.counted_summary(spark, out)
+
+
+@query(f"SELECT * FROM {_SUMMARY}")
+def live_state_batches(spark, sf_dir):
+    """The same batches, their count and the open one kept in the state store; a second run from
+    the checkpoint finds nothing new."""
+    source, out = scratch_path(spark, "plain-events"), scratch_path(spark, "closed")
+    checkpoint = scratch_path(spark, "state")
+    files = _write_fifths(spark, sf_dir, source)
+    for _ in range(2):
+        stream = live.stream_events(spark, source, files)
+        query_ = stateful.start_state_batches(
+            stream, out, checkpoint, F.col("timestamp"), BATCH_SIZE)
+        query_.awaitTermination()
+    return stateful.state_summary(spark, out, checkpoint, BATCH_SIZE).drop("lane")
