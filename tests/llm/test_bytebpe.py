@@ -41,6 +41,15 @@ def test_every_character_is_cut_as_the_library_cuts_it(tool, library):
         assert tool.encode(text) == library.encode_ordinary(text)
 
 
+def test_spaces_beside_other_white_space(tool, library):
+    assert tool.spaced and not bytebpe.cuts_at_spaces(r"\S+ ?|\s+(?!\S)|\s+")
+    draw = random.Random(2)
+    for _ in range(3000):
+        text = "".join(draw.choice([" ", " ", "\n", "\t", "\x85", "\x1c", "a", "b'", "9", "é.", "'s"])
+                       for _ in range(draw.randrange(0, 12)))
+        assert tool.encode(text) == library.encode_ordinary(text), repr(text)
+
+
 def test_random_texts(tool, library):
     draw = random.Random(5)
     alphabets = ["ab", "the aeinos", "0123 ,.", "éèêaàçœ ", "日本語の文字 ", "\n\t  a", "абвгде "]
