@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from table_rows import rows
@@ -293,3 +296,36 @@ def test_hot_rows_spread_over_tasks_when_nothing_is_broadcast(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_means_do_not_depend_on_the_order_of_the_rows(spark):
+    """Sums of doubles would round here and there by the order; means lie on half-way points."""
+    draw = random.Random(5)
+    data = [(g, draw.choice([0.1, 0.2, 0.3, 1e9 + 0.005, -1e9, 1e-7]), 1) for g in "ab" * 3000]
+    data += [("c", v, 1) for v in (0.125, 0.126, 0.124, 0.125)]
+    data += [("d", None, 1), ("e", float("nan"), 0), ("e", 1.0, 0), ("f", float("inf"), 1)]
+    df = spark.createDataFrame(data, "g string, v double, is_chart_hit int")
+    found = []
+    for parts in (1, 7, 64):
+        for seed in (1, 2):
+            mixed = df.repartition(parts, F.xxhash64("v", F.rand(seed)))
+            found.append(rows(mixed.groupBy("g").agg(
+                *(aggregates.rounded_mean("v", n).alias(f"m{n}") for n in (2, 11))), "g"))
+    assert all(repr(f) == repr(found[0]) for f in found)
+    means = {g: m for g, m, _ in found[0]}
+    assert means["c"] == 0.13 and means["d"] is None
+    assert math.isnan(means["e"]) and means["f"] == math.inf
+
+
+def test_reports_are_the_same_for_any_partitioning(spark):
+    draw = random.Random(6)
+    places = {c: draw.choice([1, 50]) for c in aggregates.HIT_MEANS}
+    columns = [*places, "genre", "year", "label", "album_popularity", "artist_name", "followers",
+               "streams", "is_chart_hit"]
+    data = [[*(draw.random() * p for p in places.values()), f"g{i % 3}", 2010 + i % 5, f"l{i % 4}",
+             draw.random(), f"a{i % 9}", i, i, i % 2] for i in range(4000)]
+    master = spark.createDataFrame(data, columns)
+    reports = [aggregates.agg_genre, aggregates.agg_year, aggregates.agg_label,
+               aggregates.agg_hit, aggregates.agg_artist]
+    found = [[rows(report(master.repartition(n))) for report in reports] for n in (1, 7, 64)]
+    assert found[0] == found[1] == found[2]

@@ -61,7 +61,7 @@ def test_lanes_count_apart(spark, sources):
     source, out, checkpoint = sources
     add_files(spark, source, [range(0, 90), range(90, 400)], [0, 1])
     lane = F.col("event_id").cast("int") % 3
-    run(spark, source, out, checkpoint, size=50, lane=lane)
+    run(spark, source, out, checkpoint, size=50, lane=lane, tasks=2)
     got = stateful.state_summary(spark, out, checkpoint, size=50)
     made = plays(spark, 400)
     for number in range(3):

@@ -31,8 +31,21 @@ HIT_MEANS = {
 ARTIST_MEANS = {"danceability": 3, "energy": 3, "valence": 3}
 
 
+# Whole and decimal places of the numbers that are added up for a mean.
+EXACT = "decimal(28,12)"
+
+
 def rounded_mean(column: str, places: int) -> Column:
-    return F.round(F.avg(column), places)
+    """The rounded mean, from an exact sum: the same in whatever order the rows come.
+
+    Values count to 12 decimal places. Where one is NaN, infinite or has more
+    than 16 whole places, the mean is that of the doubles.
+    """
+    value = F.col(column)
+    exact = value.try_cast(EXACT)
+    lost = F.count_if(value.isNotNull() & exact.isNull()) > 0
+    mean = F.round(F.avg(exact), places).cast("double")
+    return F.when(lost, F.round(F.avg(value.cast("double")), places)).otherwise(mean)
 
 
 def rounded_means(places: Mapping[str, int]) -> list[Column]:

@@ -83,7 +83,7 @@ def batch_counter(size: int) -> StatefulProcessor:
 
 def start_state_batches(
     events: DataFrame, folder: str, checkpoint: str, order: Column, size: int = 100,
-    lane: Column | None = None, every: str | None = None,
+    lane: Column | None = None, tasks: int = 1, every: str | None = None,
 ) -> StreamingQuery:
     """Batches of ``size`` events over a stream of plain events, counted in its state store.
 
@@ -92,7 +92,7 @@ def start_state_batches(
     over all events and passes through one task, a micro-batch at a time, with
     three columns; a ``lane`` number, such as the partition of a topic or a
     hash of the track, counts batches of its own in each and spreads them over
-    tasks. Closed batches go to a table of merged parts in ``folder``; a restart
+    ``tasks``, for good: a checkpoint keeps their number. Closed batches go to a table of merged parts in ``folder``; a restart
     from the checkpoint goes on within the open batch.
     """
     spark = events.sparkSession
@@ -108,12 +108,15 @@ def start_state_batches(
 
     writer = counts.writeStream.outputMode("append").foreachBatch(sink)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)  # the query keeps the settings it starts with
-    try:
+    settings = {PROVIDER: ROCKSDB, "spark.sql.shuffle.partitions": str(tasks)}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:  # the query keeps the settings it starts with
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def open_batches(spark: SparkSession, checkpoint: str, size: int = 100) -> DataFrame:
