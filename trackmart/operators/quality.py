@@ -51,6 +51,31 @@ def fanout_report(base: DataFrame, joined: DataFrame, limit: float = FANOUT_LIMI
     return both.withColumn("within_limit", within)
 
 
+def fanout_forecast(
+    left: DataFrame, rights: Sequence[tuple[DataFrame, Sequence[str]]],
+    limit: float = FANOUT_LIMIT,
+) -> DataFrame:
+    """(base_rows, forecast_rows, within_limit): the rows that left joins will give, as one row.
+
+    A left row comes out once for each combination of its matches, or once
+    without any, and its matches are the rows of the right sides with its keys.
+    So counts per key on either side are enough: each side is read once, counted
+    before it moves, and no row is joined. ``rights`` are the right sides with
+    the columns they are joined on; a NULL key has no match.
+    """
+    keys = list(dict.fromkeys(key for _, on in rights for key in on))
+    counted = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    times = F.col("_rows").cast("decimal(38,0)")
+    for number, (right, on) in enumerate(rights):
+        matches = right.groupBy(*on).agg(F.count(F.lit(1)).alias(f"_{number}"))
+        counted = counted.join(matches, list(on), "left")
+        times = (times * F.coalesce(F.col(f"_{number}"), F.lit(1))).cast("decimal(38,0)")
+    sums = counted.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("base_rows"),
+                       F.coalesce(F.sum(times), F.lit(0)).cast("bigint").alias("forecast_rows"))
+    within = F.col("forecast_rows") <= F.col("base_rows") * F.lit(limit)
+    return sums.withColumn("within_limit", within)
+
+
 def table_counts(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     """Row count per table; an error status where the table is missing."""
     parts = []

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trackmart import schemas
 from trackmart.ml import popularity as P
@@ -18,16 +21,17 @@ from trackmart.operators.quality import (
     step_metrics,
 )
 from trackmart.plans import cleaning, star
-from trackmart.plans.master import build_master
+from trackmart.plans.ledger import Ledger, described, digest_of
+from trackmart.plans.master import build_master, master_forecast
 from trackmart.sources import manifest
 from trackmart.sources.lake import (
     LakePaths,
     export_csv,
     read_csv,
-    refuse_broken_quotes,
     write_bucketed,
     write_layer,
 )
+from trackmart.sources.records import read_lines_watched
 
 # Raw file names, to be replaced by those of the lake.
 RAW_FILES = {
@@ -57,6 +61,9 @@ class RunReport:
     chart_hits: int
     fanout_ok: bool
     tables: dict[str, DataFrame]
+    raw: DataFrame
+    run_id: str
+    reused: list[str]
 
 
 def stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -66,48 +73,60 @@ def stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def check_raw(
-    spark: SparkSession, paths: LakePaths, expected: DataFrame | None = None
+    spark: SparkSession, paths: LakePaths, expected: DataFrame | None = None,
+    run_id: str | None = None,
 ) -> tuple[DataFrame, bool]:
     """Status of the expected raw files, logged, and whether all are fine."""
     expected = manifest.expected_files(spark) if expected is None else expected
     status = stored(
         spark, manifest.check_manifest(spark, expected, paths.root, "raw"), paths.raw("last_check")
     )
-    manifest.append_log(status, paths.raw("ingestion_log"))
+    manifest.append_log(status, paths.raw("ingestion_log"), run_id)
     return status, manifest.manifest_verdict(status).first()["all_ok"]
 
 
-def clean_all(
-    spark: SparkSession, paths: LakePaths, files: Mapping[str, str] = RAW_FILES,
-    multi_line: bool = False, table_prefix: str | None = None,
-) -> tuple[dict[str, DataFrame], dict[str, tuple[int, int]]]:
-    """Clean and store every raw file; rows in and out are counted while writing.
+def raw_digests(
+    spark: SparkSession, paths: LakePaths, files: Mapping[str, str]
+) -> dict[str, str | None]:
+    """What tells one state of each raw file from another."""
+    names = {f"raw/{file}": name for name, file in files.items()}
+    found = manifest.list_datasets(spark, paths.root, "raw").filter(F.col("path").isin(list(names)))
+    digests = {names[row["path"]]: row["digest"] for row in found.collect()}
+    return {name: digests.get(name) for name in files}
 
-    With a ``table_prefix`` tracks and albums become tables of the catalog,
-    bucketed by the track id on which they will join.
+
+def clean_one(
+    spark: SparkSession, paths: LakePaths, name: str, path: str, multi_line: bool = False,
+    table_prefix: str | None = None,
+) -> dict:
+    """Clean and store one raw file; rows in and out are counted while writing.
+
+    The file is read once, by lines. Where that finds a line that does not close
+    a quote, the result is replaced by that of reading whole records, and so it
+    is from the start with ``multi_line``.
     """
-    cleaned, counts = {}, {}
-    for name, clean in CLEANERS.items():
-        if not multi_line:
-            refuse_broken_quotes(spark, paths.raw(files[name]))
-        raw = read_csv(spark, paths.raw(files[name]), multi_line=multi_line)
-        raw, seen = observed(raw, f"{name}_in")
-        result, kept = observed(clean(raw), f"{name}_out")
+    def store(raw: DataFrame) -> tuple[DataFrame, int]:
+        result, kept = observed(CLEANERS[name](raw), f"{name}_out")
         if table_prefix and name in BY_TRACK:
-            cleaned[name] = write_bucketed(
-                result, paths.processed(name), f"{table_prefix}_{name}", "track_id"
-            )
+            table = f"{table_prefix}_{name}"
+            done = write_bucketed(result, paths.processed(name), table, "track_id")
         else:
-            cleaned[name] = stored(spark, result, paths.processed(name))
-        counts[f"clean_{name}"] = (seen.get["rows"], kept.get["rows"])
-    return cleaned, counts
+            done = stored(spark, result, paths.processed(name))
+        return done, kept.get["rows"]
 
+    if not multi_line:
+        raw, seen = read_lines_watched(spark, path, f"{name}_in")
+        done, rows_out = store(raw)
+        multi_line = seen.get["open_lines"] > 0
+    if multi_line:
+        raw, seen = observed(read_csv(spark, path, multi_line=True), f"{name}_in")
+        done, rows_out = store(raw)
+    return {**described(done, paths.processed(name)), "rows": [seen.get["rows"], rows_out]}
 
-def curate(
-    spark: SparkSession, master: DataFrame, paths: LakePaths, settings: CurateSettings
-) -> dict[str, DataFrame]:
+
+def aggregated(master: DataFrame, settings: CurateSettings) -> dict[str, DataFrame]:
     """Aggregates and model rows of a stored master table."""
-    tables = {
+    return {
         "agg_genre": aggregates.agg_genre(master),
         "agg_year": aggregates.agg_year(master, *settings.years),
         "agg_label": aggregates.agg_label(master, settings.label_k),
@@ -116,7 +135,6 @@ def curate(
         "artist_profiles": aggregates.artist_profiles(master),
         "master_ml": aggregates.master_ml(master),
     }
-    return {name: stored(spark, df, paths.curated(name)) for name, df in tables.items()}
 
 
 def export_reports(curated: Mapping[str, DataFrame], folder: str) -> None:
@@ -180,36 +198,101 @@ def run_flow(
     csv_folder: str | None = None,
     table_prefix: str | None = None,
     settings: CurateSettings = CurateSettings(),
+    expected: DataFrame | None = None,
+    fanout_limit: float | None = None,
+    resume: bool = False,
+    until: str | None = None,
 ) -> RunReport:
     """Raw to published in one session, each dataset written once as Parquet.
 
-    Lines whose quotes do not close stop the run unless ``multi_line`` says that
-    fields may hold line breaks. ``hot_share`` looks for frequent names first and
-    salts their joins, for dimensions too large to broadcast.
+    Step zero checks the raw files against ``expected``, by default that all of
+    ``files`` are there, and logs the result; a missing one stops the run. A
+    file is read by lines, and by whole records where that finds line breaks
+    inside quotes; ``multi_line`` reads records at once. ``hot_share`` looks for
+    frequent names first and salts their joins, for dimensions too large to
+    broadcast. The rows of the master table are foretold before it is joined;
+    with a ``fanout_limit`` a forecast beyond it stops the run there.
 
     With ``forest`` settings both models are trained and their tables published;
     with a ``csv_folder`` the aggregates are exported there as well. With a
     ``table_prefix`` the largest join runs on bucketed tables, without a shuffle.
+
+    A ledger below the lake keeps what every step read and found. With
+    ``resume`` a step that would read the same again is not done again; the
+    report names those. ``until`` ends the run after a step, by a StoppedRun.
     """
-    clean, counts = clean_all(spark, paths, files, multi_line, table_prefix)
-    built = build_master(
-        clean["tracks"], clean["artists"], clean["albums"], clean["charts"],
-        unique_keys, hot_share,
-    )
-    built, seen = observed(built, "master_out", join_conditions())
-    master = stored(spark, built, paths.processed("joined"))
-    after_join = seen.get
+    run_id = uuid.uuid4().hex
+    ledger = Ledger(spark, f"{paths.root.rstrip('/')}/run_ledger", resume, until)
+    if expected is None:
+        expected = manifest.expected_files(
+            spark, [(file, f"raw/{file}", name, 1) for name, file in files.items()])
+    raw, _ = check_raw(spark, paths, expected, run_id)
+    missing = [row["file"] for row in raw.filter(F.col("status") == manifest.MISSING).collect()]
+    if missing:
+        raise FileNotFoundError(f"the raw layer lacks {sorted(missing)}")
+
+    reads = {
+        name: digest_of("clean", digest, multi_line, table_prefix)
+        for name, digest in raw_digests(spark, paths, files).items()
+    }
+    clean, counts = {}, {}
+    for name in CLEANERS:
+        facts = ledger.step(f"clean_{name}", reads[name], partial(
+            clean_one, spark, paths, name, paths.raw(files[name]), multi_line, table_prefix))
+        bucketed = table_prefix and name in BY_TRACK
+        clean[name] = spark.table(f"{table_prefix}_{name}") if bucketed else ledger.dataset(facts)
+        counts[f"clean_{name}"] = tuple(facts["rows"])
     base_rows = counts["clean_tracks"][1]
-    curated = curate(spark, master, paths, settings)
+
+    def join() -> dict:
+        forecast = base_rows
+        if not unique_keys:  # else every track has one match at most
+            forecast = master_forecast(
+                clean["tracks"], clean["artists"], clean["charts"], unique_keys
+            ).first()["forecast_rows"]
+        if fanout_limit is not None and not check_fanout(base_rows, forecast, fanout_limit):
+            raise ValueError(f"{base_rows} tracks would become {forecast} rows")
+        built = build_master(
+            clean["tracks"], clean["artists"], clean["albums"], clean["charts"],
+            unique_keys, hot_share,
+        )
+        built, seen = observed(built, "master_out", join_conditions())
+        done = stored(spark, built, paths.processed("joined"))
+        return {**described(done, paths.processed("joined")), **seen.get, "forecast": forecast}
+
+    joined_reads = digest_of("join", reads, unique_keys)
+    after_join = ledger.step("build_master", joined_reads, join)
+    master = ledger.dataset(after_join)
+
+    curated, curated_reads = {}, digest_of("curate", joined_reads, settings)
+    for name, df in aggregated(master, settings).items():
+        path = paths.curated(name)
+        facts = ledger.step(
+            name, curated_reads, lambda: described(stored(spark, df, path), path))  # noqa: B023
+        curated[name] = ledger.dataset(facts)
     if csv_folder is not None:
         export_reports(curated, csv_folder)
+
     results = {}
     if forest is not None:
-        results, predictions = train_models(curated["master_ml"], forest)
-        write_layer(predictions, paths.curated("ml_predictions"))
-    tables = star.publish_all(published_tables(curated, results), publish_folder)
+        def train() -> dict:
+            tables, predictions = train_models(curated["master_ml"], forest)
+            made = {**tables, "ml_predictions": predictions}
+            return {n: described(stored(spark, df, paths.curated(n)), paths.curated(n))
+                    for n, df in made.items()}
+
+        made = ledger.step("train_models", digest_of("train", curated_reads, forest), train)
+        results = {n: ledger.dataset(f) for n, f in made.items() if n != "ml_predictions"}
+
+    tables = published_tables(curated, results)
+    if publish_folder is None:
+        published = star.publish_all(tables)
+    else:
+        ledger.step("publish", digest_of("publish", curated_reads, forest, publish_folder),
+                    lambda: {"tables": sorted(star.publish_all(tables, publish_folder))})
+        published = star.read_published(spark, publish_folder)
     steps = step_metrics(spark, {**counts, "build_master": (base_rows, after_join["rows"])})
     return RunReport(
         steps, after_join["matched_artists"], after_join["chart_hits"],
-        check_fanout(base_rows, after_join["rows"]), tables,
+        check_fanout(base_rows, after_join["forecast"]), published, raw, run_id, ledger.reused,
     )

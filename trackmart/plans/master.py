@@ -14,6 +14,7 @@ from trackmart.operators.joins import (
     left_join,
     with_join_keys,
 )
+from trackmart.operators.quality import fanout_forecast
 
 ARTIST_KEY = ["join_artist"]
 CHART_KEY = ["join_track", "join_artist"]
@@ -49,3 +50,16 @@ def build_master(
         *schemas.CHART_ATTRIBUTES, "followers_log",
     ]
     return scaled.select(columns)
+
+
+def master_forecast(
+    tracks: DataFrame, artists: DataFrame, charts: DataFrame, unique_keys: bool = True
+) -> DataFrame:
+    """The rows that ``build_master`` will have, foretold from counts per key.
+
+    A track has one album at most, whatever the albums hold.
+    """
+    return fanout_forecast(with_join_keys(tracks), [
+        (artist_dimension(artists, unique_keys), ARTIST_KEY),
+        (chart_dimension(charts, unique_keys), CHART_KEY),
+    ])

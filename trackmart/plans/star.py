@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from trackmart import schemas
 from trackmart.functions.columns import select_existing
@@ -31,8 +31,14 @@ def publish_all(tables: Mapping[str, DataFrame], folder: str | None = None) -> d
     """
     if folder is None:
         return {name: publish(df, name) for name, df in tables.items()}
-    store = Snapshots(next(iter(tables.values())).sparkSession, folder)
-    published = store.read(store.publish(tables))
+    spark = next(iter(tables.values())).sparkSession
+    Snapshots(spark, folder).publish(tables)
+    return read_published(spark, folder)
+
+
+def read_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the newest version in a folder, as views too."""
+    published = Snapshots(spark, folder).read()
     for name, df in published.items():
         df.createOrReplaceTempView(name)
     return published

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackmart import schemas
 from trackmart.functions import columns as C
+from trackmart.ml import popularity as P
 from trackmart.ml.popularity import ForestSettings
 from trackmart.operators import aggregates, dedup, filters, joins, quality
 from trackmart.plans import cleaning, flow, star
-from trackmart.plans.master import build_master
+from trackmart.plans.ledger import StoppedRun
+from trackmart.plans.master import build_master, master_forecast
 from trackmart.queries import roles
 from trackmart.queries.roles import FLOATS, rounded, widened, with_roles
 from trackmart.session import scratch_path, written
@@ -712,15 +715,21 @@ def report_hit_compare(spark, sf_dir):
 
 # The whole run ------------------------------------------------------------
 
+def _raw_lake(spark: SparkSession, sf_dir: str) -> lake.LakePaths:
+    """A lake whose raw layer has the four files."""
+    paths = lake.LakePaths(scratch_path(spark, "lake"))
+    for name, raw in [("tracks", roles.raw_tracks), ("artists", roles.raw_artists),
+                      ("albums", roles.raw_albums), ("charts", roles.raw_charts)]:
+        lake.export_csv(raw(spark, sf_dir), paths.raw(flow.RAW_FILES[name]))
+    return paths
+
+
 def _full_run(
     spark: SparkSession, sf_dir: str, unique_keys: bool = True,
     forest: ForestSettings | None = None,
 ) -> flow.RunReport:
     """Raw CSV files derived from the tables, then everything up to the published tables."""
-    paths = lake.LakePaths(scratch_path(spark, "lake"))
-    for name, raw in [("tracks", roles.raw_tracks), ("artists", roles.raw_artists),
-                      ("albums", roles.raw_albums), ("charts", roles.raw_charts)]:
-        lake.export_csv(raw(spark, sf_dir), paths.raw(flow.RAW_FILES[name]))
+    paths = _raw_lake(spark, sf_dir)
     return flow.run_flow(
         spark, paths, paths.curated("published"), unique_keys=unique_keys, forest=forest,
         settings=flow.CurateSettings(years=(1990, 2010)),
@@ -785,12 +794,87 @@ def _keys_and_rows(tables: dict[str, DataFrame]) -> DataFrame:
     return checks.join(quality.stack_tagged(rows, "table_name"), "table_name")
 
 
+_MODELS = {P.FULL: P.FULL_FEATURES, P.AUDIO: P.AUDIO_FEATURES}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{model}' AS model_name, '{entry}' AS entry, true AS sound"
+    for model, features in _MODELS.items()
+    for table, entries in (("ml_metrics", ["RMSE", "MAE", "R2"]),
+                           ("ml_feature_importance", features.names()))
+    for entry in entries))
+def full_run_models(spark, sf_dir):
+    """The published model tables of a run, entry by entry: each metric and each feature of both
+    models once. Errors are positive, the mean one is not above the root mean square one, R2 is
+    below one; weights are shares that sum to one, ranked from the largest."""
+    tables = _full_run(spark, sf_dir, forest=ForestSettings()).tables
+    value, model = F.col("value"), Window.partitionBy("model_name")
+
+    def of(metric: str) -> Column:
+        return F.max(F.when(F.col("metric") == metric, value)).over(model)
+
+    right = (of("MAE") > 0) & (of("MAE") <= of("RMSE")) & (of("R2") < 1)
+    metrics = tables["ml_metrics"].select(
+        F.lit("ml_metrics").alias("table_name"), "model_name", F.col("metric").alias("entry"),
+        right.alias("sound"))
+    weight = F.col("importance")
+    share = weight.between(0, 1) & (F.abs(F.sum(weight).over(model) - 1) < 1e-6)
+    ranked = F.rank().over(model.orderBy(F.desc("importance"))) <= F.col("rank")
+    weights = tables["ml_feature_importance"].select(
+        F.lit("ml_feature_importance").alias("table_name"), "model_name",
+        F.col("feature").alias("entry"), (share & ranked).alias("sound"))
+    return metrics.unionByName(weights)
+
+
 @query(
-    "SELECT 'ml_metrics' AS table_name, CAST(0 AS BIGINT) AS duplicate_keys, "
-    "CAST(0 AS BIGINT) AS duplicate_rows, CAST(0 AS BIGINT) AS null_key_rows, "
-    "CAST(6 AS BIGINT) AS row_count UNION ALL SELECT 'ml_feature_importance', 0, 0, 0, 36"
+    "SELECT *, rows_in - rows_out AS rows_removed, step IN ('clean_tracks', 'clean_charts') "
+    "AS reused, CAST(2 AS BIGINT) AS checks, true AS raw_ok FROM ("
+    + " UNION ALL ".join([
+        *[_step(f"clean_{n}", f"raw_{n}", f"clean_{n}")
+          for n in ["tracks", "charts", "artists", "albums"]],
+        _step("build_master", "clean_tracks", "clean_master"),
+    ]) + ")"
 )
-def full_run_models(spark, sf_dir):
-    """Keys and rows of the published model tables: three metrics and the features of two models."""
-    tables = _full_run(spark, sf_dir, forest=ForestSettings(trees=3, depth=3)).tables
-    return _keys_and_rows({n: tables[n] for n in ("ml_metrics", "ml_feature_importance")})
+def full_run_resumed(spark, sf_dir):
+    """A run that stops after its second step and is resumed: the first two steps are not done
+    again, and the raw files were checked at the start of either run."""
+    paths = _raw_lake(spark, sf_dir)
+    with suppress(StoppedRun):
+        flow.run_flow(spark, paths, paths.curated("published"), until="clean_charts")
+    report = flow.run_flow(spark, paths, paths.curated("published"), resume=True)
+    checks = spark.read.parquet(paths.raw("ingestion_log")).agg(
+        F.count_distinct("run_id").alias("checks"))
+    verdict = manifest.manifest_verdict(report.raw).select(F.col("all_ok").alias("raw_ok"))
+    steps = report.steps.withColumn("reused", F.col("step").isin(report.reused))
+    return steps.join(F.broadcast(checks)).join(F.broadcast(verdict))
+
+
+@query("SELECT (SELECT count(*) FROM tracks) AS base_rows, count(*) AS forecast_rows, "
+       "count(*) <= (SELECT count(*) FROM tracks) * 1.05 AS within_limit FROM master_all")
+def fanout_forecast(spark, sf_dir):
+    """The rows of the master table in which every spelling joins, foretold without joining."""
+    return master_forecast(
+        tracks(spark, sf_dir), artists(spark, sf_dir), charts(spark, sf_dir), unique_keys=False)
+
+
+@query(
+    "SELECT 'size ' || s.n AS file, CASE WHEN p.bytes IS NULL THEN 'MISSING' "
+    "WHEN p.bytes < 40 * s.n THEN 'WARNING — file smaller than expected' ELSE 'OK' END AS status, "
+    f"CASE WHEN p.bytes IS NULL THEN '—' ELSE {_SIZE.format('p.bytes')} END AS size "
+    "FROM (SELECT DISTINCT p_size + 3 AS n FROM part) s LEFT JOIN (SELECT p_size, "
+    "CAST(sum(strlen(p_name) + 1) AS BIGINT) AS bytes FROM part GROUP BY p_size) p ON p.p_size = s.n"
+)
+def manifest_files(spark, sf_dir):
+    """The check of a raw layer against files that are there: a folder of text for every size of a
+    part, and expectations of which a few are not met."""
+    parts = roles.table(spark, sf_dir, "part")
+    root = scratch_path(spark, "raw-check")
+    lines = parts.select(F.col("p_name").alias("value"), F.col("p_size").alias("size"))
+    lines.repartition("size").write.partitionBy("size").text(f"{root}/raw")
+    size = F.col("p_size") + 3
+    expected = parts.select(
+        F.concat(F.lit("size "), size.cast("string")).alias("name"),
+        F.concat(F.lit("raw/size="), size.cast("string")).alias("path"),
+        F.lit("Parts of one size").alias("description"),
+        (size * 40).cast("bigint").alias("min_size_bytes")).distinct()
+    return manifest.check_manifest(spark, expected, root, "raw").select("file", "status", "size")

@@ -91,11 +91,25 @@ def manifest_status(expected: DataFrame, present: DataFrame) -> DataFrame:
     )
 
 
+def list_datasets(spark: SparkSession, root: str, folder: str = "") -> DataFrame:
+    """(path, size_bytes, files, digest) of what lies directly in ``folder``: files, and folders of
+    files with the sum of their sizes.
+
+    The digest changes with the path, size and time of every file.
+    """
+    depth = len([part for part in folder.split("/") if part]) + 1
+    top = F.substring_index("path", "/", depth)
+    one = F.xxhash64("path", "size_bytes", "modified").cast("decimal(38,0)")
+    return list_files(spark, root, folder).groupBy(top.alias("path")).agg(
+        F.sum("size_bytes").alias("size_bytes"), F.count(F.lit(1)).alias("files"),
+        F.sum(one).cast("string").alias("digest"))
+
+
 def check_manifest(
     spark: SparkSession, expected: DataFrame, root: str, folder: str = ""
 ) -> DataFrame:
-    """Status of the expected files among those in ``folder`` below ``root``."""
-    return manifest_status(expected, list_files(spark, root, folder))
+    """Status of the expected files, or folders of files, in ``folder`` below ``root``."""
+    return manifest_status(expected, list_datasets(spark, root, folder))
 
 
 def manifest_verdict(status: DataFrame) -> DataFrame:
@@ -110,6 +124,8 @@ def action_items(status: DataFrame) -> DataFrame:
     return status.filter(F.col("status") != OK).select("file", "note")
 
 
-def append_log(status: DataFrame, path: str) -> None:
-    """Add this run to the ingestion log table."""
-    status.withColumn("run_timestamp", F.current_timestamp()).write.mode("append").parquet(path)
+def append_log(status: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add this check to the ingestion log table, under the id of its run."""
+    dated = status.withColumns({
+        "run_timestamp": F.current_timestamp(), "run_id": F.lit(run_id).cast("string")})
+    dated.write.mode("append").parquet(path)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackmart import schemas
@@ -188,6 +188,25 @@ def read_lines(
     return lines.filter(fits).drop(LINE)
 
 
+def read_lines_watched(
+    spark: SparkSession, path: str | Sequence[str], name: str
+) -> tuple[DataFrame, Observation]:
+    """CSV with a header by lines, in one pass that also observes ``rows`` and ``open_lines``: how
+    many lines do not close a quote, so that lines are not records.
+
+    A line equal to the header is dropped in the first split of a file.
+    """
+    names = spark.read.options(**QUOTING, header=True).csv(path).columns
+    lines = scan_lines(spark, path)
+    first = lines.select("line").first()
+    head = (F.col("block") == 0) & (F.col("line") == F.lit(first["line"] if first else ""))
+    rows = lines.filter(~head & (F.trim("line") != ""))
+    observation = Observation(name)
+    rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.col("outside")).alias("open_lines"))
+    return parse_records(rows.withColumnRenamed("line", "record"), names), observation
+
+
 def read_records(
     spark: SparkSession, path: str | Sequence[str], names: Sequence[str], header: bool,
     skip_long: bool = False,
