@@ -414,6 +414,25 @@ def head_rows(spark, sf_dir):
     return first.withColumn("l_shipdate", F.col("l_shipdate").cast("string"))
 
 
+@query("SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer, row_number() OVER (ORDER BY "
+       "o_orderkey) AS seq, o_orderkey = min(o_orderkey) OVER (PARTITION BY o_custkey) AS first "
+       "FROM orders")
+def file_order_rows(spark, sf_dir):
+    """Rows numbered by their place in several files without an order column, and the first row of
+    each customer there."""
+    orders = roles.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("customer"), "o_orderkey")
+    path = scratch_path(spark, "ordered")
+    orders.repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey").write.csv(path)
+    scan = spark.read.schema("customer string, o_orderkey bigint").csv(path)
+    placed = lake.with_file_order(scan)
+    first = dedup.dedup_any(placed, ["customer"], ["file_order"]).select(
+        "o_orderkey", F.lit(True).alias("first"))
+    numbered = dedup.number_rows(placed, ["file_order"]).drop("file_order")
+    return numbered.join(first, "o_orderkey", "left").select(
+        "o_orderkey", "customer", "seq", F.coalesce("first", F.lit(False)).alias("first"))
+
+
 # Cleaning plans ------------------------------------------------------------
 
 @query(f"SELECT {widened(FLOATS)} FROM clean_tracks")

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackmart.functions import columns as C
+from trackmart.operators import frequent
 from trackmart.queries import roles
 from trackmart.queries.catalogue import query
 from trackmart.queries.roles import rounded
 from trackmart.session import scratch_path, written
 from trackmart.sources import lake
-from trackmart.streaming import batches, events, live, stateful
+from trackmart.sources.commits import PartTable
+from trackmart.streaming import batches, events, live, metrics, stateful
 
 BATCH_SIZE = 100
 
@@ -319,3 +321,56 @@ def live_state_batches(spark, sf_dir):
             stream, out, checkpoint, F.col("timestamp"), BATCH_SIZE)
         query_.awaitTermination()
     return stateful.state_summary(spark, out, checkpoint, BATCH_SIZE).drop("lane")
+
+
+@query("SELECT 'read_events' AS step, count(*) FILTER (WHERE genre IS NULL OR genre <> 'view') "
+       "AS rows_in, count(*) FILTER (WHERE genre IS NULL OR genre NOT IN ('view', 'click')) AS "
+       "rows_out, count(*) FILTER (WHERE genre = 'click') AS rows_removed, "
+       f"(SELECT count(*) FROM {_VARIED} WHERE genre IS NULL) AS without_genre FROM plays")
+def live_step_metrics(spark, sf_dir):
+    """Lines in, dropped and counted by a streaming query, observed in each micro-batch."""
+    source, out = scratch_path(spark, "event-lines"), scratch_path(spark, "totals")
+    files = _files(spark)
+    _varied_lines(spark, sf_dir).repartition(files).write.text(source)
+    listener = metrics.StepListener()
+    spark.streams.addListener(listener)
+    try:
+        stream = metrics.watched_events(spark, source, max(files // 4, 1))
+        query_ = live.start_genre_totals(stream, out, scratch_path(spark, "state"))
+        query_.awaitTermination()
+        counts = listener.counts(query_)
+    finally:
+        spark.streams.removeListener(listener)
+    steps = metrics.stream_steps(spark, counts)
+    return steps.withColumn("without_genre", F.lit(counts["events"]["without_genre"]))
+
+
+@query(
+    "SELECT kind, k, events, true AS bounded, true AS within, true AS none_missed FROM ("
+    "SELECT 'genre' AS kind, CAST(2 AS INTEGER) AS k, count(*) AS events FROM plays "
+    "UNION ALL SELECT 'track', 40, count(*) FROM plays)"
+)
+def genre_totals_bounds(spark, sf_dir):
+    """Frequent genres and tracks from sketches of each batch, merged as parts of a table: their
+    bounds against the exact counts, and no count beyond the error left out."""
+    counts = written(batches.batch_counts(batched(spark, sf_dir)), "counts")
+    found = []
+    for kind, k in (("genre", 2), ("track", 40)):
+        own = counts.filter(F.col("kind") == kind)
+        table = PartTable(spark, scratch_path(spark, "sketch"), frequent.merger(k), fan_in=2)
+        for part in range(5):
+            some = own.filter(F.col("batch") % 5 == part).groupBy("name").agg(
+                F.sum("plays").alias("plays"))
+            table.append(frequent.sketch_of(some, k), part)
+        sketch = written(table.read(), "merged")
+        exact = own.groupBy("name").agg(F.sum("plays").alias("plays"))
+        error = sketch.filter("name is null").agg(F.max("error")).scalar()
+        joined = exact.join(frequent.bounds(sketch), "name", "left")
+        plays, known = F.col("plays"), F.col("lower").isNotNull()
+        found.append(joined.agg(
+            F.lit(kind).alias("kind"), F.lit(k).alias("k"), F.sum("plays").alias("events"),
+            ((F.count_if(known) <= k) & (F.max(error) * (k + 1) <= F.sum("plays")))
+            .alias("bounded"),
+            F.bool_and(~known | plays.between(F.col("lower"), F.col("upper"))).alias("within"),
+            F.bool_and(known | (plays <= error)).alias("none_missed")))
+    return found[0].unionByName(found[1])

@@ -66,6 +66,23 @@ def read_csv(
     return rows if columns is None else rows.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def with_file_order(scan: DataFrame, name: str = "file_order") -> DataFrame:
+    """A scan of files with the place of every row: its file, split and row.
+
+    Files count in the order of their names, as a writer numbers its parts; so
+    ``head_rows`` and ``dedup_any`` by this column take what is first in the
+    files. ``scan`` has to be fresh from the reader. Parquet knows the number
+    of a row; in other formats rows are numbered as a split is read.
+    """
+    known = scan.select("_metadata").schema["_metadata"].dataType.names
+    numbered = "row_index" in known
+    row = F.col("_metadata.row_index") if numbered else F.monotonically_increasing_id()
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), row.alias("row"))
+    return scan.withColumn(name, place)
+
+
 def broken_quotes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(broken_lines): how many lines do not close a quote, as fields with line breaks do not."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
