@@ -16,15 +16,8 @@ def texts(spark, *pages):
 
 
 def test_articles_of_the_given_pages(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
-    want = {}
-    for row in pages.collect():
-        body = re.search(r"<article>(.*?)</article>", row["html"], re.S).group(1)
-        blocks = (" ".join(unescape(re.sub(r"<[^>]*>", " ", b)).split())
-                  for b in re.split(r"</?(?:p|h1)>", body))
-        want[row["page_id"]] = "\n".join(b for b in blocks if b)
-    found = {r["page_id"]: r["text"] for r in html.extract_texts(pages).collect()}
-    assert found == want
+    pages = given_pages(spark)
+    assert texts(spark, *pages) == articles(pages)
 
 
 def test_what_is_not_the_article_goes(spark):
@@ -66,10 +59,69 @@ def test_names_of_wrappers_do_not_empty_a_page(spark):
 
 def test_the_best_run_is_the_one_with_the_largest_sum():
     model = html.RegionModel({})
-    for page in ["<p>a b c</p><ul><li>x</li><li>y</li></ul><p>d e f g h</p>",
-                 "<div><div><div>a</div></div></div><table><tr><td>b c</td></tr></table>", "a"]:
-        row = html.pieces(page)
-        scores = [model.score(k) * (n if k is None or k[0] != "t" else 1) for k, n, *_ in row]
-        best = max((sum(scores[i:j]) for i in range(len(row)) for j in range(i, len(row) + 1)))
-        first, last = model.region(row)
+    for page in ["<p>a b c</p><ul><li>x</li><li>y</li></ul><p>d e f g h</p>", "a", "",
+                 "<div><div><div>a</div></div></div><table><tr><td>b c</td></tr></table>",
+                 "<nav>a b <a>c</a></nav><h1>t</h1><div class=ad>x y z</div><p>d e</p><form>f</form>"]:
+        scores = model.scores(html.pieces(page))
+        best = max((sum(scores[i:j]) for i in range(len(scores)) for j in range(i, len(scores) + 1)),
+                   default=0)
+        first, last = model.region(scores)
         assert abs(sum(scores[first:last]) - max(best, 0)) < 1e-9
+
+
+def given_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    return [row["html"] for row in rows]
+
+
+def articles(pages):
+    return [html_text(re.search(r"<article>(.*?)</article>", page, re.S).group(1)) for page in pages]
+
+
+def html_text(body):
+    blocks = (" ".join(unescape(re.sub(r"<[^>]*>", " ", b)).split())
+              for b in re.split(r"</?(?:p|h1)>", body))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_articles_without_any_names(spark):
+    """Classes, ids and roles are taken out: the weights of elements are learned."""
+    pages = given_pages(spark)
+    bare = [re.sub(r' (?:class|id|role)="[^"]*"', "", page) for page in pages]
+    assert bare != pages and texts(spark, *bare) == articles(pages)
+
+
+def test_names_are_learned_from_marked_pages(spark):
+    """Names that nobody guessed, in both directions; the last page marks nothing."""
+    words = [f"word{i} of a story that goes on and on" for i in range(12)]
+    box = "<div class='zebra'>{}</div>"
+    good = "<div class='sidebar'><p>{}</p></div>"
+    pages = [f"<body>{box.format('x y z w ' * 12)}<article>{good.format(' '.join(words))}</article>"
+             f"{box.format('q r s ' * 15)}</body>" for _ in range(40)]
+    pages.append(f"<body>{box.format('x y z')}{good.format(words[0])}{box.format('q r')}</body>")
+    found = texts(spark, *pages)
+    assert found == [" ".join(words)] * 40 + [words[0]]
+
+
+def test_the_scan_decides_what_is_kept(spark, monkeypatch):
+    pages = given_pages(spark)[:40]
+    model = html.Extractor({"words": (100, 10)})
+    with_scan = [model.extract(page) for page in pages]
+    monkeypatch.setattr(html.RegionModel, "region", lambda self, scores: (0, len(scores)))
+    without = [model.extract(page) for page in pages]
+    assert all(a != b and a in b for a, b in zip(with_scan, without))
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    model = html.Extractor({})
+    for unit in ("x <b y ", "<span><div></div>", "<a ", '<a "', "<p", "</x>", "<!--", "<script>",
+                 "<div class='a b", "<li><b>", "<a '\">", "<i></b>", "&#x", "<?", "<td><table>",
+                 "<div class='c{}'>x"):
+        count = 250_000 // len(unit)
+        page = "".join(unit.format(i) for i in range(count)) if "{" in unit else unit * count
+        for ending in ("", ">", "'>\""):
+            start = time.process_time()
+            model.extract(page + ending)
+            assert time.process_time() - start < 5, (unit, ending)
