@@ -24,6 +24,21 @@ def test_any_position_is_read_alone(ids):
         assert segment.access(np.array([position]))[0] == ids[position]
 
 
+def test_words_are_cut_as_the_library_cuts_them():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.tokenizer_file())
+    tool = tokens.word_encoder()
+    letters = [chr(c) for c in range(0x80, 0x2C0)] + ["ǅ", "ſ", "İ", "Σ", "ς", "K", "e\u0301", "日"]
+    words = [f"{a}{c}{b}" for c in letters for a, b in (
+        ("", ""), ("x", "y"), ("(", "),"), ("<", "|>"), ("--A", "Z!?"), ("é", ".b"), ("_", "'s"))]
+    words += ["ΑΣ.", "ΟΔΟΣ,Σ", "é<|endoftext|>", "\u0338=é", "=é\u0338", "É1É", "naïve\x00"]
+    for first in range(0, len(words), 7):
+        text = " ".join(words[first:first + 7]) + "\n"
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(tool.encode(text), np.uint32).tolist() == want, text
+
+
 def written_documents(spark, docs, **options):
     path = scratch_path(spark, "tokens")
     tokens.write_tokens(docs, path, **options)

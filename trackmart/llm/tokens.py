@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Callable, Iterator, Sequence
@@ -60,7 +61,12 @@ class Segment:
     def __init__(self, codes: Sequence[bytes], bitmaps: Sequence[bytes], ranks: Sequence[bytes]):
         self.codes = [np.frombuffer(c, TYPES[w]) for c, w in zip(codes, WIDTHS)]
         self.words = [np.frombuffer(b, "<u8") for b in bitmaps]
-        self.ranks = [np.frombuffer(r, "<u4") for r in ranks]
+        # The directory, brought from blocks to their words: bits set before each word.
+        self.ranks = []
+        for stored, words in zip(ranks, self.words):
+            counts = np.bitwise_count(words).astype(np.int64).reshape(-1, RANK_BITS // 64)
+            before = np.frombuffer(stored, "<u4")[:, None] + np.cumsum(counts, axis=1) - counts
+            self.ranks.append(before.ravel())
 
     def __len__(self) -> int:
         return len(self.codes[0])
@@ -77,27 +83,32 @@ class Segment:
             at, word, bit, open_ = at[on], word[on], bit[on], open_[on]
             if not len(at):
                 break
-            at = self._rank(level, at, word, bit)
+            below = words[word] & ((np.uint64(1) << bit) - np.uint64(1))
+            at = self.ranks[level][word] + np.bitwise_count(below)
             shift += WIDTHS[level]
             ids[open_] |= self.codes[level + 1][at].astype(np.uint32) << np.uint32(shift)
         return ids
 
-    def _rank(self, level: int, at: np.ndarray, word: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        """Bits set before ``at``: the directory, whole words of its block, the last word."""
-        words, per = self.words[level], RANK_BITS // 64
-        rank = self.ranks[level][at // RANK_BITS].astype(np.int64)
-        first = word - word % per
-        for step in range(per - 1):
-            rank += np.where(first + step < word, np.bitwise_count(words[first + step]), 0)
-        below = (np.uint64(1) << bit) - np.uint64(1)
-        return rank + np.bitwise_count(words[word] & below)
-
 
 # -- encoding -----------------------------------------------------------------
 
 #: Pieces that the pre-tokenizer of word_bpe_49k.json cuts from plain ASCII text.
 PLAIN = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9\s]+")
 PRINTABLE = re.compile(rb"[\x21-\x7e]+")
+#: What can stand around a word as one piece, and where the Latin letters end that lower-case and
+#: compose in themselves.
+MARKS, LATIN_END = string.punctuation.replace("'", ""), "\u0250"
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where it is
+    printable, the next one from 256 on for the others."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {**{b: b for b in printable}, **{b: 256 + i for i, b in enumerate(others)}}
+
+
+LETTERS = byte_letters()
 
 
 class _Table(dict):
@@ -122,7 +133,8 @@ class WordEncoder:
     ids are those of its words in order. Words are looked up in a table of at
     most ``most`` entries that the tokenizer fills. ASCII texts without an
     apostrophe or a special token are cut as the pre-tokenizer cuts them, and
-    their pieces go to its BPE model directly, which skips the offsets.
+    their pieces go to its BPE model directly, which skips the offsets; so are
+    Latin words with marks around them.
     """
 
     def __init__(self, path: str, most: int = 1_000_000):
@@ -136,14 +148,25 @@ class WordEncoder:
     def _word(self, word: bytes) -> bytes:
         if self._is_plain(word):
             return b"".join(map(self.pieces.__getitem__, PLAIN.findall(word.lower())))
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        text = word.decode()
+        core = text.strip(MARKS)
+        if core and "'" not in text and "<|" not in text and max(core) < LATIN_END:
+            lower = core.lower()
+            if lower.isalpha():  # letters are one piece, and so are the marks on either side
+                before, _, after = text.partition(core)
+                ids = self._model(lower.encode().decode("latin-1").translate(LETTERS))
+                return b"".join([self.pieces[before.encode()] if before else b"", ids,
+                                 self.pieces[after.encode()] if after else b""])
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
+    def _model(self, piece: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
+
     def _piece(self, piece: bytes) -> bytes:
         if PRINTABLE.fullmatch(piece):
-            ids = [token.id for token in self.model.tokenize(piece.decode())]
-        else:
-            ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
+            return self._model(piece.decode())
+        ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
     @staticmethod
