@@ -142,7 +142,7 @@ class _Open:
         # Of each: name, the nearest block at or below it, the elements around its content, hidden.
         self.stack: list[tuple[str, int, tuple[Element, ...], bool]] = []
         self.counts: Counter = Counter()
-        self.hidden = 0
+        self.hidden = self.marks = 0
 
     @property
     def around(self) -> tuple[Element, ...]:
@@ -150,7 +150,7 @@ class _Open:
 
     @property
     def marked(self) -> bool:
-        return any(self.counts[name] for name in MARKED)
+        return self.marks > 0
 
     def block(self) -> int:
         return self.stack[-1][1] if self.stack else -1
@@ -169,12 +169,14 @@ class _Open:
         block = len(self.stack) if name in BLOCKS else self.block()
         self.stack.append((name, block, around, hidden))
         self.counts[name] += 1
+        self.marks += name in MARKED
         self.hidden += hidden
 
     def pop_to(self, size: int) -> None:
         while len(self.stack) > size:
             name, _, _, hidden = self.stack.pop()
             self.counts[name] -= 1
+            self.marks -= name in MARKED
             self.hidden -= hidden
 
     def close(self, name: str) -> None:
@@ -326,9 +328,8 @@ class RegionModel:
                 best, best_at = total, (start, i + 1)
         return best_at
 
-    def text(self, page: str) -> str:
+    def text(self, row: list[Piece]) -> str:
         """The text of the best run less its holes, a line for each block."""
-        row = pieces(page)
         first, last = self.region(self.scores(row))
         blocks: list[tuple[str, float]] = []  # text, mean score of its words
         parts, total, words = [], 0.0, 0
@@ -356,8 +357,8 @@ class Extractor:
         self.models = RegionModel(counts), RegionModel(counts, use_names=False)
 
     def extract(self, page: str | None) -> str:
-        named, plain = self.models
-        return named.text(page or "") or plain.text(page or "")
+        row = pieces(page or "")
+        return next(filter(None, (model.text(row) for model in self.models)), "")
 
 
 def class_counts(page: str | None) -> Counter:
