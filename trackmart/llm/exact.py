@@ -131,8 +131,8 @@ def _numbered(docs: DataFrame, clashing: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256) for every row of ``docs``.
 
-    Texts are equal that are identical after lower-casing A-Z; null equals
-    empty. The row with the largest doc_id of a group stays; a null id stays
+    Texts are equal that are identical after lower-casing A-Z, whole, however
+    long; null equals empty. The row with the largest doc_id of a group stays; a null id stays
     only in a group without another. Of several rows with that id one stays.
     Other columns of ``docs`` are ignored. Empty in, empty out.
     """

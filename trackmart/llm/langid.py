@@ -97,7 +97,8 @@ def predict_languages(docs: DataFrame) -> DataFrame:
 
     Rows that are not held out and have a lang are learned from; a prediction
     looks at the text alone. A null text, one without a letter, or a table to
-    learn from without rows gives ``und`` with score 0. Other columns of
+    learn from without rows gives ``und`` with score 0. Texts are taken whole,
+    however long. Other columns of
     ``docs`` are ignored; repeated rows are predicted alike. Empty in, empty
     out.
     """

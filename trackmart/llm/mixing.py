@@ -109,7 +109,11 @@ def copied(docs: DataFrame, seed: str = "mix", stretch: int = STRETCH, size: Col
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mix takes, each as often as it has copies, with the columns of
-    ``docs``."""
+    ``docs``.
+
+    Null texts have no words, and a null source is one like others. Whole texts
+    count, however long; repeated rows are each dealt with. Empty in, empty out.
+    """
     taken = copied(docs, **options).filter("copies > 0")
     repeated = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
     return taken.select("row", repeated.alias("copy")).select("row.*")

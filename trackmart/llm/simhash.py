@@ -330,7 +330,8 @@ def near_duplicates(docs: DataFrame, size: int = 3, seed: int = 42,
     ``fingerprint`` is 16 hex digits; ``component_id`` the smallest doc_id
     reached over fingerprints at most ``distance`` bits apart, the own one
     included. Rows of one fingerprint are one node, so copies of a text are
-    never paired. Repeated ids give a row each; a null id is reached last and
+    never paired. Texts are taken whole, however long; null, empty and blank
+    ones have the fingerprint zero. Repeated ids give a row each; a null id is reached last and
     gives a null component only where all others are null. Empty in, empty out.
     """
     prints = written(fingerprints(docs, size, (seed,)).withColumnRenamed("f0", "fp"), "prints")

@@ -205,7 +205,8 @@ def write_tokens(
     Null ids come first; rows of one id follow each other by a hash of the
     text and then the text, so that a repeated id does not fill one task. A
     null or empty text has the end id alone. A segment takes documents until
-    it holds ``segment_tokens`` ids and never splits one. Other columns of
+    it holds ``segment_tokens`` ids and never splits one; a text is encoded
+    whole, however long, and may be a segment of its own. Other columns of
     ``docs`` are ignored. An empty table gives no segment.
     """
     small_batches(docs.sparkSession)
