@@ -110,17 +110,46 @@ def test_repeated_rows_of_one_label_do_not_fill_the_sample(spark):
                                  "doc_id long, text string")
     several = spark.createDataFrame([(1, f"other {i}") for i in range(500)], docs.schema)
     marks = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, label int")
+    one = lambda text: np.array([len(text)], np.int32)  # noqa: E731  (goes to the workers by value)
     for given_docs in (docs, docs.union(several)):
-        found = linear.collect_sample(linear.sample_rows(given_docs, marks, 20), 20)
-        assert Counter(label for _, label in found) == {0: 20, 1: 20}
-        assert len(set(found)) == 40
+        stored = linear.sample_features(given_docs, linear.sample_ids(marks, 20), one)
+        rows, wanted = linear.collect_features(stored, 20)
+        assert Counter(wanted.tolist()) == {0: 20, 1: 20} and len(rows) == 40
+
+
+def test_features_that_reach_the_driver_are_bounded(spark):
+    docs = spark.createDataFrame([(i, "w " * 50) for i in range(40)], "doc_id long, text string")
+    docs = docs.selectExpr("doc_id", "concat(text, doc_id) as text")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label int")
+    stored = linear.sample_features(
+        docs, linear.sample_ids(marks, 20), lambda text: np.arange(100, dtype=np.int32))
+    assert stored.columns == ["doc_id", "label", "fits", "h", "at"]
+    rows, wanted = linear.collect_features(stored, 20, most_bytes=2 * 7 * 400 + 100)
+    assert Counter(wanted.tolist()) == {0: 7, 1: 7} and all(len(at) == 100 for at in rows)
 
 
 def test_sampled_ids_are_the_first_by_hash_without_a_window(spark):
-    docs = spark.range(300).selectExpr("id as doc_id", "cast(id as string) as text")
     marks = spark.range(300).selectExpr("id as doc_id", "cast(id % 2 as int) as label")
-    sample = linear.sample_rows(docs, marks.union(marks), 7)
+    sample = linear.sample_ids(marks.union(marks), 7, 3)
     assert "Window" not in sample._jdf.queryExecution().toString()
     order = [r[0] for r in marks.selectExpr("doc_id").orderBy(F.xxhash64("doc_id")).collect()]
-    want = [i for odd in (0, 1) for i in [i for i in order if i % 2 == odd][:7]]
-    assert sorted(r["doc_id"] for r in sample.collect()) == sorted(want)
+    found = {r["doc_id"]: (r["label"], r["fits"]) for r in sample.collect()}
+    want = {}
+    for odd in (0, 1):
+        for n, i in enumerate([i for i in order if i % 2 == odd][:7]):
+            want[i] = (odd, n < 3)
+    assert found == want
+
+
+def test_ratios_equal_plain_counts(spark):
+    docs, marks = given(spark)
+    known = marks.selectExpr("doc_id", "quality as label")
+    stored = linear.sample_features(docs, linear.sample_ids(known, 40), nbsvm.indicators)
+    table = np.ones((2, nbsvm.BUCKETS))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for row in stored.select("doc_id", "label").collect():
+        table[row["label"], nbsvm.indicators(texts[row["doc_id"]])] += 1
+    want = np.log(table[1] / table[1].sum()) - np.log(table[0] / table[0].sum())
+    assert np.allclose(nbsvm.log_count_ratios(stored), want)
+    calls = docs.selectExpr("doc_id", "text", "raise_error('texts are not read') as x")
+    assert linear.sample_features(calls, linear.sample_ids(known, 1), nbsvm.indicators).count() == 2

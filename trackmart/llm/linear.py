@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackmart.llm.common import written
+from trackmart.llm.common import arrow_map, rows_of, written
 
+#: Bytes of features that the driver takes at most, whatever the texts are.
+SAMPLE_BYTES = 128 << 20
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -42,33 +46,59 @@ def char_grams(text: str | None, size: int, buckets: int) -> np.ndarray:
     return (_mix(gram + np.uint64(size << 40)) % np.uint64(buckets)).astype(np.int32)
 
 
-def sample_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``rows`` ids of either label, 0 and 1, chosen by a hash of the id.
+def sample_ids(labels: DataFrame, rows: int, first: int | None = None) -> DataFrame:
+    """(doc_id, label, fits): at most ``rows`` ids of either label, 0 and 1, chosen by a hash of the
+    id; the first ``first`` of them, or all, are to be fitted.
 
-    The chosen ids are ``2 * rows`` at most, whatever the input, and so can be
-    broadcast: the documents are not shuffled.
+    ``2 * rows`` rows at most, whatever the input.
     """
-    known = labels.select("doc_id", "label").filter("doc_id is not null")
-    first, second = (
-        known.filter(F.col("label") == label).distinct().orderBy(
-            F.xxhash64("doc_id"), "doc_id").limit(rows) for label in (0, 1))
-    chosen = first.unionByName(second)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    known = labels.select("doc_id", "label").filter("doc_id is not null").distinct()
+    parts = []
+    for label in (0, 1):
+        ordered = known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id")
+        part = ordered.limit(rows).withColumn("fits", F.lit(first is None))
+        if first is not None:
+            some = ordered.limit(first).select("doc_id", F.lit(True).alias("first"))
+            part = part.join(F.broadcast(some), "doc_id", "left").select(
+                "doc_id", "label", F.coalesce("first", "fits").alias("fits"))
+        parts.append(part)
+    return parts[0].unionByName(parts[1])
+
+
+def sample_features(docs: DataFrame, chosen: DataFrame,
+                    features: Callable[[str | None], np.ndarray]) -> DataFrame:
+    """(doc_id, label, fits, h, at): features and a hash of the texts of ``chosen`` ids, stored.
+
+    The documents are read once and not shuffled. Rows that agree in doc_id,
+    text and label count once; an id with several texts has a row for each.
+    """
+    marked = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").distinct()
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for *own, text in rows_of(batches, "doc_id", "label", "fits", "h", "text"):
+            yield (*own, features(text))
+
+    schema = "doc_id long, label int, fits boolean, h long, at array<int>"
+    return written(arrow_map(marked.withColumn("h", F.xxhash64("text")), rows, schema), "features")
 
 
-def collect_sample(sample: DataFrame, rows: int) -> list[tuple[str | None, int]]:
-    """At most ``rows`` texts of either label from a sample of as many ids, in the order of a hash.
+def collect_features(stored: DataFrame, rows: int,
+                     most_bytes: int = SAMPLE_BYTES) -> tuple[list[np.ndarray], np.ndarray]:
+    """Features and labels of at most ``rows`` rows of either label, in the order of their hash.
 
-    Rows that agree in doc_id, text and label count once. Ids with several
-    texts can be more than ``rows`` rows; a hash of the text then decides.
+    No text reaches the driver, and of the features ``most_bytes`` at most: rows
+    beyond either bound are left out, the last ones by the hash first.
     """
-    once = written(sample.select("doc_id", "text", "label").distinct(), "sample")
-    found = [once.filter(F.col("label") == label).orderBy(F.xxhash64("text"), "text").limit(rows)
-             for label in (0, 1)]
-    table = found[0].unionByName(found[1]).select("text", "label").toArrow()
-    order = sorted(zip(table.column("text").to_pylist(), table.column("label").to_pylist()),
-                   key=lambda row: (crc32((row[0] or "").encode()), row[0] or "", row[1]))
-    return [(text, int(label)) for text, label in order]
+    found = []
+    for label in (0, 1):
+        ordered = stored.filter(F.col("label") == label).orderBy("h", "doc_id")
+        sizes = ordered.limit(rows).select(F.size("at").alias("n")).toArrow().column("n").to_numpy()
+        fit = int(np.searchsorted(np.cumsum(4 * sizes.astype(np.int64)), most_bytes // 2, "right"))
+        table = ordered.limit(fit).select("h", "at").toArrow()
+        for h, at in zip(table.column("h").to_pylist(), table.column("at")):
+            found.append((h, label, at.values.to_numpy()))
+    found.sort(key=lambda row: row[:2])
+    return [at for _, _, at in found], np.array([label for _, label, _ in found], np.int64)
 
 
 class Sigmoid:

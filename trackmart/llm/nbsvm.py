@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackmart.llm.common import arrow_map, held_out, rows_of, small_batches
-from trackmart.llm.linear import (Sigmoid, char_grams, collect_sample, fit_hinge, fit_sigmoid,
-                                  sample_rows, word_grams)
+from trackmart.llm.linear import (Sigmoid, char_grams, collect_features, fit_hinge, fit_sigmoid,
+                                  sample_features, sample_ids, word_grams)
 
 BUCKETS = 1 << 17
 #: Labelled training rows of either label whose features are counted.
@@ -31,21 +31,22 @@ def indicators(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate([word_grams(text, 2, BUCKETS), char_grams(text, 4, BUCKETS)]))
 
 
-def log_count_ratios(marked: DataFrame) -> np.ndarray:
+def log_count_ratios(stored: DataFrame) -> np.ndarray:
     """log((documents of label 1 with a feature + 1) / (those of label 0 + 1)), shares of each class.
 
-    Counted over ``marked`` (text, label); at most two numbers for each
+    Counted over ``stored`` features (label, at); at most two numbers for each
     bucket reach the driver, whatever the input.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         totals = np.zeros((2, BUCKETS), np.int64)
-        for text, label in rows_of(batches, "text", "label"):
-            totals[label, indicators(text)] += 1
+        for batch in batches:
+            for label, at in zip(batch.column("label").to_pylist(), batch.column("at")):
+                totals[label, at.values.to_numpy()] += 1
         for label in (0, 1):
             at = np.flatnonzero(totals[label])
             yield from zip([label] * len(at), at.tolist(), totals[label, at].tolist())
 
-    counted = arrow_map(marked.select("text", "label"), count, "label int, bucket int, n long",
+    counted = arrow_map(stored.select("label", "at"), count, "label int, bucket int, n long",
                         batch_rows=50_000)
     table = np.ones((2, BUCKETS))
     wide = counted.groupBy("bucket").agg(
@@ -65,14 +66,14 @@ class NaiveBayesSupport:
         self.scale, self.bias, self.sigmoid = scale.astype(np.float32), bias, sigmoid
         self.weights = weights.astype(np.float32)
 
-    def margin(self, text: str | None) -> float:
-        at = indicators(text)
+    def margin(self, at: np.ndarray) -> float:
+        """Of a text's indicators."""
         scaled = self.scale[at]
         length = max(float(np.sqrt((scaled ** 2).sum())), 1e-12)
         return float(scaled @ self.weights[at]) / length + self.bias
 
     def score(self, text: str | None) -> float:
-        return self.sigmoid(self.margin(text))
+        return self.sigmoid(self.margin(indicators(text)))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS,
@@ -81,30 +82,31 @@ def fit_quality(docs: DataFrame, labels: DataFrame, count_rows: int = COUNT_ROWS
 
     The ratios are counted over at most ``count_rows`` rows of either label.
     Of at most ``fit_rows`` of either, three quarters fit the hinge loss and
-    the others calibrate. Hashes decide which. With one label only, the score
+    the others calibrate. Hashes decide which. The documents are read once and
+    no text reaches the driver, see ``collect_features``. With one label only, the score
     is that label's; without labels it is 1.
     """
     known = labels.filter("quality in (0, 1)").select("doc_id", F.col("quality").alias("label"))
     known = known.filter(~held_out(F.col("doc_id")))
-    scale = log_count_ratios(sample_rows(docs, known, count_rows))
-    found = collect_sample(sample_rows(docs, known, fit_rows), fit_rows)
-    calibrates = np.arange(len(found)) % 4 == 0
-    rows, wanted = [indicators(t) for t, _ in found], np.array([y for _, y in found])
+    stored = sample_features(docs, sample_ids(known, count_rows, fit_rows), indicators)
+    scale = log_count_ratios(stored)
+    rows, wanted = collect_features(stored.filter("fits"), fit_rows)
+    calibrates = np.arange(len(rows)) % 4 == 0
     if len(set(wanted[~calibrates].tolist())) < 2 or len(set(wanted[calibrates].tolist())) < 2:
-        calibrates = np.zeros(len(found), bool)
+        calibrates = np.zeros(len(rows), bool)
     fit_at = np.flatnonzero(~calibrates)
     weights, bias = fit_hinge([rows[i] for i in fit_at], wanted[fit_at], scale)
     plain = NaiveBayesSupport(scale, weights, bias, Sigmoid(1.0, 0.0))
-    held = np.flatnonzero(calibrates) if calibrates.any() else np.arange(len(found))
-    margins = np.array([plain.margin(found[i][0]) for i in held])
+    held = np.flatnonzero(calibrates) if calibrates.any() else np.arange(len(rows))
+    margins = np.array([plain.margin(rows[i]) for i in held])
     return NaiveBayesSupport(scale, weights, bias, fit_sigmoid(margins, wanted[held]))
 
 
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document.
 
-    The score looks at the text alone; a null or empty text has that of the
-    bias. Other columns of ``docs`` are ignored, repeated rows score alike.
+    The score looks at the text alone, whole, however long; a null or empty
+    text has that of the bias. Other columns of ``docs`` are ignored, repeated rows score alike.
     Empty in, empty out.
     """
     spark = docs.sparkSession

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackmart.llm.common import arrow_map, held_out, map_batches, rows_of, small_batches
-from trackmart.llm.linear import (Sigmoid, char_grams, collect_sample, fit_logistic,
-                                  fit_sigmoid, sample_rows, word_grams)
+from trackmart.llm.linear import (Sigmoid, char_grams, collect_features, fit_logistic,
+                                  fit_sigmoid, sample_features, sample_ids, word_grams)
 
 BUCKETS = 1 << 18
 #: Documents whose calibrated probability of quality 1 is lower are rejected.
@@ -84,8 +84,8 @@ class QualityModel:
     def __init__(self, weights: np.ndarray, bias: float, sigmoid: Sigmoid):
         self.weights, self.bias, self.sigmoid = weights.astype(np.float32), bias, sigmoid
 
-    def probability(self, text: str | None) -> float:
-        found = features(text)
+    def probability(self, found: np.ndarray) -> float:
+        """Of a text's features."""
         norm = np.sqrt(max(len(found), 1))
         return self.sigmoid(float(self.weights[found].sum()) / norm + self.bias)
 
@@ -95,18 +95,21 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 
     At most ``fit_rows`` rows of either label are fitted and as many others
     calibrate; which ones, a hash of the doc_id decides. Rows whose label is
-    null do not count.
+    null do not count. The documents are read once and no text reaches the
+    driver, see ``collect_features``.
     """
     known = labels.filter("quality in (0, 1)").select("doc_id", F.col("quality").alias("label"))
     apart = held_out(F.col("doc_id"))
-    train = collect_sample(sample_rows(docs, known.filter(~apart), fit_rows), fit_rows)
-    rest = collect_sample(sample_rows(docs, known.filter(apart), fit_rows), fit_rows)
-    rows, wanted = [features(t) for t, _ in train], np.array([y for _, y in train])
-    weights, bias = fit_logistic(rows, wanted, BUCKETS)
+    ids = sample_ids(known.filter(~apart), fit_rows).unionByName(
+        sample_ids(known.filter(apart), fit_rows))
+    stored = sample_features(docs, ids, features)
+    train = collect_features(stored.filter(~apart), fit_rows)
+    rest = collect_features(stored.filter(apart), fit_rows)
+    weights, bias = fit_logistic(*train, BUCKETS)
     plain = QualityModel(weights, bias, Sigmoid(1.0, 0.0))
-    held = rest if len({y for _, y in rest}) == 2 else train
-    margins = np.array([plain.sigmoid.logit(plain.probability(t)) for t, _ in held])
-    return QualityModel(weights, bias, fit_sigmoid(margins, np.array([y for _, y in held])))
+    rows, wanted = rest if len(set(rest[1].tolist())) == 2 else train
+    margins = np.array([plain.sigmoid.logit(plain.probability(at)) for at in rows])
+    return QualityModel(weights, bias, fit_sigmoid(margins, wanted))
 
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -114,7 +117,7 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, probability, kept. A null text has no words
-    and fails. Other columns of ``docs`` are ignored; repeated rows are judged
+    and fails. Texts are judged whole, however long. Other columns of ``docs`` are ignored; repeated rows are judged
     alike. Empty in, empty out.
     """
     spark = docs.sparkSession
@@ -126,7 +129,7 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
         for doc_id, text in rows_of(batches, "doc_id", "text"):
             found = statistics(text)
             failed = base_failed(found[0], found[4])
-            probability = quality.probability(text)
+            probability = quality.probability(features(text))
             yield (doc_id, *found, failed, probability, not failed and probability >= threshold)
 
     schema = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -137,7 +140,9 @@ def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, whatever their names.
 
-    The verdict is taken where the row is read: nothing is shuffled.
+    The verdict is taken where the row is read, on the whole text: nothing is
+    shuffled. A null or empty text has no words and goes; repeated rows stay or
+    go together. Empty in, empty out.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -150,7 +155,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
             for text in batch.column("text").to_pylist():
                 found = statistics(text)
                 verdict.append(not base_failed(found[0], found[4])
-                               and quality.probability(text) >= threshold)
+                               and quality.probability(features(text)) >= threshold)
             yield batch.filter(pa.array(verdict, pa.bool_()))
 
     return map_batches(docs, good, docs.schema)
