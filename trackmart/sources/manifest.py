@@ -92,17 +92,20 @@ def manifest_status(expected: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def list_datasets(spark: SparkSession, root: str, folder: str = "") -> DataFrame:
-    """(path, size_bytes, files, digest) of what lies directly in ``folder``: files, and folders of
-    files with the sum of their sizes.
+    """(path, size_bytes, files, digest) of every file in ``folder`` and of every folder that holds
+    some, with the sum of their sizes.
 
     The digest changes with the path, size and time of every file.
     """
-    depth = len([part for part in folder.split("/") if part]) + 1
-    top = F.substring_index("path", "/", depth)
+    depth = F.size(F.split("path", "/"))
+    above = F.transform(F.sequence(F.lit(1), depth),
+                        lambda n: F.array_join(F.slice(F.split("path", "/"), 1, n), "/"))
     one = F.xxhash64("path", "size_bytes", "modified").cast("decimal(38,0)")
-    return list_files(spark, root, folder).groupBy(top.alias("path")).agg(
+    listed = list_files(spark, root, folder).select(
+        F.explode(above).alias("dataset"), "size_bytes", one.alias("one"))
+    return listed.groupBy(F.col("dataset").alias("path")).agg(
         F.sum("size_bytes").alias("size_bytes"), F.count(F.lit(1)).alias("files"),
-        F.sum(one).cast("string").alias("digest"))
+        F.sum("one").cast("string").alias("digest"))
 
 
 def check_manifest(
