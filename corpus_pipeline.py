@@ -52,7 +52,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
+    """The rows of the last stage over ``documents``.
+
+    Each stage says what it does with nulls, empty, repeated and very long
+    texts; no documents give no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
