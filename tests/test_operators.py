@@ -1,4 +1,6 @@
 import math
+import re
+
 import random
 
 import pytest
@@ -329,3 +331,15 @@ def test_reports_are_the_same_for_any_partitioning(spark):
                aggregates.agg_hit, aggregates.agg_artist]
     found = [[rows(report(master.repartition(n))) for report in reports] for n in (1, 7, 64)]
     assert found[0] == found[1] == found[2]
+
+
+def test_dedup_any_packs_text_in_the_order_of_its_columns(spark):
+    data = [("k", "x\0y", "a"), ("k", "x", "z"), ("k", None, "a"), ("n", None, "b"),
+            ("n", None, None), ("e", "", "\0\0"), ("e", "", "\0\1"), (None, "0", "1")]
+    df = spark.createDataFrame(data, "k string, a string, b string")
+    kept = dedup.dedup_any(df, ["k"])
+    assert set(map(tuple, kept.collect())) == {
+        ("k", "x", "z"), ("n", None, "b"), ("e", "", "\0\0"), (None, "0", "1")}
+    # One text per row is sorted and moved, not every column.
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"WindowGroupLimit \[k#\d+\], \[_row#", plan)
