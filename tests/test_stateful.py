@@ -68,3 +68,13 @@ def test_lanes_count_apart(spark, sources):
         own = made.filter(lane == number)
         want = batches.batch_summary(batches.assign_batches(own, ["event_id"], 50))
         assert rows(got.filter(F.col("lane") == number).drop("lane")) == rows(want)
+
+
+def test_a_micro_batch_is_counted_by_some_batches_at_a_time(spark, sources, monkeypatch):
+    monkeypatch.setattr(stateful, "COUNTED", 30)
+    source, out, checkpoint = sources
+    add_files(spark, source, [range(0, 45), range(45, 400)], [0, 1])
+    run(spark, source, out, checkpoint, size=20)
+    want = batches.batch_summary(batches.assign_batches(plays(spark, 400), ["event_id"], 20))
+    got = stateful.state_summary(spark, out, checkpoint, 20).drop("lane")
+    assert rows(got) == rows(want)
