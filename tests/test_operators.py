@@ -1,7 +1,6 @@
 import math
-import re
-
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
