@@ -246,3 +246,21 @@ def test_joins_nobody_reads_leave_the_plan(spark):
 def test_dedup_ranks_before_the_shuffle(spark):
     plan = plan_of(cleaning.clean_tracks(raw_tracks(spark, {}, {})))
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_publish_snapshot_does_not_write_the_master_table(spark, monkeypatch):
+    from trackmart.operators.aggregates import GENRE_MEANS
+    from trackmart.queries import catalogue
+
+    columns = ["genre string", "is_chart_hit int", *(f"{c} double" for c in GENRE_MEANS)]
+    data = [(genre, hit, *[0.5] * len(GENRE_MEANS)) for genre, hit in [("a", 1), ("a", 0), ("b", 1)]]
+    made = spark.createDataFrame(data, ", ".join(columns))
+
+    def refuse(df, name):
+        raise AssertionError(f"{name} is written")
+
+    monkeypatch.setattr(catalogue, "master", lambda *_, **__: made)
+    monkeypatch.setattr(catalogue, "written", refuse)
+    found = set(map(tuple, catalogue.publish_snapshot(spark, "none").collect()))
+    assert found == {(version, name, 2, 2) for version in (1, 2)
+                     for name in ("agg_genre", "agg_hit_vs_nohit")}
