@@ -105,3 +105,25 @@ def test_documents(spark):
     assert all(r["text_back"] and r["n_tokens"] == len(r["ids"]) for r in found)
     assert all(r["ids"] == [] for r in found if r["doc_id"] in (3, 4))
     assert pieces.encode_documents(empty(spark)).count() == 0
+
+
+def test_words_of_like_length_are_cut_together(model, monkeypatch):
+    """A few long words among many short ones do not widen the table of all."""
+    cells, cut = [], model.cut_packed
+
+    def watched(words):
+        cells.append((len(words) * max(map(len, words)), sum(map(len, words))))
+        return cut(words)
+
+    monkeypatch.setattr(model, "cut_packed", watched)
+    words = [f"w{i:05d}" for i in range(20_000)] + ["é" * 40 + str(i) for i in range(20)]
+    data = model.encode_batch([" ".join(words)])[0]
+    assert model.decode(np.frombuffer(data, "<u4").tolist()) == " ".join(words)
+    assert sum(c for c, _ in cells) < 3 * sum(b for _, b in cells)
+
+
+def test_packed_cuts_equal_single_ones(model):
+    words = [w.encode() for text in TEXTS for w in ["▁" + text, text, text[::-1]] if w]
+    words += ["é\x00🙂"[i % 3:].encode() * (i % 31) + b"the" * (i % 5) + b"\xe6\x97\xa5" for i in range(99)]
+    assert model.cut_many(words) == [model.cut_one(w) for w in words]
+    assert model.cut_packed([]) == []

@@ -193,74 +193,102 @@ class Pieces:
         return out[::-1]
 
     def cut_many(self, words: list[bytes]) -> list[list[int]]:
-        """Viterbi over many words at once: a step for each position and length of piece."""
+        """The ids of many words."""
+        return [np.frombuffer(ids, "<u4").tolist() for ids in self.cut_packed(words)]
+
+    def cut_packed(self, words: list[bytes]) -> list[bytes]:
+        """Viterbi over many words at once: a step for each position and length of piece.
+
+        The ids of each word come as little-endian unsigned 32-bit integers.
+        """
         if not words:
             return []
-        lengths = np.array([len(w) for w in words])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(-lengths, kind="stable")
-        most = int(lengths.max())
-        grid = np.zeros((len(words), most + 1), np.uint8)
-        for row, i in enumerate(order):
-            grid[row, :lengths[i]] = np.frombuffer(words[i], np.uint8)
         lengths = lengths[order]
+        most = int(lengths[0])
+        wide = most + 1
+        # A row of codes for each word; the code 0 behind it leads to no child of any state.
+        held = np.arange(wide) < lengths[:, None]
+        codes = np.zeros(held.shape, np.int32)
+        codes[held] = np.frombuffer(b"".join([words[i] for i in order.tolist()]), np.uint8)
+        codes[held] += 1
+        codes = codes.ravel()
         base, check, value = self.trie.base, self.trie.check, self.trie.value
-        best = np.full((len(words), most + 1), -1e300)
-        best[:, 0] = 0
-        start = np.zeros((len(words), most + 1), np.int16)
-        piece = np.full((len(words), most + 1), -1, np.int32)
-        alive = np.searchsorted(-lengths, -np.arange(most + 1), side="left")  # rows longer than p
+        best = np.full(len(codes), -1e300)
+        start = np.zeros(len(codes), np.int32)
+        piece = np.full(len(codes), -1, np.int32)
+        first_cells = np.arange(len(words)) * wide
+        best[first_cells] = 0
+        alive = np.searchsorted(-lengths, -np.arange(most), side="left")  # rows longer than p
         for at in range(most):
-            rows = np.arange(alive[at])
-            first = grid[:alive[at], at]
-            rows = rows[(first & 0xC0) != 0x80]
-            if not len(rows):
-                continue
-            width = _WIDTHS[grid[rows, at]]
-            here = best[rows, at]
-            single = np.zeros(len(rows), bool)
-            live, state = np.arange(len(rows)), np.zeros(len(rows), np.int32)
-            for end in range(at, min(at + self.longest, most)):
-                inside = lengths[rows[live]] > end
-                if not inside.all():
-                    live, state = live[inside], state[inside]
-                child = base[state] + grid[rows[live], end] + 1
-                ok = check[child] == state
-                live, state = live[ok], child[ok]
+            cells = first_cells[:alive[at]] + at
+            lead = codes.take(cells) - 1
+            begins = (lead & 0xC0) != 0x80
+            if not begins.all():
+                cells, lead = cells[begins], lead[begins]
+                if not len(cells):
+                    continue
+            width = _WIDTHS.take(lead)
+            here = best.take(cells)
+            single = np.zeros(len(cells), bool)
+            live, state = np.arange(len(cells)), np.zeros(len(cells), np.int32)
+            for size in range(1, min(self.longest, most - at) + 1):
+                child = base.take(state) + codes.take(cells.take(live) + (size - 1))
+                ok = np.flatnonzero(check.take(child) == state)
+                live, state = live.take(ok), child.take(ok)
                 if not len(live):
                     break
-                found = value[state]
+                found = value.take(state)
                 on = np.flatnonzero(found >= 0)
                 if not len(on):
                     continue
-                who, what = live[on], found[on]
-                single[who[width[who] == end + 1 - at]] = True
-                total = here[who] + self.scores[what]
-                better = total > best[rows[who], end + 1]
-                at_rows = rows[who[better]]
-                best[at_rows, end + 1] = total[better]
-                start[at_rows, end + 1] = at
-                piece[at_rows, end + 1] = what[better]
+                who, what = live.take(on), found.take(on)
+                single[who[width.take(who) == size]] = True
+                total = here.take(who) + self.scores.take(what)
+                ends = cells.take(who) + size
+                better = np.flatnonzero(total > best.take(ends))
+                ends = ends.take(better)
+                best[ends] = total.take(better)
+                start[ends] = at
+                piece[ends] = what.take(better)
             lone = np.flatnonzero(~single)
             if len(lone):
-                end = np.minimum(at + width[lone], lengths[rows[lone]])
+                row = cells[lone] // wide
+                ends = row * wide + np.minimum(at + width[lone], lengths[row])
                 total = here[lone] + self.unknown
-                better = total > best[rows[lone], end]
-                at_rows, end = rows[lone[better]], end[better]
-                best[at_rows, end] = total[better]
-                start[at_rows, end] = at
-                piece[at_rows, end] = -1
-        out: list[list[int]] = [[]] * len(words)
-        starts, pieces = start.tolist(), piece.tolist()
-        for row, i in enumerate(order.tolist()):
-            s, p, end, ids, word = starts[row], pieces[row], len(words[i]), [], words[i]
-            while end > 0:
-                if p[end] >= 0:
-                    ids.append(p[end])
-                else:
-                    ids.extend(int(self.bytes_[b]) for b in reversed(word[s[end]:end]))
-                end = s[end]
-            out[i] = ids[::-1]
-        return out
+                better = total > best[ends]
+                ends = ends[better]
+                best[ends] = total[better]
+                start[ends] = at
+                piece[ends] = -1
+        return self._trace_many(order, lengths, codes, start, piece)
+
+    def _trace_many(self, order: np.ndarray, lengths: np.ndarray, codes: np.ndarray,
+                    start: np.ndarray, piece: np.ndarray) -> list[bytes]:
+        """The ids on the best ways through the rows of ``codes``, by the words' own order."""
+        wide = len(codes) // len(order)
+        rows, ends, steps = np.arange(len(order)), lengths, []
+        while len(rows):
+            more = ends > 0
+            rows, ends = rows[more], ends[more]
+            cells = rows * wide + ends
+            from_ = start[cells]
+            steps.append((rows, from_, ends - from_, piece[cells]))
+            ends = from_
+        rows, from_, sizes, ids = map(np.concatenate, zip(*steps))
+        by = np.argsort(order[rows] * wide + from_)
+        rows, from_, sizes, ids = rows[by], from_[by], sizes[by], ids[by]
+        if (ids < 0).any():  # a character that no piece covers becomes its bytes
+            times = np.where(ids < 0, sizes, 1)
+            place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            rows, from_, ids = (np.repeat(x, times) for x in (rows, from_, ids))
+            lone = np.flatnonzero(ids < 0)
+            code = codes[rows[lone] * wide + from_[lone] + place[lone]]
+            ids[lone] = self.bytes_[code - 1]
+        data = ids.astype("<u4").tobytes()
+        bounds = [0, *(4 * np.cumsum(np.bincount(order[rows], minlength=len(order)))).tolist()]
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
     # -- texts ----------------------------------------------------------------
 
@@ -275,11 +303,11 @@ class Pieces:
         if len(table) > most:
             table.clear()
         missing = list({w for words in split for w in words if w not in table})
-        short = [w for w in missing if len(w) <= LONG]
-        for first in range(0, len(short), 20_000):
-            some = short[first:first + 20_000]
-            for word, ids in zip(some, self.cut_many(some)):
-                table[word] = array("I", ids).tobytes()
+        # Words of like length are cut together, as the longest gives the number of steps.
+        short = sorted([w for w in missing if len(w) <= LONG], key=len)
+        for first in range(0, len(short), 5_000):
+            some = short[first:first + 5_000]
+            table.update(zip(some, self.cut_packed(some)))
         for word in missing:
             if len(word) > LONG:
                 table[word] = array("I", self.cut_one(word)).tobytes()
@@ -291,7 +319,7 @@ class Pieces:
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of some ids: pieces and bytes in a row, markers back to spaces, less the first."""
-        joined = b"".join([self.piece_bytes[i] for i in ids])
+        joined = b"".join(map(self.piece_bytes.__getitem__, ids))
         text = joined.decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
