@@ -264,3 +264,42 @@ def test_publish_snapshot_does_not_write_the_master_table(spark, monkeypatch):
     found = set(map(tuple, catalogue.publish_snapshot(spark, "none").collect()))
     assert found == {(version, name, 2, 2) for version in (1, 2)
                      for name in ("agg_genre", "agg_hit_vs_nohit")}
+
+
+def _repeating_tables(spark, entries):
+    """Tracks and charts that share a key, with spellings of one artist and a track of no key."""
+    tracks = cleaning.typed_tracks(raw_tracks(
+        spark, {}, {"track_id": "t2"}, {"track_id": "t3", "track_name": "Other"},
+        {"track_id": "t4", "artist_name": None}))
+    artists = spark.createDataFrame(
+        [("a1", "Abba", 5, 1), ("a2", "ABBA", 6, 2)],
+        "artist_id string, artist_name string, artist_popularity int, followers bigint",
+    ).withColumns({f"genre_{i}": F.lit(None).cast("string") for i in range(3)})
+    albums = cleaning.clean_albums(
+        spark.createDataFrame([], schemas.text_schema(schemas.RAW_ALBUMS)))
+    charts = spark.range(entries).select(
+        F.lit("SONG").alias("track_name"), F.lit("abba").alias("artist_name"),
+        *[F.col("id").cast("bigint").alias(c) for c in schemas.CHART_ATTRIBUTES])
+    return tracks, artists, albums, charts
+
+
+@pytest.mark.parametrize("unique_keys", [True, False])
+@pytest.mark.parametrize("hot_share", [None, 0.1])
+def test_counted_master_stands_for_its_rows(spark, unique_keys, hot_share):
+    tables = _repeating_tables(spark, 7)
+    whole = build_master(*tables, unique_keys, hot_share).groupBy("track_id").count()
+    counted = build_master(*tables, unique_keys, hot_share, counted=True)
+    assert rows(counted.select("track_id", "joined_rows")) == rows(whole)
+    assert dict(rows(whole))["t1"] == (1 if unique_keys else 14)
+
+
+def test_counts_of_joined_rows_need_no_joined_rows(spark):
+    from trackmart.operators.quality import fanout_report
+
+    tracks, artists, albums, charts = _repeating_tables(spark, 100)
+    many = tracks.filter("track_id = 't1'").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(50))))
+    counted = build_master(many, artists, albums, charts, False, counted=True)
+    assert counted.count() == 50
+    assert tuple(fanout_report(many, counted, times="joined_rows").first()) == (10_000, 50, False)
+    nothing = counted.limit(0)
+    assert tuple(fanout_report(nothing, nothing, times="joined_rows").first()) == (0, 0, True)

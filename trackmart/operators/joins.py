@@ -77,6 +77,11 @@ def left_join(
     return salted_left.join(salted_right, on=[*keys, "_salt"], how="left").drop("_salt")
 
 
+def match_counts(right: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """One row per key with how many rows a left row of that key would meet."""
+    return right.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
 def artist_dimension(artists: DataFrame, unique_keys: bool = True) -> DataFrame:
     """The most popular row per artist name, keyed by ``join_artist``.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trackmart import schemas
 from trackmart.functions.columns import coalesce_zero, fill_nulls, with_log1p
@@ -12,12 +13,14 @@ from trackmart.operators.joins import (
     chart_dimension,
     hot_key_hashes,
     left_join,
+    match_counts,
     with_join_keys,
 )
 from trackmart.operators.quality import fanout_forecast
 
 ARTIST_KEY = ["join_artist"]
 CHART_KEY = ["join_track", "join_artist"]
+JOINED_ROWS = "joined_rows"
 
 
 def build_master(
@@ -27,6 +30,7 @@ def build_master(
     charts: DataFrame,
     unique_keys: bool = True,
     hot_share: float | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Three left joins, fills, and the log of followers.
 
@@ -34,6 +38,10 @@ def build_master(
     ``hot_share`` names holding more than that share of the tracks are found
     first and their joins salted, for dimensions too large to broadcast; without
     it, Spark splits skewed join partitions at run time.
+
+    ``counted`` gives each track once, with how many rows it has in the result
+    as ``joined_rows``, in place of these rows: where keys repeat on both sides,
+    rows grow with the square of the input, these counts in proportion to it.
     """
     keyed = with_join_keys(tracks)
     hot = {"artist": [], "chart": []}
@@ -41,8 +49,15 @@ def build_master(
         hot = hot_key_hashes(keyed, {"artist": ARTIST_KEY, "chart": CHART_KEY}, hot_share)
     # Albums first: tracks straight from their dedup are already spread by track id.
     joined = left_join(keyed, album_dimension(albums), ["track_id"])
-    joined = left_join(joined, artist_dimension(artists, unique_keys), ARTIST_KEY, hot["artist"])
-    joined = left_join(joined, chart_dimension(charts, unique_keys), CHART_KEY, hot["chart"])
+    by_artist, by_chart = artist_dimension(artists, unique_keys), chart_dimension(charts, unique_keys)
+    if counted:
+        by_artist = match_counts(by_artist, ARTIST_KEY, "_artists")
+        by_chart = match_counts(by_chart, CHART_KEY, "_charts")
+    joined = left_join(joined, by_artist, ARTIST_KEY, hot["artist"])
+    joined = left_join(joined, by_chart, CHART_KEY, hot["chart"])
+    if counted:
+        times = F.coalesce("_artists", F.lit(1)) * F.coalesce("_charts", F.lit(1))
+        return joined.select(*tracks.columns, times.alias(JOINED_ROWS))
     filled = coalesce_zero(fill_nulls(joined, schemas.MASTER_FILLS), ["followers", "streams"])
     scaled = with_log1p(filled, "followers", "followers_log")
     columns = [
