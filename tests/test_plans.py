@@ -303,3 +303,25 @@ def test_counts_of_joined_rows_need_no_joined_rows(spark):
     assert tuple(fanout_report(many, counted, times="joined_rows").first()) == (10_000, 50, False)
     nothing = counted.limit(0)
     assert tuple(fanout_report(nothing, nothing, times="joined_rows").first()) == (0, 0, True)
+
+
+def test_published_counts_stores_what_its_tables_read(spark, monkeypatch):
+    from trackmart.operators import aggregates
+    from trackmart.queries import catalogue
+
+    means = {**aggregates.GENRE_MEANS, **aggregates.YEAR_MEANS, **aggregates.HIT_MEANS}
+    columns = ["genre string", "year int", "is_chart_hit int", "album_name string",
+               "track_name string", *(f"{c} double" for c in means)]
+    data = [(genre, 2000, hit, "x", "y", *[0.5] * len(means)) for genre, hit in [("a", 1), ("b", 0)]]
+    made, stored = spark.createDataFrame(data, ", ".join(columns)), []
+
+    def store(df, name):
+        stored.append(set(df.columns))
+        return df
+
+    monkeypatch.setattr(catalogue, "master", lambda *_, **__: made)
+    monkeypatch.setattr(catalogue, "written", store)
+    found = rows(catalogue.published_counts(spark, "none"))
+    assert found == [("agg_genre", 2, "OK"), ("agg_hit_vs_nohit", 2, "OK"), ("agg_year", 1, "OK"),
+                     ("not_published", None, "ERROR")]
+    assert stored == [{"genre", "year", "is_chart_hit", *means}]
