@@ -342,3 +342,11 @@ def test_dedup_any_packs_text_in_the_order_of_its_columns(spark):
     # One text per row is sorted and moved, not every column.
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"WindowGroupLimit \[k#\d+\], \[_row#", plan)
+
+
+def test_dedup_any_unpacks_a_row_once_whatever_filters_follow(spark):
+    wide = spark.createDataFrame([("k", "7", None, "x\0y")], "k string, a string, b string, c string")
+    kept = dedup.dedup_any(wide, ["k"])
+    kept = kept.filter("cast(a as int) between 0 and 9 and b is null and length(c) = 3")
+    assert rows(kept) == [("k", "7", None, "x\0y")]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

@@ -100,3 +100,10 @@ def test_files_without_header_and_long_records(spark, tmp_path, small_splits):
 def test_empty_files(spark, tmp_path):
     path = saved(tmp_path / "csv", "t.csv", "a,b,c\n")
     assert rows(lake.read_csv(spark, path, multi_line=True)) == []
+
+
+def test_a_record_is_parsed_once_whatever_filters_follow(spark):
+    lines = spark.createDataFrame([("1,x,",), ("2,,z",), (" ",)], "record string")
+    parsed = records.parse_records(lines, NAMES).filter("a is not null and b is not null")
+    assert rows(parsed) == [("1", "x", None)]
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
