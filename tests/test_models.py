@@ -1,6 +1,8 @@
 import pytest
 from table_rows import rows
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from trackmart.ml import popularity as P
@@ -83,3 +85,24 @@ def test_forest_learns_and_reports(spark):
 
 def test_feature_counts():
     assert len(P.FULL_FEATURES.names()) == 23 and len(P.AUDIO_FEATURES.names()) == 13
+
+
+def test_forest_on_stored_vectors_is_that_of_one_pipeline(spark):
+    drawn = spark.range(400, numPartitions=1).selectExpr(
+        "cast(id % 37 as int) as popularity", "if(id % 9 = 0, null, id % 37 / 2) as x",
+        "cast(id % 11 as double) as y", "if(id % 5 = 0, null, concat('g', id % 3)) as genre")
+    features = P.FeatureSet(["x", "y"], "genre")
+    train = P.prepare(drawn, features)
+    small = P.ForestSettings(trees=3, depth=3)
+    scored = P.score(P.fit_popularity(train, features, settings=small), train)
+    whole = Pipeline(stages=[
+        P.category_index(train, "genre"), P.mean_imputer(["x", "y"]),
+        P.assembler(["x_imp", "y_imp", "genre_index"]),
+        RandomForestRegressor(
+            featuresCol="features", labelCol="popularity", predictionCol="predicted_popularity",
+            numTrees=3, maxDepth=3, maxBins=small.bins, seed=small.seed),
+    ]).fit(train)
+    assert rows(scored) == rows(whole.transform(train).select(scored.columns))
+    # The target alone is looked at for being there; imputed inputs always are.
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("atleastnnonnulls(") <= 1
