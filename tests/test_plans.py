@@ -305,6 +305,21 @@ def test_counts_of_joined_rows_need_no_joined_rows(spark):
     assert tuple(fanout_report(nothing, nothing, times="joined_rows").first()) == (0, 0, True)
 
 
+def test_what_charts_do_not_change_is_worked_out_before_they_repeat_rows(spark):
+    from trackmart.queries.catalogue import shown
+
+    tables = _repeating_tables(spark, 7)
+    whole = build_master(*tables, False)
+    viewed = build_master(*tables, False, view=shown)
+    assert viewed.columns == whole.columns
+    assert rows(viewed) == rows(shown(whole))
+    for made in (whole, viewed):
+        plan = made.select("followers_log", "streams")._jdf.queryExecution().optimizedPlan()
+        after_charts = plan.toString().split("Join", 1)[0]
+        assert "followers_log" in after_charts
+        assert "LOG1P" not in after_charts and "round(" not in after_charts
+
+
 def test_published_counts_stores_what_its_tables_read(spark, monkeypatch):
     from trackmart.operators import aggregates
     from trackmart.queries import catalogue

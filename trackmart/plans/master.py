@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ def build_master(
     unique_keys: bool = True,
     hot_share: float | None = None,
     counted: bool = False,
+    view: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Three left joins, fills, and the log of followers.
 
@@ -42,6 +45,10 @@ def build_master(
     ``counted`` gives each track once, with how many rows it has in the result
     as ``joined_rows``, in place of these rows: where keys repeat on both sides,
     rows grow with the square of the input, these counts in proportion to it.
+
+    The charts join last, as their entries repeat rows the most: all that does
+    not read them is worked out before, once for all the rows that it repeats in.
+    So is ``view``, a projection of the columns that charts do not bring.
     """
     keyed = with_join_keys(tracks)
     hot = {"artist": [], "chart": []}
@@ -54,17 +61,20 @@ def build_master(
         by_artist = match_counts(by_artist, ARTIST_KEY, "_artists")
         by_chart = match_counts(by_chart, CHART_KEY, "_charts")
     joined = left_join(joined, by_artist, ARTIST_KEY, hot["artist"])
+    if not counted:
+        filled = coalesce_zero(fill_nulls(joined, schemas.MASTER_FILLS), ["followers"])
+        joined = with_log1p(filled, "followers", "followers_log")
+        joined = joined if view is None else view(joined)
     joined = left_join(joined, by_chart, CHART_KEY, hot["chart"])
     if counted:
         times = F.coalesce("_artists", F.lit(1)) * F.coalesce("_charts", F.lit(1))
         return joined.select(*tracks.columns, times.alias(JOINED_ROWS))
-    filled = coalesce_zero(fill_nulls(joined, schemas.MASTER_FILLS), ["followers", "streams"])
-    scaled = with_log1p(filled, "followers", "followers_log")
+    of_charts = {c: v for c, v in schemas.MASTER_FILLS.items() if c in schemas.CHART_ATTRIBUTES}
     columns = [
         *tracks.columns, *schemas.ARTIST_ATTRIBUTES, *schemas.ALBUM_ATTRIBUTES,
         *schemas.CHART_ATTRIBUTES, "followers_log",
     ]
-    return scaled.select(columns)
+    return coalesce_zero(fill_nulls(joined, of_charts), ["streams"]).select(columns)
 
 
 def master_forecast(
