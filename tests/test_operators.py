@@ -318,6 +318,25 @@ def test_means_do_not_depend_on_the_order_of_the_rows(spark):
     assert math.isnan(means["e"]) and means["f"] == math.inf
 
 
+def test_means_of_known_kinds_are_those_of_decimals(spark):
+    """Whole numbers are added in place of decimals: half-way points, large, lost and no values."""
+    draw = random.Random(7)
+    values = {"a": [0.04, 1e-7, 3 / 8192, -3 / 8192, 2.5], "b": [-199.99, 249.5, 0.0, None],
+              "c": [5000.25, 1e15, -4097.5, 0.1], "d": [float("nan"), 1.0], "e": [1e20, 1.0],
+              "f": [None]}
+    data = [(g, draw.choice(of), None if g == "f" else draw.choice([-7, 0, 1, 2**31 - 1, None]),
+             None if g == "f" else draw.choice([10**15, -3, 8, 10**16 if g == "e" else 9, None]))
+            for g, of in values.items() for _ in range(400)]
+    df = spark.createDataFrame(data, "g string, float float, int int, bigint bigint")
+    for places in (0, 2, 3):
+        found = df.groupBy("g").agg(*(
+            F.struct(aggregates.rounded_mean(kind, places), aggregates.rounded_mean(kind, places, kind))
+            .alias(kind) for kind in ("float", "int", "bigint")))
+        for row in found.collect():
+            for plain, cheap in row[1:]:
+                assert repr(plain) == repr(cheap), (row["g"], places)
+
+
 def test_reports_are_the_same_for_any_partitioning(spark):
     draw = random.Random(6)
     places = {c: draw.choice([1, 50]) for c in aggregates.HIT_MEANS}

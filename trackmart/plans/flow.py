@@ -125,13 +125,12 @@ def clean_one(
 
 
 def aggregated(master: DataFrame, settings: CurateSettings) -> dict[str, DataFrame]:
-    """Aggregates and model rows of a stored master table."""
+    """Aggregates and model rows of a stored master table, without the top artists."""
     return {
         "agg_genre": aggregates.agg_genre(master),
         "agg_year": aggregates.agg_year(master, *settings.years),
         "agg_label": aggregates.agg_label(master, settings.label_k),
         "agg_hit_vs_nohit": aggregates.agg_hit(master),
-        "agg_artist": aggregates.agg_artist(master, settings.artist_k),
         "artist_profiles": aggregates.artist_profiles(master),
         "master_ml": aggregates.master_ml(master),
     }
@@ -265,11 +264,15 @@ def run_flow(
     master = ledger.dataset(after_join)
 
     curated, curated_reads = {}, digest_of("curate", joined_reads, settings)
-    for name, df in aggregated(master, settings).items():
+    def curate(name: str, df: DataFrame) -> None:
         path = paths.curated(name)
-        facts = ledger.step(
-            name, curated_reads, lambda: described(stored(spark, df, path), path))  # noqa: B023
+        facts = ledger.step(name, curated_reads, lambda: described(stored(spark, df, path), path))
         curated[name] = ledger.dataset(facts)
+
+    for name, df in aggregated(master, settings).items():
+        curate(name, df)
+    # The top artists are among the stored profiles: the master table is not read for them.
+    curate("agg_artist", aggregates.top_artists(curated["artist_profiles"], settings.artist_k))
     if csv_folder is not None:
         export_reports(curated, csv_folder)
 
