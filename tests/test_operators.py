@@ -143,6 +143,26 @@ def test_salted_join_equals_plain_join(spark):
     assert rows(salted) == rows(plain)
 
 
+@pytest.mark.parametrize("share", [None, 0.1])
+def test_repeating_join_equals_plain_join(spark, monkeypatch, share):
+    monkeypatch.setattr(joins, "GATHERED", 3)
+    left = spark.createDataFrame(
+        [(str(i), k) for i, k in enumerate(["a"] * 20 + ["b", "c", None])], "track_id string, k string")
+    right = spark.createDataFrame(
+        [("a", v, None) for v in [1, 1, 1, 1, 2, 3, None, None]]
+        + [("b", 7, "x"), (None, 8, "y"), ("d", 9, "z")], "k string, v int, w string")
+    hot = joins.hot_key_hashes(left, {"k": ["k"]}, share)["k"] if share else []
+    plain = joins.left_join(left, right, ["k"])
+    arrays = joins.gathered(right.filter("k = 'a'"), ["k"], "found").select(F.size("found"))
+    assert rows(arrays) == [(2,), (3,), (3,)]
+    gathered = joins.repeating_join(left, right, ["k"], hot)
+    assert gathered.columns == plain.columns and gathered.dtypes == plain.dtypes
+    assert rows(gathered) == rows(plain) and plain.count() == 163
+    filled = joins.repeating_join(left, right, ["k"], hot, {"v": 5})
+    missed = F.col("k").isNull() | (F.col("k") == "c")
+    assert rows(filled) == rows(plain.withColumn("v", F.when(missed, 5).otherwise(F.col("v"))))
+
+
 def test_best_album_per_track(spark):
     albums = spark.createDataFrame(
         [("t1", "a", 1), ("t1", "b", 9), ("t1", "c", None), (None, "d", 1)],

@@ -320,6 +320,20 @@ def test_what_charts_do_not_change_is_worked_out_before_they_repeat_rows(spark):
         assert "LOG1P" not in after_charts and "round(" not in after_charts
 
 
+@pytest.mark.parametrize("hot_share", [None, 0.1])
+def test_master_fills_chart_entries_before_they_repeat_rows(spark, hot_share):
+    tracks, artists, albums, charts = _repeating_tables(spark, 5)
+    odd = charts.withColumns({c: F.nullif(c, F.lit(2)) for c in schemas.CHART_ATTRIBUTES})
+    made = build_master(tracks, artists, albums, odd, False, hot_share)
+    entry = made.filter("track_id = 't1'").select(schemas.CHART_ATTRIBUTES).distinct()
+    assert rows(entry) == [(0, 0, 0, 0, 0), (0, 0, 0, 1, 0), (1, 1, 1, 1, 1), (3, 3, 3, 3, 3),
+                           (4, 4, 4, 4, 4)]
+    missed = made.filter("track_id IN ('t3', 't4')").select(schemas.CHART_ATTRIBUTES).distinct()
+    assert rows(missed) == [(0, 0, 0, 1, 0)]
+    before_join = made._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[0]
+    assert "Generate inline" in before_join
+
+
 def test_published_counts_stores_what_its_tables_read(spark, monkeypatch):
     from trackmart.operators import aggregates
     from trackmart.queries import catalogue

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackmart import schemas
@@ -14,6 +14,8 @@ from trackmart.operators.dedup import dedup_best
 from trackmart.operators.filters import require
 
 SALTS_PER_TASK = 8
+# Rows of a repeating key are gathered in arrays of at most so many.
+GATHERED = 1024
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -77,6 +79,42 @@ def left_join(
     return salted_left.join(salted_right, on=[*keys, "_salt"], how="left").drop("_salt")
 
 
+def gathered(right: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The rows of each key as arrays of structs, of at most ``GATHERED`` rows each."""
+    columns = [c for c in right.columns if c not in keys]
+    # Dealt by the hash as well, so that a join on the keys moves the arrays once more: only a side
+    # that it moved itself lets it split the other one where that is skewed.
+    dealt = right.withColumn("_hash", key_hash(keys))
+    place = F.row_number().over(Window.partitionBy(*keys, "_hash").orderBy(*columns))
+    parts = dealt.withColumn("_part", F.floor((place - 1) / GATHERED))
+    arrays = parts.groupBy(*keys, "_hash", "_part").agg(
+        F.collect_list(F.struct(*columns)).alias(name))
+    return arrays.select(*keys, name)
+
+
+def repeating_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    hot: Sequence[int] = (),
+    unmatched: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """``left_join`` with a right side that repeats keys, so that its rows repeat those of ``left``.
+
+    A left row is looked up, sorted and matched once for an array of right rows,
+    not for each of them, and what it holds is read once for all rows that it
+    repeats in. ``unmatched`` has the values of a row without a match, by default NULL.
+    """
+    joined = left_join(left, gathered(right, keys, "_rows"), keys, hot)
+    if unmatched is not None:
+        kinds = dict(right.dtypes)
+        values = [F.lit(unmatched.get(c)).cast(kinds[c]).alias(c)
+                  for c in right.columns if c not in keys]
+        joined = joined.withColumn("_rows", F.coalesce("_rows", F.array(F.struct(*values))))
+    kept = [F.col(f"`{c}`") for c in joined.columns if c != "_rows"]
+    return joined.select(*kept, F.inline_outer("_rows"))
+
+
 def match_counts(right: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """One row per key with how many rows a left row of that key would meet."""
     return right.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

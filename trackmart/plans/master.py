@@ -16,6 +16,7 @@ from trackmart.operators.joins import (
     hot_key_hashes,
     left_join,
     match_counts,
+    repeating_join,
     with_join_keys,
 )
 from trackmart.operators.quality import fanout_forecast
@@ -65,16 +66,25 @@ def build_master(
         filled = coalesce_zero(fill_nulls(joined, schemas.MASTER_FILLS), ["followers"])
         joined = with_log1p(filled, "followers", "followers_log")
         joined = joined if view is None else view(joined)
-    joined = left_join(joined, by_chart, CHART_KEY, hot["chart"])
     if counted:
+        joined = left_join(joined, by_chart, CHART_KEY, hot["chart"])
         times = F.coalesce("_artists", F.lit(1)) * F.coalesce("_charts", F.lit(1))
         return joined.select(*tracks.columns, times.alias(JOINED_ROWS))
     of_charts = {c: v for c, v in schemas.MASTER_FILLS.items() if c in schemas.CHART_ATTRIBUTES}
+
+    def filled_entries(df: DataFrame) -> DataFrame:
+        return coalesce_zero(fill_nulls(df, of_charts), ["streams"])
+
     columns = [
         *tracks.columns, *schemas.ARTIST_ATTRIBUTES, *schemas.ALBUM_ATTRIBUTES,
         *schemas.CHART_ATTRIBUTES, "followers_log",
     ]
-    return coalesce_zero(fill_nulls(joined, of_charts), ["streams"]).select(columns)
+    if unique_keys:
+        joined = filled_entries(left_join(joined, by_chart, CHART_KEY, hot["chart"]))
+    else:  # filled once, not in each row that an entry comes in
+        joined = repeating_join(joined, filled_entries(by_chart), CHART_KEY, hot["chart"],
+                                {"streams": 0, **of_charts})
+    return joined.select(columns)
 
 
 def master_forecast(
