@@ -185,6 +185,16 @@ def test_charts_match_both_names(spark):
     ]
 
 
+def test_chart_entries_repeat_a_track_after_the_join(spark):
+    charts = spark.createDataFrame(
+        [("Song", "Abba", i, 1) for i in range(9)],
+        "track_name string, artist_name string, streams long, is_chart_hit int")
+    many = joins.enrich_charts(tracks(spark), charts, unique_keys=False)
+    assert many.count() == 11
+    before_join = many._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[0]
+    assert "Generate inline" in before_join
+
+
 # Aggregates
 
 def master(spark, data):
