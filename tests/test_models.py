@@ -106,3 +106,26 @@ def test_forest_on_stored_vectors_is_that_of_one_pipeline(spark):
     # The target alone is looked at for being there; imputed inputs always are.
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("atleastnnonnulls(") <= 1
+
+
+def test_forests_store_the_columns_they_read_and_leave_no_shuffle_files(spark, monkeypatch):
+    from trackmart.queries import models
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    columns = [*dict.fromkeys([*P.schemas.MODEL_COLUMNS])]
+    made = spark.createDataFrame([(1,) * len(columns)], ", ".join(f"{c} int" for c in columns))
+    stored = []
+
+    def store(df, name):
+        stored.append((set(df.columns), spark.conf.get(setting)))
+        return df
+
+    monkeypatch.setattr(models, "master", lambda *_, **__: made)
+    monkeypatch.setattr(models, "written", store)
+    before = spark.conf.get(setting)
+    keys = {"track_id", "track_name", "popularity"}
+    models._stored_rows(spark, "none", P.AUDIO_FEATURES)
+    models._stored_rows(spark, "none", P.FULL_FEATURES, P.schemas.PREDICTION_COLUMNS)
+    audio, full = {*P.AUDIO_FEATURES.numeric}, {*P.FULL_FEATURES.numeric, "genre", "artist_name"}
+    assert stored == [(keys | audio, "true"), (keys | full, "true")]
+    assert spark.conf.get(setting) == before
